@@ -37,12 +37,11 @@ def seconds_between(later: Column, earlier: Column) -> Column:
 
 
 def plus_seconds(seconds: Column) -> Column:
-    zero = F.lit(0)
-    return F.make_dt_interval(zero, zero, zero, seconds.cast("decimal(18,6)"))
+    return F.expr("INTERVAL '1' SECOND") * seconds
 
 
 def plus_minutes(minutes: Column) -> Column:
-    return plus_seconds(minutes * 60)
+    return F.expr("INTERVAL '1' MINUTE") * minutes
 
 
 def floor_div(number: Column, divisor: Column | int) -> Column:
@@ -112,11 +111,20 @@ def hour_bucket(moment: Column) -> Column:
     return F.hour(moment).cast("bigint")
 
 
-def quarter_hour_bucket(moment: Column) -> Column:
-    """Label of the 15-minute band, for instance ``23:45:00 - 00:00:00``."""
-    def clock(band: Column) -> Column:
-        minute = F.pmod(band, F.lit(QUARTERS_PER_DAY)) * 15
+def quarter_hour_number(moment: Column) -> Column:
+    """0 for the band that starts at midnight, 95 for the last of the day."""
+    return floor_div(F.hour(moment).cast("bigint") * 60 + F.minute(moment), 15)
+
+
+def quarter_hour_label(band: Column) -> Column:
+    """Text of a 15-minute band, for instance ``23:45:00 - 00:00:00``."""
+    def clock_text(number: Column) -> Column:
+        minute = F.pmod(number, F.lit(QUARTERS_PER_DAY)) * 15
         return F.format_string("%02d:%02d:00", floor_div(minute, 60), F.pmod(minute, F.lit(60)))
 
-    band = floor_div(F.hour(moment).cast("bigint") * 60 + F.minute(moment), 15)
-    return F.concat(clock(band), F.lit(" - "), clock(band + 1))
+    text = F.concat(clock_text(band), F.lit(" - "), clock_text(band + 1))
+    return F.when(band.isNotNull(), text)
+
+
+def quarter_hour_bucket(moment: Column) -> Column:
+    return quarter_hour_label(quarter_hour_number(moment))

@@ -15,12 +15,17 @@ Three forms give the same rows:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pontualis.config import AnalysisConfig
 from pontualis.functions import clock
 
+MATCHED_TIMES = ["datetime_partida_VP", "datetime_partida_VR",
+                 "datetime_chegada_VP", "datetime_chegada_VR",
+                 "tempo_viagem_VP", "tempo_viagem_VR"]
 MATCH_KEYS = ["consorcio", "trip_id", "sentido", "servico_realizado"]
 
 
@@ -57,17 +62,11 @@ def _counters_close(cfg: AnalysisConfig) -> Column:
     return F.abs(F.col("contador_VR") - F.col("contador_VP")) <= cfg.counter_tolerance
 
 
-def _same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> list[Column]:
-    return [left[k] == right[k] for k in keys]
-
-
 def _matched(pairs: DataFrame) -> DataFrame:
     return pairs.select(
         F.col("servico_realizado").alias("servico_VP"),
         F.col("servico_realizado").alias("service_VR"),
-        "datetime_partida_VP", "datetime_partida_VR",
-        "datetime_chegada_VP", "datetime_chegada_VR",
-        "tempo_viagem_VP", "tempo_viagem_VR").distinct()
+        *MATCHED_TIMES).distinct()
 
 
 def _realised_in_cells(realised: DataFrame, cfg: AnalysisConfig) -> DataFrame:
@@ -83,9 +82,15 @@ def _realised_in_cells(realised: DataFrame, cfg: AnalysisConfig) -> DataFrame:
                 clock.floor_div(F.col("_high"), width)))))
 
 
-def match_plain(planned: DataFrame, realised: DataFrame, cfg: AnalysisConfig) -> DataFrame:
-    pairs = _realised_side(realised, cfg).join(_planned_side(planned), MATCH_KEYS)
-    return _matched(pairs.where(_in_band() & _counters_close(cfg)))
+def match_plain(planned: DataFrame, realised: DataFrame, cfg: AnalysisConfig,
+                how: str = "inner") -> DataFrame:
+    """Band match without time cells; ``left`` also keeps realised trips without a match."""
+    real, plan = _realised_side(realised, cfg).alias("r"), _planned_side(planned).alias("p")
+    same_keys = [F.col(f"r.{k}") == F.col(f"p.{k}") for k in MATCH_KEYS]
+    condition = reduce(lambda a, b: a & b, [*same_keys, _in_band(), _counters_close(cfg)])
+    return real.join(plan, condition, how).select(
+        F.col("p.servico_realizado").alias("servico_VP"),
+        F.col("r.servico_realizado").alias("service_VR"), *MATCHED_TIMES).distinct()
 
 
 def match_departures(planned: DataFrame, realised: DataFrame, cfg: AnalysisConfig) -> DataFrame:

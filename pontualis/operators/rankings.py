@@ -94,9 +94,10 @@ def service_rush_hour(per_hour: DataFrame, rush: DataFrame) -> DataFrame:
 
 def trip_per_quarter(scored: DataFrame, best: bool = True) -> DataFrame:
     """Best or worst single trip of each 15-minute band, in ranking order."""
-    banded = scored.withColumn("SubFaixa15", clock.quarter_hour_bucket(F.col("data_partida")))
-    rows = best_row(banded.where(F.col("SubFaixa15").isNotNull()), "SubFaixa15", best,
+    banded = scored.withColumn("_band", clock.quarter_hour_number(F.col("data_partida")))
+    rows = best_row(banded.where(F.col("_band").isNotNull()), "_band", best,
                     ["data_partida", "servico"])
     order = F.desc("score") if best else F.asc("score")
-    return (rows.select("servico", "score", "data_partida", "SubFaixa15")
-            .orderBy(order, "SubFaixa15"))
+    return (rows.orderBy(order, "_band")
+            .select("servico", "score", "data_partida",
+                    clock.quarter_hour_label(F.col("_band")).alias("SubFaixa15")))

@@ -13,54 +13,77 @@ HOUR = "hora"
 QUARTER = "SubFaixa15"
 
 
-def bucket_of(bucket: str) -> Column:
-    moment = F.col("data_partida")
-    return clock.hour_bucket(moment) if bucket == HOUR else clock.quarter_hour_bucket(moment)
+def bucket_label(bucket: str, number: Column) -> Column:
+    return number if bucket == HOUR else clock.quarter_hour_label(number)
 
 
-def share_scores(scored: DataFrame, bucket: str) -> DataFrame:
-    """Per bucket and service: mean score, and the service's share of the bucket's trips.
+def share_scores(scored: DataFrame) -> DataFrame:
+    """Mean score and share of the trips, per bucket kind, bucket and service.
 
-    Trips are aggregated once per bucket and service.  The bucket totals come
-    from that small result; there are at most 24 or 96 of them, so they are
-    safe to broadcast.
+    Trips are aggregated once, per 15-minute band and service; hours are sums of
+    bands, so both kinds come out of that small result.  The totals of the 24
+    hours and 96 bands are at most 120 rows and therefore safe to broadcast.
     """
-    services = (with_service(scored).withColumn(bucket, bucket_of(bucket))
-                .where(F.col(bucket).isNotNull())
-                .groupBy(bucket, "servico")
-                .agg(F.count(F.lit(1)).alias("viagens"), F.avg("score").alias("media")))
-    totals = services.groupBy(bucket).agg(F.sum("viagens").alias("total_viagens"))
-    return (services.join(F.broadcast(totals), bucket)
+    bands = (with_service(scored).where(F.col("data_partida").isNotNull())
+             .groupBy(clock.quarter_hour_number(F.col("data_partida")).alias("_band"), "servico")
+             .agg(F.count(F.lit(1)).alias("_trips"), F.sum("score").alias("_sum"),
+                  F.count("score").alias("_valid")))
+    kinds = F.explode(F.array(
+        F.struct(F.lit(HOUR).alias("faixa"),
+                 clock.floor_div(F.col("_band"), 4).alias("numero")),
+        F.struct(F.lit(QUARTER).alias("faixa"), F.col("_band").alias("numero"))))
+    services = (bands.withColumn("_kind", kinds)
+                .groupBy("_kind.faixa", "_kind.numero", "servico")
+                .agg(F.sum("_trips").alias("viagens"),
+                     F.try_divide(F.sum("_sum"), F.sum("_valid")).alias("media")))
+    totals = services.groupBy("faixa", "numero").agg(F.sum("viagens").alias("total_viagens"))
+    return (services.join(F.broadcast(totals), ["faixa", "numero"])
             .withColumn("peso", F.col("viagens") / F.col("total_viagens")))
 
 
+def _bucket(shares: DataFrame, bucket: str, value: Column) -> DataFrame:
+    return shares.where(F.col("faixa") == bucket).select(
+        bucket_label(bucket, F.col("numero")).alias(bucket), "servico", value)
+
+
 def share_weight(scored: DataFrame, bucket: str) -> DataFrame:
-    return share_scores(scored, bucket).select(bucket, "servico", "peso")
+    """Share of a service in the trips of a bucket."""
+    return _bucket(share_scores(scored), bucket, F.col("peso"))
+
+
+def _corrected() -> Column:
+    return F.col("media") * F.col("peso")
 
 
 def bucket_regularity(scored: DataFrame, bucket: str) -> DataFrame:
     """Mean score of a service in a bucket, corrected by its share of the trips."""
-    return share_scores(scored, bucket).select(
-        bucket, "servico", (F.col("media") * F.col("peso")).alias("score"))
+    return _bucket(share_scores(scored), bucket, _corrected().alias("score"))
 
 
 def most_regular(regularity: DataFrame) -> DataFrame:
-    return regularity.orderBy(F.desc("score"))
+    return regularity.orderBy(F.desc("score"), "servico")
 
 
 def least_regular(regularity: DataFrame) -> DataFrame:
-    return regularity.orderBy(F.asc("score"))
+    return regularity.orderBy(F.asc("score"), "servico")
 
 
-def regularity_rollup(scored: DataFrame, bucket: str, name: str) -> DataFrame:
+def regularity_rollup(scored: DataFrame, bucket: str) -> DataFrame:
     """Mean of the corrected scores of a service over the buckets it runs in."""
-    return (bucket_regularity(scored, bucket).groupBy("servico")
-            .agg(F.avg("score").alias(name)))
+    return bucket_regularity(scored, bucket).groupBy("servico").agg(F.avg("score").alias("score"))
 
 
 def score_parts(scored: DataFrame) -> DataFrame:
-    return (regularity_rollup(scored, HOUR, "score_hora")
-            .join(regularity_rollup(scored, QUARTER, "score_subfaixa15"), "servico"))
+    """Both rollups side by side, from one aggregation.
+
+    A service with trips has trips in some hour and in some band, so the two
+    rollups list the same services and no join is needed to bring them together.
+    """
+    def part(bucket: str) -> Column:
+        return F.avg(F.when(F.col("faixa") == bucket, _corrected()))
+
+    return (share_scores(scored).groupBy("servico")
+            .agg(part(HOUR).alias("score_hora"), part(QUARTER).alias("score_subfaixa15")))
 
 
 def regularity_sum(scored: DataFrame, digits: int) -> DataFrame:
@@ -69,8 +92,17 @@ def regularity_sum(scored: DataFrame, digits: int) -> DataFrame:
         F.round(F.col("score_hora") + F.col("score_subfaixa15"), digits).alias("score"))
 
 
+def _placed(scored: DataFrame, digits: int) -> DataFrame:
+    total = regularity_sum(scored, digits).withColumn("_unit", F.col("score"))
+    return rank_position(minmax_normalise(total, "_unit"), "score", F.col("_unit"))
+
+
+def regularity_ranking(scored: DataFrame, digits: int) -> DataFrame:
+    """Position, service and unscaled sum of both rollups."""
+    return _placed(scored, digits).select("posicao", "servico", "score")
+
+
 def final_ranking(scored: DataFrame, digits: int) -> DataFrame:
     """Position, service and regularity in percent of the best service."""
-    total = regularity_sum(scored, digits).withColumn("_unit", F.col("score"))
-    placed = rank_position(minmax_normalise(total, "_unit"), "score", F.col("_unit"))
-    return placed.select("posicao", "servico", scores.score_percent(F.col("_unit")).alias("score"))
+    return _placed(scored, digits).select(
+        "posicao", "servico", scores.score_percent(F.col("_unit")).alias("score"))

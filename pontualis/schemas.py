@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 
 _TYPES = {
-    "string": T.StringType(), "date": T.DateType(), "bigint": T.LongType(),
+    "string": T.StringType(), "int": T.IntegerType(), "date": T.DateType(), "bigint": T.LongType(),
     "double": T.DoubleType(), "timestamp_ntz": T.TimestampNTZType(),
     "array<string>": T.ArrayType(T.StringType()),
 }
@@ -77,3 +77,8 @@ MATCHED = _schema("""
 SCORED = _schema("servico string, score double, data_partida timestamp_ntz")
 
 RANKING = _schema("posicao bigint, servico string, score double")
+
+# Columns of the star schema that the derived transit tables read.
+STAR_EVENTS = _schema("event_id bigint, ts timestamp_ntz, user_id bigint, value double")
+STAR_SUPPLIER = _schema("s_suppkey bigint, s_nationkey int")
+STAR_REGION = _schema("r_regionkey int")

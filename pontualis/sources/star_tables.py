@@ -3,224 +3,192 @@
 Suppliers become bus lines, regions agencies and events realised trips, so the
 queries can run, and grow, on data that holds no timetable of its own.  Only
 ``events``, ``supplier`` and ``region`` are read.  Constant lists (feeds,
-directions, day types, frequency windows) are exploded from array literals.
+directions, day types, frequency windows) are inlined from array literals.
 """
 
 from __future__ import annotations
 
 from datetime import date
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from pontualis.config import CONSORTIA, AnalysisConfig
-from pontualis.functions import clock
-from pontualis.sources.tables import TransitTables
+from pontualis import schemas
+from pontualis.config import AnalysisConfig
 
 STAR_CONFIG = AnalysisConfig(
     start_date=date(2024, 1, 1), end_date=date(2024, 1, 30), feed_floor="2024-01-01")
 
-MODEL = "m1"
 
-# (feed version and start date, end date); the first lies before the feed floor.
-FEEDS = (("2023-12-01", "2023-12-31"), ("2024-01-01", "2024-01-15"),
-         ("2024-01-16", "2024-01-31"))
-DIRECTIONS = (("0", "I"), ("1", "V"))
-SERVICE_IDS = ("U_REG", "S_REG", "D_REG", "EXCEP")
-
-# (start, end, has a regular headway): a short window, one with a 20-second
-# headway, one that wraps past midnight and one wholly after it are included.
-WINDOWS = (("05:00:00", "08:00:00", 1), ("08:00:00", "11:10:00", 1),
-           ("16:00:00", "19:00:00", 1), ("19:00:00", "19:02:00", 1),
-           ("20:00:00", "21:00:00", 0), ("22:00:00", "25:00:00", 1),
-           ("24:00:00", "26:00:00", 1))
-
-
-def _explode_list(rows: tuple[tuple, ...], names: tuple[str, ...]) -> Column:
-    return F.explode(F.array(*[
-        F.struct(*[F.lit(v).alias(n) for v, n in zip(row, names)]) for row in rows]))
-
-
-def _with_list(frame: DataFrame, rows: tuple[tuple, ...], names: tuple[str, ...]) -> DataFrame:
-    kept = frame.columns
-    return (frame.withColumn("_item", _explode_list(rows, names))
-            .select(*kept, *[F.col(f"_item.{n}").alias(n) for n in names]))
-
-
-def _with_feeds(frame: DataFrame) -> DataFrame:
-    start, end = F.col("feed_start_date").cast("date"), F.col("feed_end_date").cast("date")
-    rows = tuple((version, version, last, MODEL) for version, last in FEEDS)
-    return (_with_list(frame, rows, ("feed_version", "feed_start_date", "feed_end_date",
-                                     "versao_modelo"))
-            .withColumn("feed_start_date", start).withColumn("feed_end_date", end))
-
-
-def _line(key: Column) -> Column:
-    return F.lpad(key.cast("string"), 4, "0")
-
-
-def _consortium(nation: Column) -> Column:
-    group = nation % 5
-    expression = F.when(group == 0, CONSORTIA[0])
-    for k, name in enumerate(CONSORTIA[1:], start=1):
-        expression = expression.when(group == k, name)
-    return expression
-
-
-def _day_type(day: Column) -> Column:
-    weekday = F.dayofweek(day)
-    return F.when(weekday == 1, "D_REG").when(weekday == 7, "S_REG").otherwise("U_REG")
-
-
-def _feed_info(spark: SparkSession) -> DataFrame:
-    none = F.lit(None).cast("string")
-    feeds = _with_feeds(spark.range(1).select(F.lit(None).alias("_none"))).drop("_none")
-    return feeds.select(
-        "feed_version", "feed_start_date", "feed_end_date",
-        *[none.alias(c) for c in ("feed_publisher_name", "feed_publisher_url", "feed_lang",
-                                  "default_lang", "feed_contact_email", "feed_contact_url")],
-        clock.midnight(F.col("feed_start_date")).alias("feed_update_datetime"),
-        "versao_modelo")
-
-
-def _agency(region: DataFrame) -> DataFrame:
-    key = F.col("r_regionkey")
-    return _with_feeds(region.select("r_regionkey")).select(
-        F.concat(F.lit("A"), key.cast("string")).alias("agency_id"),
-        F.when(key < len(CONSORTIA), F.element_at(
-            F.array(*[F.lit(c) for c in CONSORTIA]),
-            F.least(key, F.lit(len(CONSORTIA) - 1)) + 1)).otherwise("Other")
-        .alias("agency_name"),
-        "feed_version", "feed_start_date", "versao_modelo")
-
-
-def _routes(supplier: DataFrame) -> DataFrame:
-    key = F.col("s_suppkey")
-    copied = _with_list(_with_feeds(supplier.select("s_suppkey", "s_nationkey")),
-                        ((0,), (1,)), ("_copy",))
-    blanks = F.when(key % 7 == 0, "  ").otherwise("")
-    return copied.where((F.col("_copy") == 0) | (key % 3 == 0)).select(
-        "feed_version", "feed_start_date", "feed_end_date",
-        F.concat(F.lit("R"), key.cast("string")).alias("route_id"),
-        F.concat(F.lit("A"), (F.col("s_nationkey") % 5).cast("string")).alias("agency_id"),
-        F.concat(_line(key), blanks).alias("route_short_name"), "versao_modelo")
-
-
-def _trips(supplier: DataFrame) -> DataFrame:
-    key = F.col("s_suppkey")
-    rows = _with_list(
-        _with_list(_with_feeds(supplier.select("s_suppkey")), DIRECTIONS,
-                   ("direction_id", "_sentido")),
-        tuple((s,) for s in SERVICE_IDS), ("service_id",))
-    return rows.select(
-        "feed_version", "feed_start_date", "feed_end_date",
-        F.concat(F.lit("R"), key.cast("string")).alias("route_id"), "service_id",
-        F.concat_ws("-", _line(key), F.col("_sentido"), F.col("service_id")).alias("trip_id"),
-        F.concat(F.lit("Vista "), key.cast("string")).alias("trip_headsign"),
-        _line(key).alias("trip_short_name"), "direction_id",
-        F.concat(F.lit("S"), key.cast("string"), F.col("_sentido")).alias("shape_id"),
-        "versao_modelo")
-
-
-def _frequencies(trips: DataFrame) -> DataFrame:
-    line = F.substr("route_id", F.lit(2)).cast("bigint")
-    regular = (10 + 5 * (line % 4)) * 60
-    return _with_list(trips, WINDOWS, ("start_time", "end_time", "_regular")).select(
-        "feed_version", "feed_start_date", "feed_end_date", "trip_id", "start_time",
-        "end_time",
-        F.when(F.col("_regular") == 1, regular).otherwise(20).cast("bigint")
-        .alias("headway_secs"),
-        F.lit("0").alias("exact_times"), "versao_modelo")
-
-
-def _calendar(events: DataFrame) -> DataFrame:
-    day = F.col("data")
-    kind = F.col("tipo_dia")
-    second_half = day >= F.lit("2024-01-16").cast("date")
-    version = F.when(second_half, "2024-01-16").otherwise("2024-01-01")
-    special = F.dayofmonth(day) % 10 == 0
-    services = (F.when(special, F.array(kind, F.lit("EXCEP"), F.lit("EXCEP ")))
-                .otherwise(F.array(kind)))
-    return (events.select(F.col("ts").cast("date").alias("data")).distinct()
-            .withColumn("tipo_dia", _day_type(day))
-            .select("data", "tipo_dia",
-                    F.when(special, F.lit("Verao")).alias("subtipo_dia"),
-                    F.when(special, "Extraordinaria").otherwise("Regular").alias("tipo_os"),
-                    services.alias("service_ids"), version.alias("feed_version"),
-                    version.cast("date").alias("feed_start_date"),
-                    F.lit(MODEL).alias("versao"),
-                    (clock.midnight(day) + clock.plus_minutes(F.lit(1440)))
-                    .alias("datetime_ultima_atualizacao")))
-
-
-def _realised(events: DataFrame, supplier: DataFrame) -> DataFrame:
-    """Events on the line whose number is the user id modulo the number of lines.
-
-    Line numbers run from 0 without gaps, so the line is found by an equality
-    join.
-    """
-    lines = supplier.agg(F.count(F.lit(1)).alias("n")).scalar()
-    event, key = F.col("event_id"), F.col("s_suppkey")
-    direction = F.when(event % 2 == 0, "I").otherwise("V")
-    departure = clock.from_epoch_seconds(clock.epoch_seconds(F.col("ts")))
-    trips = (events.select("event_id", "ts", "user_id", "value",
-                           (F.col("user_id") % lines).alias("s_suppkey"))
-             .join(supplier.select("s_suppkey", "s_nationkey"), "s_suppkey")
-             .withColumn("data", F.col("ts").cast("date"))
-             .withColumn("tipo_dia", _day_type(F.col("data")))
-             .withColumn("servico", _line(key))
-             .withColumn("sentido", direction)
-             .withColumn("shape_id", F.concat(F.lit("S"), key.cast("string"), direction))
-             .withColumn("partida", departure)
-             .withColumn("tempo", F.when(event % 97 == 0, 0).otherwise(10 + event % 80)
-                         .cast("bigint")))
-    vehicle = F.concat(F.lit("V"), F.col("user_id").cast("string"))
-    midnight = clock.midnight(F.col("data"))
-
-    def number(column: Column) -> Column:
-        return column.cast("double")
-
-    return trips.select(
-        _consortium(F.col("s_nationkey")).alias("consorcio"), "data", "tipo_dia",
-        F.when(event % 40 == 0, F.concat(F.lit("E"), key.cast("string")))
-        .otherwise((1000 + F.col("s_nationkey")).cast("string")).alias("id_empresa"),
-        vehicle.alias("id_veiculo"),
-        F.concat_ws("-", vehicle, F.col("servico"), F.col("sentido"), F.col("shape_id"),
-                    F.translate(F.substring(F.col("partida").cast("string"), 1, 19),
-                                "- :", "")).alias("id_viagem"),
-        F.when(event % 33 != 0, F.col("servico")).alias("servico_informado"),
-        F.col("servico").alias("servico_realizado"), F.lit("Vista").alias("vista"),
-        F.concat_ws("-", F.col("servico"), F.col("sentido"), F.col("tipo_dia"))
-        .alias("trip_id"),
-        "shape_id", "sentido", F.col("partida").alias("datetime_partida"),
-        (F.col("partida") + clock.plus_minutes(F.col("tempo"))).alias("datetime_chegada"),
-        midnight.alias("inicio_periodo"),
-        F.when(event % 50 == 0, midnight + clock.plus_minutes(F.lit(1439)))
-        .otherwise(midnight).alias("fim_periodo"),
-        F.when(event % 9 == 0, "Completa linha incorreta")
-        .otherwise("Completa linha correta").alias("tipo_viagem"),
-        F.col("tempo").alias("tempo_viagem"),
-        (10 + key % 60).cast("bigint").alias("tempo_planejado"),
-        (5 + number(key % 20) / 2).alias("distancia_planejada"),
-        F.col("value").alias("distancia_aferida"),
-        (event % 100).alias("n_registros_shape"),
-        (event % 100 + 5).alias("n_registros_total"),
-        (event % 60).alias("n_registros_minuto"),
-        (10 + number(event % 80) / 4).alias("velocidade_media"),
-        number(event % 101).alias("perc_conformidade_shape"),
-        number(event % 97).alias("perc_conformidade_distancia"),
-        number(event % 89).alias("perc_conformidade_registros"),
-        (event % 120).alias("perc_conformidade_tempo"),
-        F.when(event % 3 == 1, "m1  ").when(event % 3 == 2, MODEL).alias("versao_modelo"),
-        (midnight + clock.plus_minutes(F.lit(1440))).alias("datetime_ultima_atualizacao"))
-
-
-def star_tables(spark: SparkSession, folder: str) -> TransitTables:
-    folder = folder.rstrip("/")
-    events, supplier, region = (spark.read.parquet(f"{folder}/{name}.parquet")
-                                for name in ("events", "supplier", "region"))
-    trips = _trips(supplier)
-    return TransitTables(
-        trips=trips, frequencies=_frequencies(trips), routes=_routes(supplier),
-        agency=_agency(region), feed_info=_feed_info(spark), calendar=_calendar(events),
-        realised=_realised(events, supplier))
+def _list(columns: str, *rows: str) -> str:
+    """LATERAL VIEW over a literal list of rows."""
+    alias = columns.replace(" ", "").replace(",", "_")
+    return f"LATERAL VIEW inline(array({', '.join(f'struct({r})' for r in rows)})) {alias} AS {columns}"
+
+
+# The first feed lies before the feed floor.
+_FEEDS = _list(
+    "feed_version, feed_start_date, feed_end_date, versao_modelo",
+    "'2023-12-01', date'2023-12-01', date'2023-12-31', 'm1'",
+    "'2024-01-01', date'2024-01-01', date'2024-01-15', 'm1'",
+    "'2024-01-16', date'2024-01-16', date'2024-01-31', 'm1'")
+
+# Start, end and whether the headway is regular: a window shorter than a
+# headway, one with a 20-second headway, one that wraps past midnight and one
+# wholly after midnight are included.
+_WINDOWS = _list(
+    "start_time, end_time, regular", "'05:00:00', '08:00:00', 1L", "'08:00:00', '11:10:00', 1L",
+    "'16:00:00', '19:00:00', 1L", "'19:00:00', '19:02:00', 1L", "'20:00:00', '21:00:00', 0L",
+    "'22:00:00', '25:00:00', 1L", "'24:00:00', '26:00:00', 1L")
+
+_LINE = "lpad(CAST(s_suppkey AS STRING), 4, '0')"
+_DAY_TYPE = ("CASE dayofweek({0}) WHEN 1 THEN 'D_REG' WHEN 7 THEN 'S_REG' ELSE 'U_REG' END")
+_SECONDS = "CAST(CAST(ts - timestamp_ntz'1970-01-01 00:00:00' AS INTERVAL SECOND) AS BIGINT)"
+
+_AGENCY = f"""
+    SELECT concat('A', CAST(r_regionkey AS STRING)) AS agency_id,
+        CASE r_regionkey WHEN 0 THEN 'Internorte' WHEN 1 THEN 'Intersul'
+            WHEN 2 THEN 'Santa Cruz' WHEN 3 THEN 'Transcarioca' ELSE 'Other' END AS agency_name,
+        feed_version, feed_start_date, versao_modelo
+    FROM {{region}} {_FEEDS}"""
+
+_ROUTES = f"""
+    SELECT feed_version, feed_start_date, feed_end_date,
+        concat('R', CAST(s_suppkey AS STRING)) AS route_id,
+        concat('A', CAST(s_nationkey % 5 AS STRING)) AS agency_id,
+        concat({_LINE}, IF(s_suppkey % 7 = 0, '  ', '')) AS route_short_name, versao_modelo
+    FROM {{supplier}} {_FEEDS} {_list('copy', '0', '1')}
+    WHERE copy = 0 OR s_suppkey % 3 = 0"""
+
+_TRIPS = f"""
+    SELECT feed_version, feed_start_date, feed_end_date,
+        concat('R', CAST(s_suppkey AS STRING)) AS route_id, service_id,
+        concat_ws('-', {_LINE}, sentido, service_id) AS trip_id,
+        concat('Vista ', CAST(s_suppkey AS STRING)) AS trip_headsign,
+        {_LINE} AS trip_short_name, direction_id,
+        concat('S', CAST(s_suppkey AS STRING), sentido) AS shape_id, versao_modelo
+    FROM {{supplier}} {_FEEDS} {_list('direction_id, sentido', "'0', 'I'", "'1', 'V'")}
+        {_list('service_id', "'U_REG'", "'S_REG'", "'D_REG'", "'EXCEP'")}"""
+
+_FREQUENCIES = f"""
+    SELECT feed_version, feed_start_date, feed_end_date, trip_id, start_time, end_time,
+        IF(regular = 1, (10 + 5 * (CAST(substr(route_id, 2) AS BIGINT) % 4)) * 60, 20L)
+            AS headway_secs,
+        '0' AS exact_times, versao_modelo
+    FROM {{trips}} {_WINDOWS}"""
+
+_FEED_INFO = f"""
+    SELECT feed_version, feed_start_date, feed_end_date,
+        CAST(NULL AS STRING) AS feed_publisher_name, CAST(NULL AS STRING) AS feed_publisher_url,
+        CAST(NULL AS STRING) AS feed_lang, CAST(NULL AS STRING) AS default_lang,
+        CAST(NULL AS STRING) AS feed_contact_email, CAST(NULL AS STRING) AS feed_contact_url,
+        CAST(feed_start_date AS TIMESTAMP_NTZ) AS feed_update_datetime, versao_modelo
+    FROM VALUES (1) AS one(k) {_FEEDS}"""
+
+_CALENDAR = f"""
+    SELECT data, tipo_dia, IF(day(data) % 10 = 0, 'Verao', NULL) AS subtipo_dia,
+        IF(day(data) % 10 = 0, 'Extraordinaria', 'Regular') AS tipo_os,
+        IF(day(data) % 10 = 0, array(tipo_dia, 'EXCEP', 'EXCEP '), array(tipo_dia))
+            AS service_ids,
+        IF(data < date'2024-01-16', '2024-01-01', '2024-01-16') AS feed_version,
+        IF(data < date'2024-01-16', date'2024-01-01', date'2024-01-16') AS feed_start_date,
+        'm1' AS versao,
+        CAST(data AS TIMESTAMP_NTZ) + INTERVAL '1' DAY AS datetime_ultima_atualizacao
+    FROM (SELECT data, {_DAY_TYPE.format('data')} AS tipo_dia
+          FROM (SELECT DISTINCT CAST(ts AS DATE) AS data FROM {{events}}))"""
+
+# An event runs on the line whose number is the user id modulo the number of
+# lines.  Line numbers run from 0 without gaps, so an equality join finds it.
+_REALISED = f"""
+    SELECT CASE s_nationkey % 5 WHEN 0 THEN 'Internorte' WHEN 1 THEN 'Intersul'
+            WHEN 2 THEN 'Santa Cruz' WHEN 3 THEN 'Transcarioca' END AS consorcio,
+        data, tipo_dia,
+        IF(event_id % 40 = 0, concat('E', CAST(s_suppkey AS STRING)),
+           CAST(1000 + s_nationkey AS STRING)) AS id_empresa,
+        veiculo AS id_veiculo,
+        concat_ws('-', veiculo, servico, sentido, shape_id,
+            translate(CAST(partida AS STRING), '- :', '')) AS id_viagem,
+        IF(event_id % 33 <> 0, servico, NULL) AS servico_informado,
+        servico AS servico_realizado, 'Vista' AS vista,
+        concat_ws('-', servico, sentido, tipo_dia) AS trip_id, shape_id, sentido,
+        partida AS datetime_partida,
+        partida + INTERVAL '1' MINUTE * tempo AS datetime_chegada,
+        meia_noite AS inicio_periodo,
+        IF(event_id % 50 = 0, meia_noite + INTERVAL '1439' MINUTE, meia_noite) AS fim_periodo,
+        IF(event_id % 9 = 0, 'Completa linha incorreta', 'Completa linha correta')
+            AS tipo_viagem,
+        tempo AS tempo_viagem, 10 + s_suppkey % 60 AS tempo_planejado,
+        5 + CAST(s_suppkey % 20 AS DOUBLE) / 2 AS distancia_planejada,
+        value AS distancia_aferida, event_id % 100 AS n_registros_shape,
+        event_id % 100 + 5 AS n_registros_total, event_id % 60 AS n_registros_minuto,
+        10 + CAST(event_id % 80 AS DOUBLE) / 4 AS velocidade_media,
+        CAST(event_id % 101 AS DOUBLE) AS perc_conformidade_shape,
+        CAST(event_id % 97 AS DOUBLE) AS perc_conformidade_distancia,
+        CAST(event_id % 89 AS DOUBLE) AS perc_conformidade_registros,
+        event_id % 120 AS perc_conformidade_tempo,
+        CASE event_id % 3 WHEN 1 THEN 'm1  ' WHEN 2 THEN 'm1' END AS versao_modelo,
+        meia_noite + INTERVAL '1' DAY AS datetime_ultima_atualizacao
+    FROM (
+        SELECT e.event_id, e.value, s.s_suppkey, s.s_nationkey, data,
+            {_DAY_TYPE.format('data')} AS tipo_dia, CAST(data AS TIMESTAMP_NTZ) AS meia_noite,
+            concat('V', CAST(user_id AS STRING)) AS veiculo, {_LINE} AS servico, sentido,
+            concat('S', CAST(s.s_suppkey AS STRING), sentido) AS shape_id,
+            timestamp_ntz'1970-01-01 00:00:00' + INTERVAL '1' SECOND * segundos AS partida,
+            IF(event_id % 97 = 0, 0L, 10 + event_id % 80) AS tempo
+        FROM (SELECT event_id, user_id, value, CAST(ts AS DATE) AS data,
+                  {_SECONDS} AS segundos, IF(event_id % 2 = 0, 'I', 'V') AS sentido,
+                  user_id % (SELECT count(*) FROM {{supplier}}) AS line
+              FROM {{events}}) e
+        JOIN {{supplier}} s ON e.line = s.s_suppkey)"""
+
+
+class StarTables:
+    """The attributes of ``TransitTables``, each planned when it is first used."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self._spark = spark
+        self._folder = folder.rstrip("/")
+
+    def _read(self, name: str, schema: StructType) -> DataFrame:
+        return self._spark.read.schema(schema).parquet(f"{self._folder}/{name}.parquet")
+
+    @cached_property
+    def _events(self) -> DataFrame:
+        return self._read("events", schemas.STAR_EVENTS)
+
+    @cached_property
+    def _supplier(self) -> DataFrame:
+        return self._read("supplier", schemas.STAR_SUPPLIER)
+
+    @cached_property
+    def trips(self) -> DataFrame:
+        return self._spark.sql(_TRIPS, supplier=self._supplier)
+
+    @cached_property
+    def frequencies(self) -> DataFrame:
+        return self._spark.sql(_FREQUENCIES, trips=self.trips)
+
+    @cached_property
+    def routes(self) -> DataFrame:
+        return self._spark.sql(_ROUTES, supplier=self._supplier)
+
+    @cached_property
+    def agency(self) -> DataFrame:
+        return self._spark.sql(_AGENCY, region=self._read("region", schemas.STAR_REGION))
+
+    @cached_property
+    def feed_info(self) -> DataFrame:
+        return self._spark.sql(_FEED_INFO)
+
+    @cached_property
+    def calendar(self) -> DataFrame:
+        return self._spark.sql(_CALENDAR, events=self._events)
+
+    @cached_property
+    def realised(self) -> DataFrame:
+        return self._spark.sql(_REALISED, events=self._events, supplier=self._supplier)
+
+
+def star_tables(spark: SparkSession, folder: str) -> StarTables:
+    return StarTables(spark, folder)
