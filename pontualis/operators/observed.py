@@ -65,15 +65,18 @@ def _total_order(frame: DataFrame, first: list[str]) -> list[str]:
     return first + [c for c in frame.columns if c not in first]
 
 
+def _hour_cell(cfg: AnalysisConfig) -> Column:
+    return clock.floor_div(clock.epoch_seconds(F.col("datetime_partida")),
+                           cfg.numbering_cell_minutes * 60)
+
+
 def observed_departures(tables: TransitTables, cfg: AnalysisConfig) -> DataFrame:
     """Realised trips numbered by departure per day, trip and service.
 
-    A cell of the numbering is one trip in one hour of one day.
+    A cell of the numbering is one trip in one hour (``numbering_cell_minutes``).
     """
     trips = _observed_columns(realised_in_feeds(tables, cfg))
-    cell = clock.floor_div(clock.epoch_seconds(F.col("datetime_partida")),
-                           cfg.numbering_cell_minutes * 60)
-    return number_rows(trips, ["data", "trip_id", "servico_realizado"], cell,
+    return number_rows(trips, ["data", "trip_id", "servico_realizado"], _hour_cell(cfg),
                        _total_order(trips, ["datetime_partida", "id_viagem"]),
                        "viagens_consecutivas")
 
@@ -84,5 +87,6 @@ def observed_departures_by_service(tables: TransitTables, cfg: AnalysisConfig) -
         realised_in_feeds(tables, cfg), "tipo_dia", "versao_modelo")
     return number_rows(
         trips, ["consorcio", "servico_realizado", "trip_id", "shape_id", "sentido"],
-        F.col("data"), _total_order(trips, ["data", "datetime_partida", "id_viagem"]),
+        F.struct("data", _hour_cell(cfg).alias("hour")),
+        _total_order(trips, ["data", "datetime_partida", "id_viagem"]),
         "viagens_consecutivas")

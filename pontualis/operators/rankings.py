@@ -92,12 +92,24 @@ def service_rush_hour(per_hour: DataFrame, rush: DataFrame) -> DataFrame:
     return per_hour.join(F.broadcast(rush.select("hora")), "hora", "left_semi")
 
 
+def trip_of_group(scored: DataFrame, group: str, best: bool) -> DataFrame:
+    """Best or worst single trip per group, the earliest one on ties.
+
+    Trips are first reduced to the earliest departure per group, service and
+    score: a hash aggregate over fixed-width values that combines before the
+    shuffle.  The struct comparison, which Spark can only aggregate by sorting,
+    then runs over that small result.
+    """
+    earliest = (scored.where(F.col(group).isNotNull() & F.col("score").isNotNull())
+                .groupBy(group, "servico", "score")
+                .agg(F.min("data_partida").alias("data_partida")))
+    return best_row(earliest, group, best, ["data_partida", "servico"])
+
+
 def trip_per_quarter(scored: DataFrame, best: bool = True) -> DataFrame:
     """Best or worst single trip of each 15-minute band, in ranking order."""
     banded = scored.withColumn("_band", clock.quarter_hour_number(F.col("data_partida")))
-    rows = best_row(banded.where(F.col("_band").isNotNull()), "_band", best,
-                    ["data_partida", "servico"])
     order = F.desc("score") if best else F.asc("score")
-    return (rows.orderBy(order, "_band")
+    return (trip_of_group(banded, "_band", best).orderBy(order, "_band")
             .select("servico", "score", "data_partida",
                     clock.quarter_hour_label(F.col("_band")).alias("SubFaixa15")))

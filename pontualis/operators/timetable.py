@@ -67,16 +67,21 @@ def counted_rows(frame: DataFrame, source: str) -> DataFrame:
 def scheduled_windows(tables: TransitTables, cfg: AnalysisConfig,
                       day_columns: tuple[Column | str, ...] = ("tipo_os",),
                       reduce=distinct_rows) -> DataFrame:
-    """Timetable windows per calendar day, before copies of the result are removed.
+    """Timetable windows per calendar day, each once.
 
     Windows that wrap past midnight have a negative duration and drop out;
     windows that lie wholly past midnight fold to a positive one and stay.
-    Each input is reduced to the columns in use, and its copies are removed
-    before it is joined.
+
+    Each input is brought to the columns of the result, and its copies are
+    removed before it is joined.  As the result carries all of these columns
+    (or columns that determine them), the joins cannot produce a copy, and no
+    DISTINCT over the far larger joined table is needed.
     """
-    trips = reduce(scans.trip_rows(tables, cfg), "trips")
-    frequencies = (frequency_times(reduce(scans.frequency_rows(tables, cfg), "frequencies"))
-                   .where("tempo_viagem > 0"))
+    trips = reduce(scans.trip_rows(tables, cfg)
+                   .withColumn("sentido", direction_code(F.col("direction_id")))
+                   .drop("direction_id"), "trips")
+    frequencies = reduce(frequency_times(scans.frequency_rows(tables, cfg))
+                         .where("tempo_viagem > 0"), "frequencies")
     routes = reduce(scans.join_left_agency(tables, cfg)
                     .select(*ROUTE_KEYS, "agency_name",
                             F.trim("route_short_name").alias("route_short_name")), "routes")
@@ -92,8 +97,7 @@ def scheduled_windows(tables: TransitTables, cfg: AnalysisConfig,
     return days.select(
         "data", F.col("agency_name").alias("consorcio"), *day_type,
         F.col("service_id").alias("servico_realizado"),
-        F.col("trip_headsign").alias("vista"), "trip_id", "shape_id",
-        direction_code(F.col("direction_id")).alias("sentido"),
+        F.col("trip_headsign").alias("vista"), "trip_id", "shape_id", "sentido",
         start.alias("datetime_partida"),
         (start + clock.plus_seconds(F.col("_span"))).alias("datetime_chegada"),
         "tempo_viagem", "route_id", "trip_short_name", "tipo_os", "headway",
@@ -101,13 +105,13 @@ def scheduled_windows(tables: TransitTables, cfg: AnalysisConfig,
 
 
 def timetable_windows(tables: TransitTables, cfg: AnalysisConfig) -> DataFrame:
-    return scheduled_windows(tables, cfg).distinct()
+    return scheduled_windows(tables, cfg)
 
 
 def standalone_windows(tables: TransitTables, cfg: AnalysisConfig) -> DataFrame:
     """Variant that also carries the day type and reads ``tipo_os`` from the day subtype."""
     return scheduled_windows(
-        tables, cfg, ("tipo_dia", F.col("subtipo_dia").alias("tipo_os"))).distinct()
+        tables, cfg, ("tipo_dia", F.col("subtipo_dia").alias("tipo_os")))
 
 
 # --- departures --------------------------------------------------------------
@@ -136,11 +140,10 @@ def numbered_windows(tables: TransitTables, cfg: AnalysisConfig) -> DataFrame:
     windows before it, so the numbering runs over windows, an order of
     magnitude fewer rows than departures, and expanding needs no further
     shuffle.  A group holds only the distinct windows of one trip that start at
-    the same instant.  Removing copies and numbering share one shuffle.
+    the same instant.
     """
     keys = ["trip_id", "datetime_partida", "servico_realizado"]
-    windows = with_departure_count(
-        scheduled_windows(tables, cfg).repartition(*keys).distinct()).where("partidas >= 1")
+    windows = with_departure_count(timetable_windows(tables, cfg)).where("partidas >= 1")
     order = _tie_breaks(windows.drop("partidas", *keys),
                         ["feed_version", "tempo_viagem", "headway"])
     before = (Window.partitionBy(*keys).orderBy(*order)

@@ -454,7 +454,7 @@ def lag_lead_gap(a):
 def argmax_per_group(a):
     """The best single trip of each hour."""
     hours = a.scored.withColumn("hora", clock.hour_bucket(F.col("data_partida")))
-    return _rounded(rankings.best_row(hours, "hora", True, ["data_partida", "servico"]), "score")
+    return _rounded(rankings.trip_of_group(hours, "hora", best=True), "score")
 
 
 # --- rankings -----------------------------------------------------------------------------------

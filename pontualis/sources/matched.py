@@ -21,19 +21,16 @@ def is_written(spark: SparkSession, path: str) -> bool:
 
 
 def write_matched(matched: DataFrame, path: str) -> None:
-    """Write the matched table as Parquet, in folders per realised departure day.
+    """Write the matched table as Parquet.
 
-    The range on day, service and departure gives each task a piece of a day,
-    so a busy day is spread over several files and no task opens all folders.
+    Rankings always read the whole period, so it is not cut into folders; the
+    files are the partitions of the last shuffle, sized by adaptive execution.
     """
-    dated = matched.withColumn("data", F.col("datetime_partida_VR").cast("date"))
-    (dated.repartitionByRange("data", "servico_VP", "datetime_partida_VR")
-          .write.mode("overwrite").partitionBy("data").parquet(path))
+    matched.write.mode("overwrite").parquet(path)
 
 
 def read_matched(spark: SparkSession, path: str) -> DataFrame:
-    # The folder column ``data`` only lays out the files.
-    return spark.read.schema(schemas.MATCHED).parquet(path).select(*schemas.MATCHED.names)
+    return spark.read.schema(schemas.MATCHED).parquet(path)
 
 
 def cached_matched(spark: SparkSession, path: str, compute, force: bool = False) -> DataFrame:
