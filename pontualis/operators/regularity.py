@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pontualis.functions import clock, scores
@@ -20,9 +20,9 @@ def bucket_label(bucket: str, number: Column) -> Column:
 def share_scores(scored: DataFrame) -> DataFrame:
     """Mean score and share of the trips, per bucket kind, bucket and service.
 
-    Trips are aggregated once, per 15-minute band and service; hours are sums of
-    bands, so both kinds come out of that small result.  The totals of the 24
-    hours and 96 bands are at most 120 rows and therefore safe to broadcast.
+    Trips are read and aggregated once, per 15-minute band and service; hours
+    are sums of bands, so both kinds come out of that small result.  The window
+    behind the bucket totals sees one row per service, not trips.
     """
     bands = (with_service(scored).where(F.col("data_partida").isNotNull())
              .groupBy(clock.quarter_hour_number(F.col("data_partida")).alias("_band"), "servico")
@@ -32,12 +32,12 @@ def share_scores(scored: DataFrame) -> DataFrame:
         F.struct(F.lit(HOUR).alias("faixa"),
                  clock.floor_div(F.col("_band"), 4).alias("numero")),
         F.struct(F.lit(QUARTER).alias("faixa"), F.col("_band").alias("numero"))))
-    services = (bands.withColumn("_kind", kinds)
-                .groupBy("_kind.faixa", "_kind.numero", "servico")
-                .agg(F.sum("_trips").alias("viagens"),
-                     F.try_divide(F.sum("_sum"), F.sum("_valid")).alias("media")))
-    totals = services.groupBy("faixa", "numero").agg(F.sum("viagens").alias("total_viagens"))
-    return (services.join(F.broadcast(totals), ["faixa", "numero"])
+    bucket = Window.partitionBy("faixa", "numero")
+    return (bands.withColumn("_kind", kinds)
+            .groupBy("_kind.faixa", "_kind.numero", "servico")
+            .agg(F.sum("_trips").alias("viagens"),
+                 F.try_divide(F.sum("_sum"), F.sum("_valid")).alias("media"))
+            .withColumn("total_viagens", F.sum("viagens").over(bucket))
             .withColumn("peso", F.col("viagens") / F.col("total_viagens")))
 
 

@@ -67,12 +67,10 @@ def with_scores(trips: DataFrame, cfg: AnalysisConfig) -> DataFrame:
 def minmax_normalise(frame: DataFrame, column: str) -> DataFrame:
     """Scale a column to 0..1 over the whole table; NULL when all values are equal.
 
-    The bounds are a one-row aggregate read as a scalar subquery, not a window
-    over all rows.
+    The bounds are scalar subqueries, which Spark merges into one aggregate, not
+    a window over all rows.
     """
-    bounds = frame.agg(F.struct(F.min(column).alias("low"), F.max(column).alias("high")))
-    bound = bounds.scalar()
-    low, high = bound.getField("low"), bound.getField("high")
+    low, high = (frame.agg(bound(column)).scalar() for bound in (F.min, F.max))
     return frame.withColumn(column, F.try_divide(F.col(column) - low, high - low))
 
 

@@ -10,8 +10,8 @@ from pontualis import schemas
 def write_ranking_csv(ranking: DataFrame, path: str) -> None:
     """Write the ranking in order of position.
 
-    A ranking has one row per service, so a single readable file is the
-    product.  The sort runs before the merge, on as many tasks as it needs.
+    A ranking has one row per service, far fewer than trips, and a single
+    readable file is the product.
     """
     (ranking.orderBy("posicao").coalesce(1).write.mode("overwrite")
             .option("sep", ";").option("header", True).option("encoding", "UTF-8").csv(path))
