@@ -41,9 +41,8 @@ def main() -> None:
     def match_and_rank():
         run(analysis(spark, folder, "regularity", force=True).final_ranking())
 
-    jobs = {"match_and_final_ranking": match_and_rank}
-    jobs.update({name: (lambda query=QUERIES[name]: run(query(spark, folder)))
-                 for name in NAMES})
+    jobs = {name: (lambda query=QUERIES[name]: run(query(spark, folder))) for name in NAMES}
+    jobs["match_and_final_ranking"] = match_and_rank
     seconds = {}
     for name, job in jobs.items():
         job()

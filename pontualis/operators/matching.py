@@ -29,8 +29,8 @@ MATCHED_TIMES = ["datetime_partida_VP", "datetime_partida_VR",
 MATCH_KEYS = ["consorcio", "trip_id", "sentido", "servico_realizado"]
 
 
-def _band_minutes(duration: Column, cfg: AnalysisConfig) -> Column:
-    return clock.half_away(duration * F.lit(cfg.association_factor))
+def _band_minutes(cfg: AnalysisConfig) -> Column:
+    return clock.half_away(F.col("tempo_viagem_VR") * F.lit(cfg.association_factor))
 
 
 def _planned_side(planned: DataFrame) -> DataFrame:
@@ -42,20 +42,18 @@ def _planned_side(planned: DataFrame) -> DataFrame:
         F.col("tempo_viagem").alias("tempo_viagem_VP"))
 
 
-def _realised_side(realised: DataFrame, cfg: AnalysisConfig) -> DataFrame:
-    departure = F.col("datetime_partida")
-    band = clock.plus_minutes(_band_minutes(F.col("tempo_viagem"), cfg))
+def _realised_side(realised: DataFrame) -> DataFrame:
     return realised.where("tempo_viagem > 0").select(
         *MATCH_KEYS,
         F.col("viagens_consecutivas").alias("contador_VR"),
-        departure.alias("datetime_partida_VR"),
+        F.col("datetime_partida").alias("datetime_partida_VR"),
         F.col("datetime_chegada").alias("datetime_chegada_VR"),
-        F.col("tempo_viagem").alias("tempo_viagem_VR"),
-        (departure - band).alias("_from"), (departure + band).alias("_to"))
+        F.col("tempo_viagem").alias("tempo_viagem_VR"))
 
 
-def _in_band() -> Column:
-    return F.col("datetime_partida_VP").between(F.col("_from"), F.col("_to"))
+def _in_band(cfg: AnalysisConfig) -> Column:
+    departure, band = F.col("datetime_partida_VR"), clock.plus_minutes(_band_minutes(cfg))
+    return F.col("datetime_partida_VP").between(departure - band, departure + band)
 
 
 def _counters_close(cfg: AnalysisConfig) -> Column:
@@ -69,25 +67,36 @@ def _matched(pairs: DataFrame) -> DataFrame:
         *MATCHED_TIMES).distinct()
 
 
+def _band_seconds(cfg: AnalysisConfig) -> tuple[Column, Column]:
+    """Band in whole epoch seconds around ``_at``.
+
+    One second more covers a fraction of a second cut off in ``_at``; the exact
+    band is checked on the timestamps at the end.
+    """
+    band = _band_minutes(cfg) * 60
+    return F.col("_at") - band, F.col("_at") + band + 1
+
+
 def _realised_in_cells(realised: DataFrame, cfg: AnalysisConfig) -> DataFrame:
-    """One copy of a realised trip for each time cell its band touches."""
+    """One copy of a realised trip for each time cell its band touches.
+
+    The band follows from ``_at`` and the duration, so its ends are not carried
+    through the shuffle.
+    """
     width = cfg.match_cell_minutes * 60
-    return (_realised_side(realised, cfg)
-            .withColumn("_low", clock.epoch_seconds(F.col("_from")))
-            # One second more covers a fraction of a second cut off above; the
-            # exact band is checked on the timestamps at the end.
-            .withColumn("_high", clock.epoch_seconds(F.col("_to")) + 1)
+    low, high = _band_seconds(cfg)
+    return (_realised_side(realised)
+            .withColumn("_at", clock.epoch_seconds(F.col("datetime_partida_VR")))
             .withColumn("_slot", F.explode(F.sequence(
-                clock.floor_div(F.col("_low"), width),
-                clock.floor_div(F.col("_high"), width)))))
+                clock.floor_div(low, width), clock.floor_div(high, width)))))
 
 
 def match_plain(planned: DataFrame, realised: DataFrame, cfg: AnalysisConfig,
                 how: str = "inner") -> DataFrame:
     """Band match without time cells; ``left`` also keeps realised trips without a match."""
-    real, plan = _realised_side(realised, cfg).alias("r"), _planned_side(planned).alias("p")
+    real, plan = _realised_side(realised).alias("r"), _planned_side(planned).alias("p")
     same_keys = [F.col(f"r.{k}") == F.col(f"p.{k}") for k in MATCH_KEYS]
-    condition = reduce(lambda a, b: a & b, [*same_keys, _in_band(), _counters_close(cfg)])
+    condition = reduce(lambda a, b: a & b, [*same_keys, _in_band(cfg), _counters_close(cfg)])
     return real.join(plan, condition, how).select(
         F.col("p.servico_realizado").alias("servico_VP"),
         F.col("r.servico_realizado").alias("service_VR"), *MATCHED_TIMES).distinct()
@@ -104,7 +113,7 @@ def match_departures(planned: DataFrame, realised: DataFrame, cfg: AnalysisConfi
     slotted = _planned_side(planned).withColumn(
         "_slot", clock.floor_div(clock.epoch_seconds(F.col("datetime_partida_VP")), width))
     pairs = _realised_in_cells(realised, cfg).join(slotted, [*MATCH_KEYS, "_slot"])
-    return _matched(pairs.where(_in_band() & _counters_close(cfg)))
+    return _matched(pairs.where(_in_band(cfg) & _counters_close(cfg)))
 
 
 def window_cells(windows: DataFrame, cfg: AnalysisConfig) -> DataFrame:
@@ -143,11 +152,12 @@ def match_windows(windows: DataFrame, realised: DataFrame, cfg: AnalysisConfig)
     row per window and hour instead of one per departure.
     """
     start, step = F.col("_start"), F.col("_step")
+    low, high = _band_seconds(cfg)
     tolerance = cfg.counter_tolerance
     counter_from = F.greatest(F.col("_r_from"), F.col("contador_VR") - tolerance,
-                              clock.ceil_div(F.col("_low") - start, step))
+                              clock.ceil_div(low - start, step))
     counter_to = F.least(F.col("_r_to"), F.col("contador_VR") + tolerance,
-                         clock.floor_div(F.col("_high") - start, step))
+                         clock.floor_div(high - start, step))
     trips, cells = _realised_in_cells(realised, cfg), window_cells(windows, cfg)
     pairs = (trips.join(cells, [*MATCH_KEYS, "_slot"])
              .where(counter_from <= counter_to)
@@ -156,4 +166,4 @@ def match_windows(windows: DataFrame, realised: DataFrame, cfg: AnalysisConfig)
                          clock.from_epoch_seconds(start + step * F.col("contador_VP")))
              .withColumn("datetime_chegada_VP",
                          clock.from_epoch_seconds(start + step * (F.col("contador_VP") + 1))))
-    return _matched(pairs.where(_in_band()))
+    return _matched(pairs.where(_in_band(cfg)))

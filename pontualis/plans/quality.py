@@ -115,11 +115,15 @@ class QualityAnalysis:
 
     # --- regularity --------------------------------------------------------------
 
-    def hour_regularity(self) -> DataFrame:
-        return regularity.bucket_regularity(self.scored, regularity.HOUR)
+    def _regularity(self, bucket: str, worst_first: bool) -> DataFrame:
+        scores = regularity.bucket_regularity(self.scored, bucket)
+        return (regularity.least_regular if worst_first else regularity.most_regular)(scores)
 
-    def quarter_regularity(self) -> DataFrame:
-        return regularity.bucket_regularity(self.scored, regularity.QUARTER)
+    def hour_regularity(self, worst_first: bool = False) -> DataFrame:
+        return self._regularity(regularity.HOUR, worst_first)
+
+    def quarter_regularity(self, worst_first: bool = False) -> DataFrame:
+        return self._regularity(regularity.QUARTER, worst_first)
 
     def final_ranking(self) -> DataFrame:
         return regularity.final_ranking(self.scored, self.cfg.rank_digits)

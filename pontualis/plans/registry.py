@@ -368,12 +368,12 @@ def quarter_share_weight(a):
 
 @_regularity_query
 def hour_regularity(a):
-    return _rounded(regularity.most_regular(a.hour_regularity()), "score")
+    return _rounded(a.hour_regularity(), "score")
 
 
 @_regularity_query
 def quarter_regularity(a):
-    return _rounded(regularity.most_regular(a.quarter_regularity()), "score")
+    return _rounded(a.quarter_regularity(worst_first=True), "score")
 
 
 @_regularity_query
