@@ -181,25 +181,33 @@ def generated_departures(windows: DataFrame) -> DataFrame:
             .withColumn("datetime_partida", start + clock.plus_minutes(headway * row)))
 
 
-def _keyed(departures: DataFrame) -> Column:
-    return trip_key_planned(F.col("servico_realizado"), F.col("sentido"), F.col("shape_id"),
-                            F.col("datetime_partida")).alias("id_viagem")
+def _distinct_with_key(departures: DataFrame, *columns: Column | str) -> DataFrame:
+    """Distinct departures with their text key.
+
+    The key follows from other columns, so it is added after copies are removed
+    and neither compared nor shuffled.
+    """
+    rows = departures.select(*columns).distinct()
+    key = trip_key_planned(F.col("servico_realizado"), F.col("sentido"), F.col("shape_id"),
+                           F.col("datetime_partida"))
+    after_day = rows.columns.index("servico_realizado")
+    return rows.select(*rows.columns[:after_day], key.alias("id_viagem"),
+                       *rows.columns[after_day:])
 
 
 def planned_departures(tables: TransitTables, cfg: AnalysisConfig) -> DataFrame:
-    departures = generated_departures(numbered_windows(tables, cfg))
-    return departures.select(
+    return _distinct_with_key(
+        generated_departures(numbered_windows(tables, cfg)),
         F.col("row_id").alias("viagens_consecutivas"), "consorcio", "data",
-        _keyed(departures), "servico_realizado", "vista", "trip_id", "shape_id", "sentido",
-        "datetime_partida", "datetime_chegada", "tempo_viagem", "feed_version",
-        "feed_start_date").distinct()
+        "servico_realizado", "vista", "trip_id", "shape_id", "sentido", "datetime_partida",
+        "datetime_chegada", "tempo_viagem", "feed_version", "feed_start_date")
 
 
 def planned_departures_by_trip(tables: TransitTables, cfg: AnalysisConfig,
                                *extra: Column | str) -> DataFrame:
     """Departures of the month-long counter; ``extra`` adds columns, e.g. the counter."""
-    departures = generated_departures(numbered_windows_by_trip(tables, cfg))
-    return departures.select(
-        *extra, "consorcio", "data", "tipo_dia", _keyed(departures), "servico_realizado",
-        "vista", "trip_id", "shape_id", "sentido", "datetime_partida", "datetime_chegada",
-        "tempo_viagem", "feed_version", "feed_start_date", "versao_modelo").distinct()
+    return _distinct_with_key(
+        generated_departures(numbered_windows_by_trip(tables, cfg)), *extra, "consorcio",
+        "data", "tipo_dia", "servico_realizado", "vista", "trip_id", "shape_id", "sentido",
+        "datetime_partida", "datetime_chegada", "tempo_viagem", "feed_version",
+        "feed_start_date", "versao_modelo")
