@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pontualis.llm import quality_rules
+from pontualis.llm import decontamination, quality_rules
 from pontualis.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,3 +28,48 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ratio = quality_rules.fit_ratio(docs, trusted)
     return (quality_rules.quality_rules(docs, ratio)
             .select("doc_id", "_out.*").withColumn("llr", F.round("llr", 6)))
+
+
+@_query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_contamination(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    n_hit = F.size("_out.hits").cast("bigint")
+    return found.select(
+        "doc_id", "_out.n_words", n_hit.alias("n_hit"),
+        F.size("_out.items").cast("bigint").alias("n_items"),
+        decontamination.items_digest(F.col("_out.items")).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"))
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE_SQL["op2_decontamination"] = rf"""
+    WITH doc_words AS (
+        SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM documents),
+    item_words AS (
+        SELECT CAST(item_id AS VARCHAR) AS item,
+            regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM benchmark),
+    item_windows AS (
+        SELECT DISTINCT item, size, array_to_string(w[i:i + size - 1], ' ') AS words
+        FROM (SELECT item, w, least(len(w), 10) AS size,
+                  unnest(generate_series(1, len(w) - least(len(w), 10) + 1)) AS i
+              FROM item_words WHERE len(w) > 0)),
+    doc_windows AS (
+        SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS words
+        FROM (SELECT doc_id, w, size, unnest(generate_series(1, len(w) - size + 1)) AS i
+              FROM doc_words, (SELECT DISTINCT size FROM item_windows) WHERE len(w) >= size)),
+    found AS (
+        SELECT doc_id, i, size, item FROM doc_windows JOIN item_windows USING (size, words)),
+    hit AS (
+        SELECT doc_id, count(DISTINCT k) AS n_hit
+        FROM (SELECT doc_id, unnest(generate_series(i, i + size - 1)) AS k FROM found) GROUP BY 1),
+    items AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+        FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY 1)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+        coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+        coalesce(n_hit, 0) > 0 AS contaminated
+    FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)"""
