@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pontualis.llm import decontamination, quality_rules
+from pontualis.llm import decontamination, near_dedup, quality_rules
 from pontualis.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +73,32 @@ ORACLE_SQL["op2_decontamination"] = rf"""
         coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
         coalesce(n_hit, 0) > 0 AS contaminated
     FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
+@_query
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.link(read(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op3_near_dedup"] = rf"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+    shingles AS (
+        SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+        FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i
+              FROM words WHERE len(w) > 0)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+    shared AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+        FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+    links AS (
+        SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+        WHERE 100 * c >= 75 * (x.n + y.n - c)),
+    reach(doc_id, c) AS (
+        SELECT doc_id, doc_id FROM documents
+        UNION
+        SELECT CASE WHEN l.a = r.doc_id THEN l.b ELSE l.a END, r.c
+        FROM reach r JOIN links l ON r.doc_id IN (l.a, l.b)),
+    component AS (SELECT doc_id, min(c) AS component_id FROM reach GROUP BY 1)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM component LEFT JOIN sizes USING (doc_id)"""
