@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pontualis.llm import decontamination, near_dedup, quality_rules
+from pontualis.llm import decontamination, near_dedup, quality_rules, secret_scan
 from pontualis.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,3 +102,13 @@ ORACLE_SQL["op3_near_dedup"] = rf"""
     component AS (SELECT doc_id, min(c) AS component_id FROM reach GROUP BY 1)
     SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
     FROM component LEFT JOIN sizes USING (doc_id)"""
+
+
+@_query
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(read(spark, sf_dir, "documents"))
+    base, spans = F.col("_out.base"), F.col("_out.spans")
+    counts = [secret_scan.count_kind(base, k).alias(f"n_{k}") for k in secret_scan.KINDS[:3]]
+    return found.select("doc_id", *counts,
+                        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
+                        secret_scan.listed(spans).alias("spans"))
