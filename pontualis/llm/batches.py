@@ -11,18 +11,17 @@ from pyspark.sql.types import StructType
 
 from pontualis.llm.words import SLICE_BYTES, slices
 
-# Rows a task holds as one Arrow batch.  Long texts would make batches of the
-# default size larger than a task's memory.
-BATCH_ROWS = 512
+# Bytes a task sends to Python as one Arrow batch.  Long texts would make
+# batches of many rows larger than a task's memory.
+BATCH_BYTES = 8 << 20
 
 
 def fit_batches(frame: DataFrame) -> None:
-    """Bound the Arrow batches of this session; a smaller setting is kept."""
+    """Bound the Arrow batches of this session in bytes; a smaller setting is kept."""
     conf = frame.sparkSession.conf
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    rows = int(conf.get(key, "10000"))
-    if rows <= 0 or rows > BATCH_ROWS:
-        conf.set(key, str(BATCH_ROWS))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(conf.get(key).lower().removesuffix("b")) > BATCH_BYTES:
+        conf.set(key, str(BATCH_BYTES))
 
 
 def map_texts(frame: DataFrame, text: str, keep: Sequence[str], schema: StructType | str,

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pontualis.llm import decontamination, near_dedup, quality_rules, secret_scan
+from pontualis.llm import (decontamination, near_dedup, quality_rules, secret_scan,
+                           wavelet_files)
 from pontualis.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,3 +114,9 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts,
                         F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
                         secret_scan.listed(spans).alias("spans"))
+
+
+@_query
+def op4_wavelet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet_files.stored(read(spark, sf_dir, "documents"),
+                                public_tokenizers.path("byte_bpe_50k.json"))
