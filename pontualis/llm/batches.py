@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,3 +51,41 @@ def map_texts(frame: DataFrame, text: str, keep: Sequence[str], schema: StructTy
 
     mapped = source.mapInArrow(run, StructType([*kept]).add("_out", fields))
     return mapped.select(*[F.col(n).alias(c) for n, c in zip(neutral, keep)], "_out")
+
+
+def grouped(batches: Iterator[pa.RecordBatch], keys: Sequence[str],
+            most: int | None = None) -> Iterator[pa.Table]:
+    """Rows of batches sorted by integer keys, in runs of equal keys.
+
+    A run may cross batches.  ``most`` cuts longer runs, so that no run, however
+    many rows its key has, is held whole.
+    """
+    held: list[pa.RecordBatch] = []
+    rows, last = 0, None
+
+    def table() -> pa.Table:
+        return pa.Table.from_batches(held).combine_chunks()
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy() for k in keys]
+        change = np.zeros(batch.num_rows, bool)
+        for c in columns:
+            change[1:] |= c[1:] != c[:-1]
+        cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+        for begin, end in zip(cuts[:-1], cuts[1:]):
+            now = tuple(c[begin] for c in columns)
+            if held and now != last:
+                yield table()
+                held, rows = [], 0
+            last = now
+            while begin < end:
+                size = end - begin if most is None else min(end - begin, most - rows)
+                held.append(batch.slice(begin, size))
+                begin, rows = begin + size, rows + size
+                if rows == most:
+                    yield table()
+                    held, rows = [], 0
+    if held:
+        yield table()

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pontualis.llm.batches import fit_batches, map_texts
+from pontualis.llm.batches import fit_batches, grouped, map_texts
 from pontualis.llm.components import components
 from pontualis.llm.tables import Workspace, join_unique
 from pontualis.llm.words import (LOWER, NOT_SPACE, mix, shingle_sets, slices, stream, texts_of,
@@ -165,32 +165,9 @@ def _estimated(batches):
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
-def _grouped(batches, keys: list[str]):
-    """Rows of sorted batches in runs of equal keys; a run may cross batches."""
-    open_: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch.column(k).to_numpy() for k in keys]
-        change = np.zeros(batch.num_rows, bool)
-        for c in columns:
-            change[1:] |= c[1:] != c[:-1]
-        cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
-        for begin, end in zip(cuts[:-1], cuts[1:]):
-            now = tuple(c[begin] for c in columns)
-            if now != last and open_:
-                yield pa.Table.from_batches(open_).combine_chunks()
-                open_ = []
-            open_.append(batch.slice(begin, end - begin))
-            last = now
-    if open_:
-        yield pa.Table.from_batches(open_).combine_chunks()
-
-
 def _cross_pairs(batches):
     """Possible pairs inside a block, or between two, of members in different components."""
-    for group in _grouped(batches, ["key", "low", "high"]):
+    for group in grouped(batches, ["key", "low", "high"]):
         ids = group["rep"].to_numpy()
         comp, block = group["component"].to_numpy(), group["block"].to_numpy()
         low, high = group["low"][0].as_py(), group["high"][0].as_py()

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pontualis.llm import (decontamination, near_dedup, quality_rules, secret_scan,
-                           wavelet_files)
+from pontualis.llm import (decontamination, near_dedup, packing, quality_rules,
+                           secret_scan, url_templates, wavelet_files)
 from pontualis.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,3 +120,13 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_wavelet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet_files.stored(read(spark, sf_dir, "documents"),
                                 public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_query
+def op7_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_templates.judge_urls(read(spark, sf_dir, "pages"))
+
+
+@_query
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.items_of(read(spark, sf_dir, "documents")))
