@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pontualis.llm import (decontamination, near_dedup, packing, quality_rules,
-                           secret_scan, url_templates, wavelet_files)
+                           secret_scan, substring_dedup, url_templates, wavelet_files)
 from pontualis.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,3 +130,8 @@ def op7_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.items_of(read(spark, sf_dir, "documents")))
+
+
+@_query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.find_repeats(read(spark, sf_dir, "documents"))
