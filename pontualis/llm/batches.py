@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -17,8 +20,31 @@ from pontualis.llm.words import SLICE_BYTES, slices
 BATCH_BYTES = 8 << 20
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(frame: DataFrame) -> None:
+    """Send this package to the executors once per application, which need not have it."""
+    context = frame.sparkSession.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="pontualis-"), "pontualis.zip")
+    with zipfile.ZipFile(path, "w") as packed:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                packed.write(full, os.path.relpath(full, os.path.dirname(root)))
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
+
+
 def fit_batches(frame: DataFrame) -> None:
-    """Bound the Arrow batches of this session in bytes; a smaller setting is kept."""
+    """Prepare a session for Arrow maps: code on the executors, and batches bounded in bytes.
+
+    A smaller bound of the session is kept.
+    """
+    ship_package(frame)
     conf = frame.sparkSession.conf
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if int(conf.get(key).lower().removesuffix("b")) > BATCH_BYTES:

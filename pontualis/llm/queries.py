@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pontualis.llm import (decontamination, near_dedup, packing, quality_rules,
-                           secret_scan, substring_dedup, url_templates, wavelet_files)
+from pontualis.llm import (decontamination, merkle_audit, near_dedup, packing, personal_data,
+                           quality_rules, secret_scan, substring_dedup, url_templates,
+                           wavelet_files)
 from pontualis.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,3 +136,19 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.find_repeats(read(spark, sf_dir, "documents"))
+
+
+@_query
+def op5_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The replica that is audited has faults at known page ids."""
+    return merkle_audit.audited(read(spark, sf_dir, "pages"))
+
+
+@_query
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find_personal_data(read(spark, sf_dir, "documents"))
+    base, spans = F.col("_out.base"), F.col("_out.spans")
+    counts = [personal_data.count_kind(base, k).alias(f"n_{k}") for k in personal_data.BASE_KINDS]
+    return found.select("doc_id", *counts,
+                        F.sha2(personal_data.listed(base), 256).alias("base_sha256"),
+                        personal_data.listed(spans).alias("spans"))
