@@ -8,10 +8,10 @@ estimate from the registers discards those far below the limit, and the full
 sets of the rest are compared.
 
 Texts with equal sets are one class from the start.  In every band bucket all
-members are compared with the smallest one.  Only members that are then still
-in different components are compared with each other, in blocks, so a large
-group of near copies costs a star and not all its pairs, and no link between
-different components is left untested.
+members are compared with the smallest one, its leader.  Only texts of a leader
+that are then still in different components are compared with each other, in
+blocks, so a large group of near copies costs a star and not all its pairs, and no
+link between different components is left untested.
 
 A pair at similarity 0.75 shares no band with a probability of about 1e-10.
 """
@@ -38,8 +38,8 @@ BAND_ROWS = 3
 BANDS = BUCKETS // BAND_ROWS
 # An estimate this many standard deviations below the limit is discarded.
 DEVIATIONS = 6.0
-# Members of a bucket that are compared with each other in one block.
-BLOCK = 512
+# Shingles of the texts that are compared with each other in one block.
+BLOCK = 1 << 20
 # Pairs of one text that are verified in one task.
 STAR = 1000
 
@@ -165,28 +165,50 @@ def _estimated(batches):
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
-def _cross_pairs(batches):
-    """Possible pairs inside a block, or between two, of members in different components."""
-    for group in grouped(batches, ["key", "low", "high"]):
-        ids = group["rep"].to_numpy()
-        comp, block = group["component"].to_numpy(), group["block"].to_numpy()
-        low, high = group["low"][0].as_py(), group["high"][0].as_py()
-        lead, size = group["lead"].to_numpy(), group["n"].to_numpy()
-        registers = _matrix(group["registers"].combine_chunks())
-        found: list[np.ndarray] = []
+def _table_sets(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Shingle sets of all texts of a table, worked out slice by slice."""
+    parts = [_sets(part.column("text")) for batch in table.to_batches()
+             for part in slices(batch, "text")]
+    sizes = np.concatenate([np.diff(bounds) for _, bounds in parts])
+    return np.concatenate([sets for sets, _ in parts]), np.concatenate(([0], np.cumsum(sizes)))
+
+
+def _cross_links(batches):
+    """Links inside a block, or between two, of texts that are in different components.
+
+    Estimates leave some pairs possible, and those are compared in full at once.
+    Components that a link joins are one from then on, so a block gives at most
+    one link for each of its texts.
+    """
+    for group in grouped(batches, ["lead", "low", "high"]):
+        sets, bounds = _table_sets(group)
+        registers, size = registers_of(sets, bounds), np.diff(bounds)
+        ids, comp = group["id"].to_numpy(), group["component"].to_numpy().copy()
+        block, low, high = group["block"].to_numpy(), group["low"][0].as_py(), group["high"][0].as_py()
+        pool, found = np.flatnonzero(block == high), []
         for i in np.flatnonzero(block == low):
-            others = (block == high) & (comp != comp[i]) & (ids != lead)
+            other = pool[(comp[pool] != comp[i]) & (size[pool] > 0)]
             if low == high:
-                others &= ids > ids[i]
-            other = np.flatnonzero(others)
-            if ids[i] == lead[i] or not len(other):
+                other = other[ids[other] > ids[i]]
+            if not len(other) or not size[i]:
                 continue
-            keep = possible(registers[i][None], registers[other], size[i][None], size[other])
-            pair = np.stack((np.full(keep.sum(), ids[i]), ids[other[keep]]))
-            found.append(np.sort(pair, axis=0))
+            other = other[possible(registers[i][None], registers[other], size[i], size[other])]
+            if not len(other):
+                continue
+            own = sets[bounds[i]:bounds[i + 1]]
+            theirs = np.concatenate([sets[bounds[j]:bounds[j + 1]] for j in other])
+            place = np.minimum(np.searchsorted(own, theirs), len(own) - 1)
+            begin = np.concatenate(([0], np.cumsum(size[other])[:-1]))
+            shared = np.add.reduceat((own[place] == theirs).astype(np.int64), begin)
+            near = 100 * shared >= MIN_PERCENT * (size[i] + size[other] - shared)
+            for j in other[near]:
+                if comp[j] != comp[i]:
+                    found.append(sorted((int(ids[i]), int(ids[j]))))
+                    comp[comp == comp[j]] = comp[i]
         if found:
-            pairs = np.concatenate(found, axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+            a, b = zip(*found)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
 def _verified(batches):
@@ -265,22 +287,22 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
         F.min("rep").alias("lead"), F.count(F.lit(1)).alias("members")).where("members > 1"),
         "buckets")
     rows = reps.count()
-    members = workspace.save(join_unique(bands, buckets, ["key"], "members", rows), "members")
+    members = join_unique(bands, buckets, ["key"], "members", rows)
 
     texts = source.where("id IS NOT NULL")
     if not several.isEmpty():
         texts = _own_texts(texts, several, digest)
-    pairs = members.where("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b"))
+    pairs = workspace.save(members.where("rep <> lead").select(
+        F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
     x = reps.select(F.col("rep").alias("a"), "n", F.col("registers").alias("x"))
     y = reps.select(F.col("rep").alias("b"), F.col("n").alias("m"), F.col("registers").alias("y"))
-    stars = workspace.save(pairs.distinct().join(x, "a").join(y, "b")
+    stars = workspace.save(pairs.join(x, "a").join(y, "b")
                            .mapInArrow(_estimated, "a bigint, b bigint"), "stars")
     links = workspace.save(verify(stars, texts).distinct(), "star-links")
     labels = components(workspace, links, "star-labels")
 
-    crossing = workspace.save(_crossing(members, reps, labels).distinct(), "crossing")
-    if not crossing.isEmpty():
-        more = workspace.save(verify(crossing, texts).distinct(), "cross-links")
+    more = workspace.save(_crossing(pairs, reps, labels, texts).distinct(), "cross-links")
+    if not more.isEmpty():
         labels = components(workspace, links.union(more), "all-labels")
 
     found = classes.join(labels.toDF("rep", "component_id"), "rep", "left").select(
@@ -300,26 +322,29 @@ def _own_texts(texts: DataFrame, several: DataFrame, digest: list[str]) -> DataF
     return other.unionByName(own)
 
 
-def _crossing(members: DataFrame, reps: DataFrame, labels: DataFrame) -> DataFrame:
-    """Possible pairs of bucket members in different components, other than with the leader."""
-    labelled = (members.where("members > 2").join(labels.toDF("rep", "label"), "rep", "left")
-                .select("key", "rep", "lead", "members",
-                        F.coalesce("label", "rep").alias("component")))
-    mixed = (labelled.groupBy("key").agg(F.min("component").alias("low"),
-                                         F.max("component").alias("high"),
-                                         F.first("members").alias("size"))
-             .where("low <> high").select("key", "size"))
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    placed = (labelled.join(mixed.select("key"), "key", "left_semi")
-              .withColumn("blocks", blocks).withColumn("block", own)
+def _crossing(pairs: DataFrame, reps: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between texts that share a leader, and so perhaps a bucket, across components.
+
+    The texts of a leader are dealt into blocks of about ``BLOCK`` shingles, and every
+    pair of blocks is one unit of work.
+    """
+    group = (pairs.join(reps.select(F.col("rep").alias("b"), "n"), "b")
+             .join(labels.toDF("b", "label"), "b", "left")
+             .select(F.col("a").alias("lead"), F.col("b").alias("id"), "n",
+                     F.coalesce("label", "b").alias("component")))
+    mixed = (group.groupBy("lead").agg(
+        F.min("component").alias("least"), F.max("component").alias("most"),
+        F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
+        .where("least <> most").select("lead", "blocks"))
+    placed = (group.join(mixed, "lead")
+              .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .withColumn("low", F.least("block", "other"))
               .withColumn("high", F.greatest("block", "other")))
-    return (placed.join(reps, "rep")
-            .select("key", "low", "high", "block", "rep", "component", "lead", "n", "registers")
-            .repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-            .mapInArrow(_cross_pairs, "a bigint, b bigint"))
+    return (placed.join(texts, "id")
+            .select("lead", "low", "high", "block", "id", "component", "text")
+            .repartition("lead", "low", "high").sortWithinPartitions("lead", "low", "high")
+            .mapInArrow(_cross_links, "a bigint, b bigint"))
 
 
 def _placed(sketches, linkable, several, found, digest, workspace) -> DataFrame:
