@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from pontualis.llm.batches import fit_batches, grouped, map_texts
 from pontualis.llm.components import components
-from pontualis.llm.tables import Workspace, join_unique
+from pontualis.llm.tables import BROADCAST_IDS, Workspace, broadcast_up_to, join_unique
 from pontualis.llm.words import (LOWER, NOT_SPACE, mix, shingle_sets, slices, stream, texts_of,
                                  words_of)
 
@@ -301,7 +301,8 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     links = workspace.save(verify(stars, texts).distinct(), "star-links")
     labels = components(workspace, links, "star-labels")
 
-    more = workspace.save(_crossing(pairs, reps, labels, texts).distinct(), "cross-links")
+    crossing = workspace.save(_crossing(pairs, reps, labels), "crossing")
+    more = workspace.save(_crossing_links(crossing, texts).distinct(), "cross-links")
     if not more.isEmpty():
         labels = components(workspace, links.union(more), "all-labels")
 
@@ -313,6 +314,24 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
         F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
+def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents that ``link`` keeps, one row per id; rows without an id stay.
+
+    Ids to drop are broadcast up to ``BROADCAST_IDS`` of them, and joined by a shuffle
+    beyond.  Of rows that share a kept id one stays.
+    """
+    workspace = Workspace(docs.sparkSession, "near-dedup")
+    linked = workspace.save(link(docs, doc_id, text).select(doc_id, "kept"), "linked")
+    drop = broadcast_up_to(linked.where("NOT kept").select(doc_id), BROADCAST_IDS)
+    kept = docs.join(drop, doc_id, "left_anti")
+    repeated = workspace.save(linked.where(F.col("kept") & F.col(doc_id).isNotNull())
+                              .groupBy(doc_id).count().where("count > 1").select(doc_id), "repeated")
+    if repeated.isEmpty():
+        return kept
+    once = kept.join(repeated, doc_id, "left_semi").dropDuplicates([doc_id])
+    return kept.join(repeated, doc_id, "left_anti").unionByName(once).select(*docs.columns)
+
+
 def _own_texts(texts: DataFrame, several: DataFrame, digest: list[str]) -> DataFrame:
     """For ids with several texts, only the one whose digest counts."""
     other = texts.join(several.select("id"), "id", "left_anti")
@@ -322,8 +341,8 @@ def _own_texts(texts: DataFrame, several: DataFrame, digest: list[str]) -> DataF
     return other.unionByName(own)
 
 
-def _crossing(pairs: DataFrame, reps: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links between texts that share a leader, and so perhaps a bucket, across components.
+def _crossing(pairs: DataFrame, reps: DataFrame, labels: DataFrame) -> DataFrame:
+    """Texts that share a leader, and so perhaps a bucket, with one in another component.
 
     The texts of a leader are dealt into blocks of about ``BLOCK`` shingles, and every
     pair of blocks is one unit of work.
@@ -336,12 +355,17 @@ def _crossing(pairs: DataFrame, reps: DataFrame, labels: DataFrame, texts: DataF
         F.min("component").alias("least"), F.max("component").alias("most"),
         F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
         .where("least <> most").select("lead", "blocks"))
-    placed = (group.join(mixed, "lead")
-              .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .withColumn("low", F.least("block", "other"))
-              .withColumn("high", F.greatest("block", "other")))
-    return (placed.join(texts, "id")
+    return (group.join(mixed, "lead")
+            .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumn("low", F.least("block", "other"))
+            .withColumn("high", F.greatest("block", "other"))
+            .select("lead", "low", "high", "block", "id", "component"))
+
+
+def _crossing_links(crossing: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links across components inside the blocks and pairs of blocks of each leader."""
+    return (crossing.join(texts, "id")
             .select("lead", "low", "high", "block", "id", "component", "text")
             .repartition("lead", "low", "high").sortWithinPartitions("lead", "low", "high")
             .mapInArrow(_cross_links, "a bigint, b bigint"))

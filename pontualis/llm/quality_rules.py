@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pontualis.llm.batches import fit_batches, map_texts
+from pontualis.llm.tables import BROADCAST_IDS, broadcast_up_to
 from pontualis.llm.words import (LEADING, NOT_SPACE, Texts, Words, byte_class, lines_of, per_text,
                                  repeated, slices, texts_of, window_hashes, words_of)
 
@@ -31,9 +32,6 @@ SMOOTHING = 1.0
 THRESHOLD = -0.12
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-# Ids of trusted documents are broadcast up to this number (16 bytes each) and joined by
-# a shuffle beyond it.
-BROADCAST_IDS = 2_000_000
 
 # The characters counted as symbols.
 SYMBOLS = byte_class(*[(ord(c), ord(c)) for c in "#*$%&|<>"])
@@ -84,8 +82,7 @@ def mark_trusted(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str) ->
     """
     ids = (trusted.select(F.col(doc_id).alias("i")).where("i IS NOT NULL").distinct()
            .withColumn("trusted", F.lit(True)))
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
+    ids = broadcast_up_to(ids, BROADCAST_IDS)
     return (docs.select(F.col(f"`{doc_id}`").alias("i"), F.col(f"`{text}`").alias("t"))
             .join(ids, "i", "left")
             .select("t", F.coalesce("trusted", F.lit(False)).alias("trusted")))

@@ -12,6 +12,8 @@ from pontualis.session import shared_folder
 
 # A key with more than this share of all rows is hot; at most 1 / share keys can be.
 HOT_SHARE = 1 / 500
+# Ids are broadcast up to this number (about 16 bytes each), and joined by a shuffle beyond.
+BROADCAST_IDS = 2_000_000
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +43,11 @@ class Workspace:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def broadcast_up_to(frame: DataFrame, rows: int) -> DataFrame:
+    """The frame, marked for broadcast if its counted rows are few enough."""
+    return F.broadcast(frame) if frame.count() <= rows else frame
+
+
 def join_unique(left: DataFrame, right: DataFrame, keys: Sequence[str], count: str,
                 rows: int, how: str = "inner") -> DataFrame:
     """Join many rows to a table with one row per key, of which some keys are hot.
