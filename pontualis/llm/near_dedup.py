@@ -234,6 +234,11 @@ def _verified(batches):
                     [pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
+def _only(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts of some ids, so that no others are shuffled to be compared."""
+    return texts.join(broadcast_up_to(ids.distinct(), BROADCAST_IDS), "id", "left_semi")
+
+
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Links among candidate pairs (a, b), by the full sets of ``texts`` (id, text).
 
@@ -246,7 +251,8 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("kind")))
     leaders = stars.select(F.col("a").alias("id"), F.col("a").alias("lead"), F.explode(
         F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind"))
-    return (leaders.unionByName(members).join(texts, "id")
+    needed = leaders.select("id").union(members.select("id"))
+    return (leaders.unionByName(members).join(_only(texts, needed), "id")
             .repartition("lead", "salt").sortWithinPartitions("lead", "salt", "kind")
             .mapInArrow(_verified, "a bigint, b bigint"))
 
@@ -365,7 +371,7 @@ def _crossing(pairs: DataFrame, reps: DataFrame, labels: DataFrame) -> DataFrame
 
 def _crossing_links(crossing: DataFrame, texts: DataFrame) -> DataFrame:
     """Links across components inside the blocks and pairs of blocks of each leader."""
-    return (crossing.join(texts, "id")
+    return (crossing.join(_only(texts, crossing.select("id")), "id")
             .select("lead", "low", "high", "block", "id", "component", "text")
             .repartition("lead", "low", "high").sortWithinPartitions("lead", "low", "high")
             .mapInArrow(_cross_links, "a bigint, b bigint"))
