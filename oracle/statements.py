@@ -76,6 +76,26 @@ _RAW_WINDOWS = f"""
     WHERE trim(r.route_short_name) = trim(t.trip_short_name)
         AND {wrapped_minutes('f.start_time', 'f.end_time')} > 0"""
 
+# Joined timetable rows of all feed versions, without the agency.
+_UNFLOORED = f"""
+    SELECT c.data, t.service_id, t.trip_headsign, t.trip_id, t.shape_id,
+        CASE t.direction_id WHEN '0' THEN 'I' WHEN '1' THEN 'V' ELSE 'C' END AS sentido,
+        {seconds('f.start_time')} AS start_seconds, {seconds('f.end_time')} AS end_seconds,
+        t.route_id, t.trip_short_name, c.tipo_os,
+        CAST(round(f.headway_secs / 60.0::DOUBLE) AS BIGINT) AS headway,
+        t.feed_version, t.feed_start_date, t.feed_end_date, t.versao_modelo
+    FROM fx_trips t
+    JOIN fx_frequencies f USING (feed_version, feed_start_date, feed_end_date, trip_id,
+                                 versao_modelo)
+    JOIN fx_routes r ON t.feed_version = r.feed_version AND t.feed_start_date = r.feed_start_date
+        AND t.route_id = r.route_id AND t.versao_modelo = r.versao_modelo
+    JOIN (SELECT k.*, x.service_id FROM fx_calendario k,
+              LATERAL (SELECT unnest(k.service_ids) AS service_id) x WHERE k.data {PERIOD}) c
+        ON t.feed_version = c.feed_version AND t.feed_start_date = c.feed_start_date
+        AND t.service_id = c.service_id
+    WHERE trim(r.route_short_name) = trim(t.trip_short_name)
+        AND {wrapped_minutes('f.start_time', 'f.end_time')} > 0"""
+
 _STATEMENTS = {
     # scans and sources
     "scan_trips": "SELECT * FROM s_trips",
@@ -171,6 +191,7 @@ _STATEMENTS = {
     "join_band_match": "SELECT * FROM matched",
     "join_band_match_departures": "SELECT * FROM matched",
     "join_band_match_plain": "SELECT * FROM matched",
+    "join_band_match_left": "SELECT * FROM paired",
     "join_weights": """
         SELECT faixa, numero, servico, viagens, total_viagens, round(peso, 6) AS peso
         FROM shares""",
@@ -200,7 +221,9 @@ _STATEMENTS = {
     "hour_share_weight": _by_bucket("hora", "round(peso, 6) AS peso"),
     "quarter_share_weight": _by_bucket("SubFaixa15", "round(peso, 6) AS peso"),
     "hour_regularity": _by_bucket("hora", "round(media * peso, 6) AS score"),
+    "hour_regularity_worst": _by_bucket("hora", "round(media * peso, 6) AS score"),
     "quarter_regularity": _by_bucket("SubFaixa15", "round(media * peso, 6) AS score"),
+    "quarter_regularity_best": _by_bucket("SubFaixa15", "round(media * peso, 6) AS score"),
     "regularity_rollup": """
         SELECT servico, round(avg(media * peso), 6) AS score, faixa FROM shares
         GROUP BY servico, faixa""",
@@ -211,11 +234,39 @@ _STATEMENTS = {
             (SELECT count(*) FROM windows) AS linhas_distintas,
             round((SELECT count(*) {_RAW_WINDOWS})::DOUBLE
                 / (SELECT count(*) FROM windows)::DOUBLE, 6) AS razao""",
-    "audit_feed_floor_sweep": """
-        SELECT feed_version, linhas, CAST(sum(linhas) OVER (ORDER BY feed_version DESC) AS BIGINT)
-            AS linhas_com_piso
-        FROM (SELECT feed_version, count(*) AS linhas
-            FROM (SELECT DISTINCT * EXCLUDE (consorcio) FROM windows) d GROUP BY ALL) z""",
+    "audit_feed_floor_sweep": f"""
+        SELECT * FROM (WITH raw AS ({_UNFLOORED})
+        SELECT feed_version, brutas, linhas,
+            CAST(sum(brutas) OVER (ORDER BY feed_version DESC) AS BIGINT) AS brutas_com_piso,
+            CAST(sum(linhas) OVER (ORDER BY feed_version DESC) AS BIGINT) AS linhas_com_piso
+        FROM (SELECT feed_version, count(*) AS brutas FROM raw GROUP BY ALL) a
+        JOIN (SELECT feed_version, count(*) AS linhas FROM (SELECT DISTINCT * FROM raw) d
+              GROUP BY ALL) b USING (feed_version)) q""",
+    "audit_feed_match": f"""
+        SELECT * FROM (WITH trips AS (
+            SELECT row_number() OVER () AS n, * FROM fx_viagem_completa
+            WHERE data {PERIOD} AND tempo_viagem > 0),
+        found AS (
+            SELECT n, count(f.feed_version) AS feeds,
+                coalesce(bool_or(trim(v.versao_modelo) = trim(f.versao_modelo)), false) AS same
+            FROM trips v LEFT JOIN fx_feed_info f ON f.feed_version >= {FLOOR}
+                AND v.inicio_periodo >= f.feed_start_date AND v.fim_periodo <= f.feed_end_date
+            GROUP BY n)
+        SELECT count(*) AS viagens, count_if(feeds = 0)::BIGINT AS em_nenhum_feed,
+            count_if(feeds = 1)::BIGINT AS em_um_feed, count_if(feeds > 1)::BIGINT AS em_varios_feeds,
+            coalesce(sum(feeds), 0)::BIGINT AS linhas, count_if(same)::BIGINT AS com_modelo_igual
+        FROM found) q""",
+    "audit_match_yield": """
+        SELECT * FROM (WITH done AS (
+            SELECT DISTINCT servico_realizado AS servico, datetime_partida AS partida,
+                datetime_chegada AS chegada, tempo_viagem AS tempo FROM observed),
+        pairs AS (
+            SELECT service_VR AS servico, datetime_partida_VR AS partida,
+                datetime_chegada_VR AS chegada, tempo_viagem_VR AS tempo, count(*) AS n
+            FROM matched GROUP BY ALL)
+        SELECT CAST(partida AS DATE) AS data, servico, count(*) AS viagens,
+            count(n) AS viagens_associadas, coalesce(sum(n), 0)::BIGINT AS pares
+        FROM done LEFT JOIN pairs USING (servico, partida, chegada, tempo) GROUP BY 1, 2) q""",
     "audit_column_quality": " UNION ALL ".join(
         _quality(c) for c in ("id_empresa", "id_veiculo", "servico_informado",
                               "servico_realizado", "versao_modelo")),
@@ -226,6 +277,11 @@ _STATEMENTS = {
             servico_realizado, vista, trip_id, shape_id, sentido, datetime_partida,
             datetime_chegada, tempo_viagem, feed_version, feed_start_date, versao_modelo
         FROM generated_by_trip""",
+    "planned_month_departures": f"""
+        SELECT DISTINCT consorcio, data, tipo_dia, {KEY_PLANNED} AS id_viagem,
+            servico_realizado, vista, trip_id, shape_id, sentido, datetime_partida,
+            datetime_chegada, tempo_viagem, feed_version, feed_start_date, versao_modelo
+        FROM generated_by_trip""",
     "realised_sequence": "SELECT * FROM observed",
     "realised_sequence_by_service": f"""
         SELECT row_number() OVER (

@@ -59,7 +59,7 @@ SOURCES = {
         SELECT feed_version, feed_start_date, feed_end_date,
             'R' || CAST(s_suppkey AS VARCHAR) AS route_id,
             'A' || CAST(s_nationkey % 5 AS VARCHAR) AS agency_id,
-            lpad(CAST(s_suppkey AS VARCHAR), 4, '0')
+            lpad(CAST(s_suppkey AS VARCHAR), CAST(greatest(4, length(CAST(s_suppkey AS VARCHAR))) AS INTEGER), '0')
                 || CASE WHEN s_suppkey % 7 = 0 THEN '  ' ELSE '' END AS route_short_name,
             versao_modelo
         FROM supplier CROSS JOIN fx_feed_info CROSS JOIN (VALUES (0), (1)) dup(k)
@@ -67,10 +67,10 @@ SOURCES = {
     "fx_trips": """
         SELECT feed_version, feed_start_date, feed_end_date,
             'R' || CAST(s_suppkey AS VARCHAR) AS route_id, service_id,
-            lpad(CAST(s_suppkey AS VARCHAR), 4, '0') || '-' || sentido || '-' || service_id
+            lpad(CAST(s_suppkey AS VARCHAR), CAST(greatest(4, length(CAST(s_suppkey AS VARCHAR))) AS INTEGER), '0') || '-' || sentido || '-' || service_id
                 AS trip_id,
             'Vista ' || CAST(s_suppkey AS VARCHAR) AS trip_headsign,
-            lpad(CAST(s_suppkey AS VARCHAR), 4, '0') AS trip_short_name, direction_id,
+            lpad(CAST(s_suppkey AS VARCHAR), CAST(greatest(4, length(CAST(s_suppkey AS VARCHAR))) AS INTEGER), '0') AS trip_short_name, direction_id,
             'S' || CAST(s_suppkey AS VARCHAR) || sentido AS shape_id, versao_modelo
         FROM supplier CROSS JOIN fx_feed_info
         CROSS JOIN (VALUES ('0', 'I'), ('1', 'V')) d(direction_id, sentido)
@@ -98,7 +98,12 @@ SOURCES = {
                 ELSE DATE '2024-01-16' END AS feed_start_date,
             'm1' AS versao, CAST(data AS TIMESTAMP) + INTERVAL 1 DAY
                 AS datetime_ultima_atualizacao
-        FROM (SELECT DISTINCT CAST(ts AS DATE) AS data FROM events) z""",
+        FROM (SELECT DISTINCT CAST(ts AS DATE) AS data FROM events) z
+        UNION ALL
+        SELECT DISTINCT CAST(ts AS DATE), {DAY_TYPE.format('CAST(ts AS DATE)')}, NULL, 'Regular',
+            [{DAY_TYPE.format('CAST(ts AS DATE)')}], '2023-12-01', DATE '2023-12-01', 'm1',
+            CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY
+        FROM events WHERE CAST(ts AS DATE) IN (DATE '2024-01-03', DATE '2024-01-06')""",
     "fx_viagem_completa": f"""
         SELECT consorcio, data, tipo AS tipo_dia,
             CASE WHEN event_id % 40 = 0 THEN 'E' || CAST(s_suppkey AS VARCHAR)
@@ -139,7 +144,7 @@ SOURCES = {
                     || CASE WHEN e.event_id % 2 = 0 THEN 'I' ELSE 'V' END AS shape_id,
                 sp.consorcio, {DAY_TYPE.format('CAST(e.ts AS DATE)')} AS tipo
             FROM events e JOIN (
-                SELECT s_suppkey, s_nationkey, lpad(CAST(s_suppkey AS VARCHAR), 4, '0')
+                SELECT s_suppkey, s_nationkey, lpad(CAST(s_suppkey AS VARCHAR), CAST(greatest(4, length(CAST(s_suppkey AS VARCHAR))) AS INTEGER), '0')
                         AS servico,
                     CASE s_nationkey % 5 WHEN 0 THEN 'Internorte' WHEN 1 THEN 'Intersul'
                         WHEN 2 THEN 'Santa Cruz' WHEN 3 THEN 'Transcarioca' END AS consorcio,

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pontualis.config import AnalysisConfig
-from pontualis.operators import scans, timetable
+from pontualis.operators import observed, scans, timetable
 from pontualis.sources.tables import TransitTables
 
 
@@ -51,6 +52,12 @@ def timetable_containment(tables: TransitTables, cfg: AnalysisConfig) -> DataFra
     return result
 
 
+def _copies(windows: DataFrame) -> Column:
+    """Number of raw joined rows behind a row of counted inputs."""
+    return reduce(lambda a, b: a * b,
+                  [F.col(c) for c in windows.columns if c.startswith("_copies_")])
+
+
 def timetable_duplicates(tables: TransitTables, cfg: AnalysisConfig) -> DataFrame:
     """Rows of the timetable join over the raw inputs, distinct rows, and their ratio.
 
@@ -58,10 +65,8 @@ def timetable_duplicates(tables: TransitTables, cfg: AnalysisConfig) -> DataFram
     rows themselves are never produced.
     """
     windows = timetable.scheduled_windows(tables, cfg, reduce=timetable.counted_rows)
-    factors = [c for c in windows.columns if c.startswith("_copies_")]
-    copies = reduce(lambda a, b: a * b, [F.col(c) for c in factors])
-    columns = [c for c in windows.columns if c not in factors]
-    return (windows.groupBy(*columns).agg(F.sum(copies).alias("_copies"))
+    columns = [c for c in windows.columns if not c.startswith("_copies_")]
+    return (windows.groupBy(*columns).agg(F.sum(_copies(windows)).alias("_copies"))
             .agg(F.coalesce(F.sum("_copies"), F.lit(0)).alias("linhas"),
                  F.count(F.lit(1)).alias("linhas_distintas"))
             .withColumn("razao", F.try_divide(F.col("linhas").cast("double"),
@@ -71,14 +76,81 @@ def timetable_duplicates(tables: TransitTables, cfg: AnalysisConfig) -> DataFram
 def feed_floor_sweep(tables: TransitTables, cfg: AnalysisConfig) -> DataFrame:
     """Timetable rows each candidate feed floor would return, for all floors in one pass.
 
-    Every row belongs to one feed version, so a floor keeps the rows of its own
-    and all later versions.  The last step runs over one row per feed version.
+    Scans take every feed version, also those below the configured floor.  A row
+    belongs to one version, so a floor keeps the rows of its own and all later
+    versions.  Counted are the joined rows over the raw inputs (``brutas``) and the
+    distinct ones, both without the agency.  The last step runs over one row per
+    feed version.
     """
-    per_version = (timetable.timetable_windows(tables, cfg).drop("consorcio").distinct()
-                   .groupBy("feed_version").agg(F.count(F.lit(1)).alias("linhas")))
+    windows = timetable.scheduled_windows(tables, replace(cfg, feed_floor=""),
+                                          reduce=timetable.counted_rows, with_agency=False)
+    per_version = windows.groupBy("feed_version").agg(
+        F.sum(_copies(windows)).alias("brutas"), F.count(F.lit(1)).alias("linhas"))
     later = (Window.orderBy(F.desc("feed_version"))
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return per_version.withColumn("linhas_com_piso", F.sum("linhas").over(later))
+    return per_version.withColumns({
+        "brutas_com_piso": F.sum("brutas").over(later),
+        "linhas_com_piso": F.sum("linhas").over(later)})
+
+
+def feed_match(tables: TransitTables, cfg: AnalysisConfig) -> DataFrame:
+    """Where realised trips stay in the join with the feeds, as counts only.
+
+    Trips in, trips that lie in no feed, in one and in several, rows of the join, and
+    trips whose trimmed model version also equals that of a feed they lie in.  The
+    feeds are few: each trip is compared with them through the salted month join.
+    """
+    trips = scans.scan_realised(tables, cfg).select(
+        "id_viagem", "inicio_periodo", "fim_periodo", F.trim("versao_modelo").alias("_model"))
+    trips = trips.groupBy(*trips.columns).agg(F.count(F.lit(1)).alias("_trips"))
+    feeds = tables.feed_info.where(scans.feed_floor(cfg)).select(
+        "feed_version", "feed_start_date", "feed_end_date",
+        F.trim("versao_modelo").alias("_feed_model"))
+    found = (observed.join_feed_range(trips, feeds)
+             .groupBy("id_viagem", "inicio_periodo", "fim_periodo", "_model", "_trips").agg(
+                 F.count(F.lit(1)).alias("_feeds"),
+                 F.max(F.coalesce(F.col("_model") == F.col("_feed_model"), F.lit(False)))
+                 .alias("_same")))
+    n, feeds_of = F.col("_trips"), F.col("_feeds")
+    inside = found.agg(
+        F.sum(F.when(feeds_of == 1, n)).alias("um"), F.sum(F.when(feeds_of > 1, n)).alias("varios"),
+        F.sum(n * feeds_of).alias("linhas"), F.sum(F.when(F.col("_same"), n)).alias("modelo"))
+    zero = F.lit(0).cast("bigint")
+    total = trips.agg(F.coalesce(F.sum("_trips"), zero).alias("viagens"))
+    both = total.withColumn("_one", F.lit(1)).join(inside.withColumn("_one", F.lit(1)), "_one")
+    return both.select(
+        "viagens", (F.col("viagens") - F.coalesce("um", zero) - F.coalesce("varios", zero))
+        .alias("em_nenhum_feed"), F.coalesce("um", zero).alias("em_um_feed"),
+        F.coalesce("varios", zero).alias("em_varios_feeds"),
+        F.coalesce("linhas", zero).alias("linhas"),
+        F.coalesce("modelo", zero).alias("com_modelo_igual"))
+
+
+def match_yield(tables: TransitTables, matched: DataFrame, cfg: AnalysisConfig) -> DataFrame:
+    """Per day and service: realised departures, those with a match, and matched pairs.
+
+    Both sides are counted before they are joined.  A departure is identified as in
+    the matched table, by service, both times and duration.
+    """
+    keys = ["servico", "partida", "chegada", "tempo"]
+    done = (observed.observed_departures(tables, cfg)
+            .select(F.col("servico_realizado").alias("servico"),
+                    F.col("datetime_partida").alias("partida"),
+                    F.col("datetime_chegada").alias("chegada"),
+                    F.col("tempo_viagem").alias("tempo")).distinct())
+    pairs = matched.select(
+        F.col("service_VR").alias("servico"), F.col("datetime_partida_VR").alias("partida"),
+        F.col("datetime_chegada_VR").alias("chegada"), F.col("tempo_viagem_VR").alias("tempo"))
+    pairs = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("_pairs"))
+    day = F.col("partida").cast("date").alias("data")
+    all_ = done.groupBy(day, "servico").agg(F.count(F.lit(1)).alias("viagens"))
+    met = pairs.groupBy(day, "servico").agg(F.count(F.lit(1)).alias("viagens_associadas"),
+                                            F.sum("_pairs").alias("pares"))
+    zero = F.lit(0).cast("bigint")
+    return all_.join(met, ["data", "servico"], "left").select(
+        "data", "servico", "viagens",
+        F.coalesce("viagens_associadas", zero).alias("viagens_associadas"),
+        F.coalesce("pares", zero).alias("pares"))
 
 
 def column_quality(frame: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -10,6 +10,9 @@ from pontualis.operators import scans
 from pontualis.sources.tables import TransitTables
 
 
+_COPIES = 10_000
+
+
 def _explore_floor(cfg: AnalysisConfig) -> Column:
     return F.col("feed_version") >= F.lit(cfg.explore_floor)
 
@@ -63,10 +66,19 @@ def explore_trips(tables: TransitTables, cfg: AnalysisConfig) -> DataFrame:
 
 
 def explore_trips_realised(tables: TransitTables, cfg: AnalysisConfig) -> DataFrame:
-    """Planned trips once for each realised trip with their id; copies are kept."""
-    realised = tables.realised.where(scans.in_period(cfg)).select("trip_id")
+    """Planned trips once for each realised trip with their id; copies are kept.
+
+    Realised trips are counted per id before the join, so a busy trip is one row of
+    the shuffle.  The copies are made afterwards, in chunks of at most ``_COPIES``.
+    """
+    realised = (tables.realised.where(scans.in_period(cfg)).groupBy("trip_id")
+                .agg(F.count(F.lit(1)).alias("_times")))
+    chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_times") - 1) / _COPIES))
+    size = F.least(F.lit(_COPIES), F.col("_times") - F.col("_chunk") * _COPIES).cast("int")
     return (tables.trips.where(F.col("service_id").isin(*cfg.explored_service_ids))
             .join(realised, "trip_id")
+            .withColumn("_chunk", F.explode(chunks))
+            .withColumn("_copy", F.explode(F.array_repeat(F.lit(True), size)))
             .select("trip_id", "route_id", "service_id", "feed_version", "feed_start_date",
                     "feed_end_date"))
 

@@ -8,7 +8,8 @@ differ by at most ``counter_tolerance``.  The match is many to many.
 Three forms give the same rows:
 
 * ``match_plain``: the condition as it reads.  The keys carry no date, so each
-  realised trip meets every departure of its trip in the whole period.
+  realised trip meets every departure of its trip in the whole period.  It is kept
+  to check the others on small inputs; no registered query uses it.
 * ``match_departures``: departures and realised bands are laid over time cells.
 * ``match_windows``: time cells over timetable windows that were never expanded.
 """
@@ -151,6 +152,31 @@ def match_windows(windows: DataFrame, realised: DataFrame, cfg: AnalysisConfig)
     Only matched departures are ever generated: the planned side shuffles one
     row per window and hour instead of one per departure.
     """
+    return _matched(_window_pairs(windows, realised, cfg))
+
+
+def match_left(windows: DataFrame, realised: DataFrame, cfg: AnalysisConfig) -> DataFrame:
+    """``match_windows`` with the realised trips that match nothing, their planned side NULL.
+
+    Only the pairs go through the time cells; the trips without one are found by the
+    columns that identify a realised trip in the result.
+    """
+    found = _matched(_window_pairs(windows, realised, cfg))
+    trips = _realised_side(realised).select(
+        F.col("servico_realizado").alias("service_VR"), *MATCH_KEYS, "contador_VR",
+        *[c for c in MATCHED_TIMES if c.endswith("_VR")])
+    identity = [*MATCH_KEYS, "contador_VR", *[c for c in MATCHED_TIMES if c.endswith("_VR")]]
+    matched = _window_pairs(windows, realised, cfg).select(*identity).distinct()
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"m.{c}")) for c in identity]
+    alone = (trips.alias("r").join(matched.alias("m"), same, "left_anti")
+             .select(F.lit(None).cast("string").alias("servico_VP"), "service_VR",
+                     *[F.col(c) if c.endswith("_VR") else
+                       F.lit(None).cast(found.schema[c].dataType).alias(c)
+                       for c in MATCHED_TIMES]))
+    return found.unionByName(alone.distinct())
+
+
+def _window_pairs(windows: DataFrame, realised: DataFrame, cfg: AnalysisConfig) -> DataFrame:
     start, step = F.col("_start"), F.col("_step")
     low, high = _band_seconds(cfg)
     tolerance = cfg.counter_tolerance
@@ -166,4 +192,4 @@ def match_windows(windows: DataFrame, realised: DataFrame, cfg: AnalysisConfig)
                          clock.from_epoch_seconds(start + step * F.col("contador_VP")))
              .withColumn("datetime_chegada_VP",
                          clock.from_epoch_seconds(start + step * (F.col("contador_VP") + 1))))
-    return _matched(pairs.where(_in_band(cfg)))
+    return pairs.where(_in_band(cfg))

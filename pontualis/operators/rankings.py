@@ -39,10 +39,12 @@ def hour_service_mean(scored: DataFrame, digits: int) -> DataFrame:
 def rank_position(frame: DataFrame, score: str, unit: Column) -> DataFrame:
     """Positions from 1, best score first, equal scores by service.
 
-    ``unit`` is the score scaled to 0..1.  It places each service in one of
-    ``RANK_CELLS`` slices, so the numbering is spread over tasks.
+    ``unit`` grows with the score, at best from 0 to 1.  It places each service
+    in a slice of 1 / ``RANK_CELLS``, so the numbering is spread over tasks.
+    NULL scores come last, behind negative ones too.
     """
-    cell = F.coalesce(-F.floor(unit * RANK_CELLS), F.lit(1)).cast("bigint")
+    cell = F.struct(unit.isNull().alias("last"),
+                    (-F.floor(unit * RANK_CELLS)).cast("bigint").alias("slice"))
     return number_rows(frame, [], cell,
                        [F.col(score).desc_nulls_last(), F.col("servico").asc()], "posicao")
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pontualis.config import AnalysisConfig
+from pontualis.operators.salting import salted_join
 from pontualis.sources.tables import TransitTables
 
 
@@ -85,11 +86,14 @@ def consortium_agencies(tables: TransitTables, cfg: AnalysisConfig) -> DataFrame
             .distinct())
 
 
+def route_rows(tables: TransitTables, cfg: AnalysisConfig) -> DataFrame:
+    return _versioned(tables.routes, cfg, active_feeds(tables.calendar, cfg))
+
+
 def join_left_agency(tables: TransitTables, cfg: AnalysisConfig) -> DataFrame:
     """Routes of active feeds with the consortium name, NULL for other agencies."""
-    routes = _versioned(tables.routes, cfg, active_feeds(tables.calendar, cfg))
-    return routes.join(consortium_agencies(tables, cfg),
-                       ["agency_id", "versao_modelo"], "left")
+    return salted_join(route_rows(tables, cfg), consortium_agencies(tables, cfg),
+                       ["agency_id", "versao_modelo"], ["route_id"], "left")
 
 
 def scan_routes_agency(tables: TransitTables, cfg: AnalysisConfig) -> DataFrame:

@@ -10,6 +10,7 @@ from pontualis.functions import clock
 from pontualis.functions.keys import direction_code, trip_key_planned
 from pontualis.operators import scans
 from pontualis.operators.numbering import running_total_before
+from pontualis.operators.salting import salted_join
 from pontualis.sources.tables import TransitTables
 
 TRIP_FREQUENCY_KEYS = ["feed_version", "feed_start_date", "feed_end_date", "trip_id",
@@ -34,7 +35,7 @@ def join_routes(services: DataFrame, routes: DataFrame, how: str = "right") -> D
 
 
 def join_calendar(services: DataFrame, calendar: DataFrame) -> DataFrame:
-    return services.join(calendar, CALENDAR_KEYS)
+    return salted_join(services, calendar, CALENDAR_KEYS, ["trip_id"])
 
 
 def same_line(route_name: Column, trip_name: Column) -> Column:
@@ -66,7 +67,7 @@ def counted_rows(frame: DataFrame, source: str) -> DataFrame:
 
 def scheduled_windows(tables: TransitTables, cfg: AnalysisConfig,
                       day_columns: tuple[Column | str, ...] = ("tipo_os",),
-                      reduce=distinct_rows) -> DataFrame:
+                      reduce=distinct_rows, with_agency: bool = True) -> DataFrame:
     """Timetable windows per calendar day, each once.
 
     Windows that wrap past midnight have a negative duration and drop out;
@@ -75,15 +76,18 @@ def scheduled_windows(tables: TransitTables, cfg: AnalysisConfig,
     Each input is brought to the columns of the result, and its copies are
     removed before it is joined.  As the result carries all of these columns
     (or columns that determine them), the joins cannot produce a copy, and no
-    DISTINCT over the far larger joined table is needed.
+    DISTINCT over the far larger joined table is needed.  ``with_agency`` leaves the
+    consortium out where it is not asked for.
     """
     trips = reduce(scans.trip_rows(tables, cfg)
                    .withColumn("sentido", direction_code(F.col("direction_id")))
                    .drop("direction_id"), "trips")
     frequencies = reduce(frequency_times(scans.frequency_rows(tables, cfg))
                          .where("tempo_viagem > 0"), "frequencies")
-    routes = reduce(scans.join_left_agency(tables, cfg)
-                    .select(*ROUTE_KEYS, "agency_name",
+    agency = ["agency_name"] if with_agency else []
+    route_rows = scans.join_left_agency if with_agency else scans.route_rows
+    routes = reduce(route_rows(tables, cfg)
+                    .select(*ROUTE_KEYS, *agency,
                             F.trim("route_short_name").alias("route_short_name")), "routes")
     calendar = reduce(scans.calendar_rows(tables, cfg)
                       .select("data", *day_columns, *CALENDAR_KEYS), "calendar")
@@ -95,7 +99,7 @@ def scheduled_windows(tables: TransitTables, cfg: AnalysisConfig,
     day_type = [c for c in ("tipo_dia",) if c in calendar.columns]
     copies = [c for c in days.columns if c.startswith("_copies_")]
     return days.select(
-        "data", F.col("agency_name").alias("consorcio"), *day_type,
+        "data", *[F.col(c).alias("consorcio") for c in agency], *day_type,
         F.col("service_id").alias("servico_realizado"),
         F.col("trip_headsign").alias("vista"), "trip_id", "shape_id", "sentido",
         start.alias("datetime_partida"),

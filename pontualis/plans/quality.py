@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pontualis.config import AnalysisConfig
 from pontualis.operators import matching, observed, rankings, regularity, rush, scoring
 from pontualis.operators import timetable
-from pontualis.sources.matched import cached_matched
+from pontualis.sources.matched import cached_matched, fingerprint
 from pontualis.sources.ranking_csv import write_ranking_csv
 from pontualis.sources.tables import TransitTables
 
@@ -46,11 +46,25 @@ class QualityAnalysis:
             self._matched = matched_trips(self.tables, self.cfg)
         else:
             self._matched = cached_matched(
-                self.tables.realised.sparkSession, self.cache_path,
+                self.tables.realised.sparkSession, self.written_match,
                 lambda: matched_trips(self.tables, self.cfg), force)
         self.__dict__.pop("scored", None)
         return self
 
+    @cached_property
+    def written_match(self) -> str:
+        """Folder of the written match below ``cache_path``.
+
+        It is named after the parameters the match depends on and the files it is
+        computed from, so a match of another month, tolerance or input is not reused.
+        """
+        cfg, tables = self.cfg, self.tables
+        parameters = (cfg.start_date, cfg.end_date, cfg.feed_floor, tuple(cfg.agencies),
+                      cfg.association_factor, cfg.counter_tolerance)
+        frames = (tables.trips, tables.frequencies, tables.routes, tables.agency,
+                  tables.feed_info, tables.calendar, tables.realised)
+        return f"{self.cache_path.rstrip('/')}/{fingerprint(frames, parameters)}"
+
     @property
     def matched(self) -> DataFrame:
         if self._matched is None:

@@ -211,10 +211,14 @@ def filter_positive_duration(t):
             .select("feed_version", "trip_id", "tempo_viagem", "headway"))
 
 
+def _left_match(t: TransitTables) -> DataFrame:
+    return matching.match_left(timetable.numbered_windows(t, CFG),
+                               observed.observed_departures(t, CFG), CFG)
+
+
 @_tables_query
 def filter_not_null_pair(t):
-    return scoring.not_null_pairs(matching.match_plain(
-        timetable.planned_departures(t, CFG), observed.observed_departures(t, CFG), CFG, "left"))
+    return scoring.not_null_pairs(_left_match(t))
 
 
 @_tables_query
@@ -301,8 +305,13 @@ def join_band_match_departures(t):
 
 @_tables_query
 def join_band_match_plain(t):
-    return matching.match_plain(timetable.planned_departures(t, CFG),
-                                observed.observed_departures(t, CFG), CFG)
+    """The pairs among all realised trips, those without a match included before."""
+    return _left_match(t).where("servico_VP IS NOT NULL")
+
+
+@_tables_query
+def join_band_match_left(t):
+    return _left_match(t)
 
 
 @_regularity_query
@@ -371,11 +380,21 @@ def hour_regularity(a):
     return _rounded(a.hour_regularity(), "score")
 
 
+@_regularity_query
+def hour_regularity_worst(a):
+    return _rounded(a.hour_regularity(worst_first=True), "score")
+
+
 @_regularity_query
 def quarter_regularity(a):
     return _rounded(a.quarter_regularity(worst_first=True), "score")
 
 
+@_regularity_query
+def quarter_regularity_best(a):
+    return _rounded(a.quarter_regularity(), "score")
+
+
 @_regularity_query
 def regularity_rollup(a):
     hours = regularity.regularity_rollup(a.scored, regularity.HOUR)
@@ -404,6 +423,16 @@ def audit_feed_floor_sweep(t):
     return audits.feed_floor_sweep(t, CFG)
 
 
+@_tables_query
+def audit_feed_match(t):
+    return audits.feed_match(t, CFG)
+
+
+@_trip_query
+def audit_match_yield(a):
+    return audits.match_yield(a.tables, a.matched, CFG)
+
+
 @_tables_query
 def audit_column_quality(t):
     return audits.column_quality(
@@ -423,6 +452,12 @@ def planned_sequence_by_trip(t):
     return timetable.planned_departures_by_trip(t, CFG, "row_id")
 
 
+@_tables_query
+def planned_month_departures(t):
+    """Departures of the month-long counter without the counter itself."""
+    return timetable.planned_departures_by_trip(t, CFG)
+
+
 @_tables_query
 def realised_sequence(t):
     return observed.observed_departures(t, CFG)

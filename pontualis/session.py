@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -20,6 +21,9 @@ SETTINGS = {
 }
 
 
+_local_folders: dict[str, str] = {}
+
+
 def build_session(app_name: str = "pontualis", master: str | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -33,8 +37,16 @@ def build_session(app_name: str = "pontualis", master: str | None = None,
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, for tables written between jobs.
 
-    A cluster names it in ``spark.checkpoint.dir``.  Only where that is unset,
-    as in local tests, a temporary folder is used.
+    A cluster names it in ``spark.checkpoint.dir``.  Where that is unset, a local
+    master gets one temporary folder for its application; any other master gets an
+    error, as each executor would write to a disk of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder.rstrip("/") if folder else tempfile.mkdtemp(prefix="pontualis-")
+    if folder:
+        return folder.rstrip("/")
+    context = spark.sparkContext
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="pontualis-")
+    return _local_folders[context.applicationId]

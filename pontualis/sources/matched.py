@@ -7,11 +7,15 @@ the plans short.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pontualis import schemas
 from pontualis.operators.scoring import cast_types
+from pontualis.sources.csv_form import csv_reader, write_csv
 
 
 def is_written(spark: SparkSession, path: str) -> bool:
@@ -33,6 +37,27 @@ def read_matched(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.MATCHED).parquet(path)
 
 
+def fingerprint(frames: Iterable[DataFrame], parameters: object) -> str:
+    """Digest of parameters and of the input files behind some frames.
+
+    Files count with path, size and time of change, listed folder by folder.  A frame
+    without files counts by its logical plan.
+    """
+    digest = hashlib.sha256(repr(parameters).encode())
+    for frame in frames:
+        spark = frame.sparkSession
+        files = frame.inputFiles()
+        for folder in sorted({f.rpartition("/")[0] for f in files}):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+            for status in system.listStatus(path):
+                name = status.getPath().toString()
+                digest.update(f"{name} {status.getLen()} {status.getModificationTime()}".encode())
+        if not files:
+            digest.update(str(frame.semanticHash()).encode())
+    return digest.hexdigest()[:24]
+
+
 def cached_matched(spark: SparkSession, path: str, compute, force: bool = False) -> DataFrame:
     """The matched table at ``path``; ``compute()`` builds it when missing or forced."""
     if force or not is_written(spark, path):
@@ -44,13 +69,10 @@ def write_matched_csv(matched: DataFrame, path: str) -> None:
     """Semicolon-separated UTF-8 text with a header."""
     moments = [f.name for f in schemas.MATCHED if f.dataType.typeName() == "timestamp_ntz"]
     texts = matched.withColumns({c: F.col(c).cast("string") for c in moments})
-    (texts.write.mode("overwrite").option("sep", ";").option("header", True)
-          .option("encoding", "UTF-8").csv(path))
+    write_csv(texts, path)
 
 
 def read_matched_csv(spark: SparkSession, path: str) -> DataFrame:
     """Read the CSV form as text by column name, then cast to the matched types."""
     texts = ", ".join(f"{name} string" for name in schemas.MATCHED.names)
-    return cast_types(spark.read.option("sep", ";").option("header", True)
-                      .option("encoding", "UTF-8").option("enforceSchema", False)
-                      .schema(texts).csv(path))
+    return cast_types(csv_reader(spark).option("enforceSchema", False).schema(texts).csv(path))

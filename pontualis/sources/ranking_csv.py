@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pontualis import schemas
+from pontualis.sources.csv_form import csv_reader, write_csv
 
 
 def write_ranking_csv(ranking: DataFrame, path: str) -> None:
@@ -13,10 +14,8 @@ def write_ranking_csv(ranking: DataFrame, path: str) -> None:
     A ranking has one row per service, far fewer than trips, and a single
     readable file is the product.
     """
-    (ranking.orderBy("posicao").coalesce(1).write.mode("overwrite")
-            .option("sep", ";").option("header", True).option("encoding", "UTF-8").csv(path))
+    write_csv(ranking.orderBy("posicao").coalesce(1), path)
 
 
 def read_ranking_csv(spark: SparkSession, path: str) -> DataFrame:
-    return (spark.read.option("sep", ";").option("header", True).option("encoding", "UTF-8")
-            .schema(schemas.RANKING).csv(path))
+    return csv_reader(spark).schema(schemas.RANKING).csv(path)

@@ -12,10 +12,12 @@ from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pontualis import schemas
 from pontualis.config import AnalysisConfig
+from pontualis.operators.numbering import number_rows
 
 STAR_CONFIG = AnalysisConfig(
     start_date=date(2024, 1, 1), end_date=date(2024, 1, 30), feed_floor="2024-01-01")
@@ -42,7 +44,8 @@ _WINDOWS = _list(
     "'16:00:00', '19:00:00', 1L", "'19:00:00', '19:02:00', 1L", "'20:00:00', '21:00:00', 0L",
     "'22:00:00', '25:00:00', 1L", "'24:00:00', '26:00:00', 1L")
 
-_LINE = "lpad(CAST(s_suppkey AS STRING), 4, '0')"
+# Padded to four digits; longer numbers stay whole, as lpad would cut them.
+_LINE = ("lpad(CAST(s_suppkey AS STRING), greatest(4, length(CAST(s_suppkey AS STRING))), '0')")
 _DAY_TYPE = ("CASE dayofweek({0}) WHEN 1 THEN 'D_REG' WHEN 7 THEN 'S_REG' ELSE 'U_REG' END")
 _SECONDS = "CAST(CAST(ts - timestamp_ntz'1970-01-01 00:00:00' AS INTERVAL SECOND) AS BIGINT)"
 
@@ -96,10 +99,16 @@ _CALENDAR = f"""
         'm1' AS versao,
         CAST(data AS TIMESTAMP_NTZ) + INTERVAL '1' DAY AS datetime_ultima_atualizacao
     FROM (SELECT data, {_DAY_TYPE.format('data')} AS tipo_dia
-          FROM (SELECT DISTINCT CAST(ts AS DATE) AS data FROM {{events}}))"""
+          FROM (SELECT DISTINCT CAST(ts AS DATE) AS data FROM {{events}}))
+    UNION ALL
+    SELECT data, tipo_dia, CAST(NULL AS STRING), 'Regular', array(tipo_dia), '2023-12-01',
+        date'2023-12-01', 'm1', CAST(data AS TIMESTAMP_NTZ) + INTERVAL '1' DAY
+    FROM (SELECT data, {_DAY_TYPE.format('data')} AS tipo_dia
+          FROM (SELECT DISTINCT CAST(ts AS DATE) AS data FROM {{events}})
+          WHERE data IN (date'2024-01-03', date'2024-01-06'))"""
 
-# An event runs on the line whose number is the user id modulo the number of
-# lines.  Line numbers run from 0 without gaps, so an equality join finds it.
+# An event runs on the line whose rank among all lines, from 0, is the user id
+# modulo the number of lines.  Line numbers may have gaps.
 _REALISED = f"""
     SELECT CASE s_nationkey % 5 WHEN 0 THEN 'Internorte' WHEN 1 THEN 'Intersul'
             WHEN 2 THEN 'Santa Cruz' WHEN 3 THEN 'Transcarioca' END AS consorcio,
@@ -140,7 +149,10 @@ _REALISED = f"""
                   {_SECONDS} AS segundos, IF(event_id % 2 = 0, 'I', 'V') AS sentido,
                   user_id % (SELECT count(*) FROM {{supplier}}) AS line
               FROM {{events}}) e
-        JOIN {{supplier}} s ON e.line = s.s_suppkey)"""
+        JOIN {{lines}} s ON e.line = s.rank - 1)"""
+
+# Suppliers are ranked in cells of this many numbers, not in one sorted window.
+_RANK_CELL = 4096
 
 
 class StarTables:
@@ -187,7 +199,10 @@ class StarTables:
 
     @cached_property
     def realised(self) -> DataFrame:
-        return self._spark.sql(_REALISED, events=self._events, supplier=self._supplier)
+        lines = number_rows(self._supplier, [], F.floor(F.col("s_suppkey") / _RANK_CELL),
+                            ["s_suppkey"], "rank")
+        return self._spark.sql(_REALISED, events=self._events, supplier=self._supplier,
+                               lines=lines)
 
 
 def star_tables(spark: SparkSession, folder: str) -> StarTables:

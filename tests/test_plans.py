@@ -1,5 +1,6 @@
 """Shape of the physical plans on partitioned tables: what must and must not appear."""
 
+import os
 import re
 from dataclasses import replace
 from datetime import date
@@ -11,7 +12,8 @@ from pontualis.config import AnalysisConfig
 from pontualis.operators import matching, observed, rankings, scans, timetable
 from pontualis.plans.quality import QualityAnalysis, matched_trips
 from pontualis.sources.matched import is_written, read_matched_csv, write_matched_csv
-from pontualis.sources.ranking_csv import read_ranking_csv
+from pontualis.session import shared_folder
+from pontualis.sources.ranking_csv import read_ranking_csv, write_ranking_csv
 from pontualis.sources.star_tables import STAR_CONFIG, star_tables
 from pontualis.sources.tables import read_tables, write_tables
 from test_rankings import check_ranking
@@ -111,17 +113,80 @@ def test_best_trips_combine_before_the_shuffle(stored):
 
 def test_cache_is_reused_rewritten_and_survives_a_broken_write(spark, stored, tmp_path):
     path = str(tmp_path / "matched")
-    assert not is_written(spark, path)
-    analysis = QualityAnalysis(stored, CFG, "regularity", path).run()
-    assert is_written(spark, path) and analysis.matched.count() == 345
-    narrow = replace(CFG, counter_tolerance=0)
-    assert QualityAnalysis(stored, narrow, cache_path=path).run().matched.count() == 345
-    fewer = QualityAnalysis(stored, narrow, cache_path=path).run(force=True).matched.count()
-    assert 0 < fewer < 345
-    (tmp_path / "matched" / "_SUCCESS").unlink()
+    analysis = QualityAnalysis(stored, CFG, "regularity", path)
+    assert not is_written(spark, analysis.written_match)
+    assert analysis.run().matched.count() == 345 and is_written(spark, analysis.written_match)
+    again = QualityAnalysis(stored, CFG, "trip", path)
+    assert again.written_match == analysis.written_match
+    # Another scoring weight shares the match, another tolerance, floor or month does not.
+    assert QualityAnalysis(stored, replace(CFG, weight_travel=1.0), cache_path=path) \
+        .written_match == analysis.written_match
+    for change in ({"association_factor": 0.5}, {"feed_floor": "2024-01-16"},
+                   {"end_date": date(2024, 1, 9)}):
+        assert QualityAnalysis(stored, replace(CFG, **change), cache_path=path) \
+            .written_match != analysis.written_match
+    narrow = QualityAnalysis(stored, replace(CFG, counter_tolerance=0), cache_path=path)
+    assert 0 < narrow.run().matched.count() < 345
+    with open(f"{analysis.written_match}/_SUCCESS", "a"):
+        os.remove(f"{analysis.written_match}/_SUCCESS")
     assert QualityAnalysis(stored, CFG, cache_path=path).run().matched.count() == 345
 
 
+def test_changed_input_files_are_not_answered_from_the_old_match(spark, stored, tmp_path):
+    root, path = str(tmp_path / "tables"), str(tmp_path / "matched")
+    write_tables(replace(stored, realised=stored.realised.limit(40)), root)
+    old = QualityAnalysis(read_tables(spark, root), CFG, cache_path=path)
+    stored.realised.where("day(data) = 2").write.mode("append").partitionBy("data") \
+        .parquet(f"{root}/realised")
+    new = QualityAnalysis(read_tables(spark, root), CFG, cache_path=path)
+    assert old.written_match != new.written_match
+
+
+def test_no_shuffle_on_a_key_of_few_values(spark, stored):
+    """Without broadcasts, joins with feeds, calendar and agencies carry a salt."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for frame, keys in ((observed.realised_in_feeds(stored, CFG), "_month"),
+                            (timetable.timetable_windows(stored, CFG), "service_id"),
+                            (scans.join_left_agency(stored, CFG), "agency_id")):
+            found = [k for k in re.findall(r"hashpartitioning\(([^)]*)\)", plan(frame))
+                     if keys in k and "trip_headsign" not in k and "route_short" not in k]
+            joins = [k for k in found if k.count(",") <= 5]
+            assert any("_salt" in k for k in joins)
+            assert not [k for k in joins if re.match(rf"{keys}#\d+, \d+$", k)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+
+
+def test_csv_keeps_blanks_empty_text_and_null_apart(spark, tmp_path):
+    names = [" 006 ", "", None, 'a;"b"', "x\ny", "plain"]
+    rows = spark.createDataFrame([(i, n, 0.5) for i, n in enumerate(names)],
+                                 "posicao bigint, servico string, score double")
+    write_ranking_csv(rows, str(tmp_path / "r"))
+    got = read_ranking_csv(spark, str(tmp_path / "r")).orderBy("posicao").collect()
+    assert [r.servico for r in got] == names
+
+
+def test_shared_folder_needs_the_setting_on_a_cluster(spark):
+    class Session:
+        class conf:  # noqa: N801
+            value = None
+
+            @classmethod
+            def get(cls, key, default):
+                return cls.value
+
+        class sparkContext:  # noqa: N801
+            master, applicationId = "spark://host:7077", "app-1"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session)
+    Session.sparkContext.master = "local[2]"
+    assert shared_folder(Session) == shared_folder(Session)
+    Session.conf.value = "hdfs://shared/"
+    assert shared_folder(Session) == "hdfs://shared"
+
+
 def test_csv_forms(spark, stored, tmp_path):
     analysis = QualityAnalysis(stored, CFG, "regularity", str(tmp_path / "m")).run()
     write_matched_csv(analysis.matched, str(tmp_path / "csv"))

@@ -190,3 +190,11 @@ def test_scoring_modes(spark):
     assert scaled == {"006": 1.0, "007": 0.0}
     with pytest.raises(ValueError):
         scoring.score_matches(matched, CFG, "other")
+
+
+def test_null_scores_rank_behind_negative_ones(spark):
+    values = [("a", 0.5), ("b", -0.2), ("c", None), ("d", -0.1), ("e", None), ("f", -3 / 14)]
+    frame = spark.createDataFrame(values, "servico string, score double")
+    ranked = rankings.rank_position(frame, "score", F.col("score")).orderBy("posicao").collect()
+    assert [r.servico for r in ranked] == ["a", "d", "b", "f", "c", "e"]
+    assert [r.posicao for r in ranked] == [1, 2, 3, 4, 5, 6]
