@@ -17,8 +17,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that fail the base rules or the log-likelihood ratio."""
     trusted = read(spark, sf_dir, "labels").where("quality = 1")
     ratio = quality_rules.fit_ratio(docs, trusted)
-    judged = quality_rules.quality_rules(docs, ratio, tuple(docs.columns))
-    return judged.where("_out.kept").drop("_out")
+    return quality_rules.keep_good(docs, ratio)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

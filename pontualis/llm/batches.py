@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -79,6 +79,18 @@ def map_texts(frame: DataFrame, text: str, keep: Sequence[str], schema: StructTy
     return mapped.select(*[F.col(n).alias(c) for n, c in zip(neutral, keep)], "_out")
 
 
+def whole_rows(frame: DataFrame, text: str) -> DataFrame:
+    """All columns as the struct ``row`` beside the column ``text``, so that no name can clash."""
+    columns = [F.col(f"`{c}`") for c in frame.columns]
+    return frame.select(F.struct(*columns).alias("row"), F.col(f"`{text}`").alias("text"))
+
+
+def with_text(frame: DataFrame, columns: Sequence[str], text: str, value: Column) -> DataFrame:
+    """The original columns out of ``row``, with ``value`` in the place of the text."""
+    return frame.select(*[(value if c == text else F.col("row").getField(c)).alias(c)
+                          for c in columns])
+
+
 def grouped(batches: Iterator[pa.RecordBatch], keys: Sequence[str],
             most: int | None = None) -> Iterator[pa.Table]:
     """Rows of batches sorted by integer keys, in runs of equal keys.

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pontualis.llm.batches import map_texts
+from pontualis.llm.batches import map_texts, whole_rows, with_text
 from pontualis.llm.tables import Workspace
 from pontualis.llm.words import (ALPHANUMERIC, LEADING, LOWER, Texts, Words, texts_of,
                                  window_hashes, words_of)
@@ -171,8 +171,10 @@ def items_digest(items: Column) -> Column:
     return F.sha2(F.concat_ws(",", F.array_sort(items)), 256)
 
 
-def _without(text: str, hits: list[dict]) -> str:
+def _without(text: str | None, hits: list[dict]) -> str | None:
     """The text without its hit words and what stands between neighbouring ones."""
+    if not hits:
+        return text
     out, at, last = [], 0, None
     for hit in hits:
         if hit["word"] - 1 != last:
@@ -183,14 +185,13 @@ def _without(text: str, hits: list[dict]) -> str:
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents with every run of hit words cut out of their texts."""
-    columns = docs.columns
-    found = find_contamination(docs, benchmark, tuple(columns), text)
+    found = find_contamination(whole_rows(docs, text), benchmark, ("row", "text"))
     cut = F.udf(_without, "string")
-    return found.withColumn(text, F.when(F.size("_out.hits") > 0, cut(F.col(text), "_out.hits"))
-                            .otherwise(F.col(text))).select(*columns)
+    value = F.when(F.size("_out.hits") > 0, cut("text", "_out.hits")).otherwise(F.col("text"))
+    return with_text(found, docs.columns, text, value)
 
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents without a hit."""
-    found = find_contamination(docs, benchmark, tuple(docs.columns), text)
-    return found.where(F.size("_out.hits") == 0).drop("_out")
+    found = find_contamination(whole_rows(docs, text), benchmark, ("row",))
+    return found.where(F.size("_out.hits") == 0).select("row.*")

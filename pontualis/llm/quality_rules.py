@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pontualis.llm.batches import fit_batches, map_texts
+from pontualis.llm.batches import fit_batches, map_texts, whole_rows
 from pontualis.llm.tables import BROADCAST_IDS, broadcast_up_to
 from pontualis.llm.words import (LEADING, NOT_SPACE, Texts, Words, byte_class, lines_of, per_text,
                                  repeated, slices, texts_of, window_hashes, words_of)
@@ -158,3 +158,9 @@ def quality_rules(docs: DataFrame, ratio: Ratio, keep: tuple[str, ...] = ("doc_i
     only the base rules decide.
     """
     return map_texts(docs, text, keep, FIELDS, lambda column: judge(column, ratio))
+
+
+def keep_good(docs: DataFrame, ratio: Ratio, text: str = "text") -> DataFrame:
+    """The documents that pass, with all their columns."""
+    judged = quality_rules(whole_rows(docs, text), ratio, ("row",))
+    return judged.where("_out.kept").select("row.*")

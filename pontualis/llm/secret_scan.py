@@ -16,6 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pontualis.llm.batches import whole_rows, with_text
+
 WINDOW = 20
 
 # The patterns and the smallest length of what they must hold.
@@ -157,9 +159,8 @@ def count_kind(spans: Column, kind: str) -> Column:
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", text: str = "text") -> DataFrame:
     """The documents with every secret replaced; overlapping spans are replaced as one."""
-    columns = docs.columns
-    found = find_secrets(docs, tuple(columns), text)
-    t, spans = F.col(f"`{text}`"), F.col("_out.spans")
+    found = find_secrets(whole_rows(docs, text), ("row", "text"))
+    t, spans = F.col("text"), F.col("_out.spans")
 
     def step(acc: Column, span: Column) -> Column:
         gap = F.substring(t, acc["at"] + 1, F.greatest(span["start"] - acc["at"], F.lit(0)))
@@ -170,4 +171,4 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", text: str = "text") -> DataF
     begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     clean = F.aggregate(spans, begin, step, lambda acc: F.concat(
         acc["out"], F.substring(t, acc["at"] + 1, _length(t))))
-    return found.withColumn(text, F.when(F.size(spans) > 0, clean).otherwise(t)).select(*columns)
+    return with_text(found, docs.columns, text, F.when(F.size(spans) > 0, clean).otherwise(t))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pontualis.llm.batches import map_texts
+from pontualis.llm.batches import map_texts, whole_rows
 from pontualis.llm.tables import Workspace, join_unique
 from pontualis.llm.words import (LEADING, LOWER, NOT_SPACE, byte_class, mix, stream, texts_of,
                                  words_of)
@@ -137,15 +137,13 @@ def _kept(size, spans):
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without repeated units, and ``kept_spans`` into the original texts."""
-    spans = (find_repeats(docs, doc_id, text).groupBy(F.col(doc_id).alias("_id")).agg(
-        F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_spans")))
-    columns = [c for c in docs.columns if c != "kept_spans"]
-    t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    rows = docs.join(spans, F.col(f"`{doc_id}`") == F.col("_id"), "left")
-    kept = _kept(F.length(t), F.coalesce("_spans", F.array().cast(_SPANS)))
-    rows = rows.withColumn("kept_spans", kept)
-    pieces = F.transform("kept_spans", lambda s: F.substring(
-        t, s["start"] + 1, s["end"] - s["start"]))
-    return (rows.withColumn(text, F.when(F.col("_spans").isNull(), F.col(f"`{text}`"))
-                            .otherwise(F.array_join(pieces, "")))
-            .select(*columns, "kept_spans"))
+    spans = find_repeats(docs, doc_id, text).toDF("id", "start", "end", "first", "n").groupBy("id").agg(
+        F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
+    rows = whole_rows(docs, text).withColumn("id", F.col("row").getField(doc_id).cast("bigint"))
+    t = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    cut = rows.join(spans, "id", "left").withColumn(
+        "kept", _kept(F.length(t), F.coalesce("spans", F.array().cast(_SPANS))))
+    pieces = F.transform("kept", lambda s: F.substring(t, s["start"] + 1, s["end"] - s["start"]))
+    value = F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.array_join(pieces, ""))
+    return cut.select(*[(value if c == text else F.col("row").getField(c)).alias(c)
+                        for c in docs.columns if c != "kept_spans"], F.col("kept").alias("kept_spans"))
