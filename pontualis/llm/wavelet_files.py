@@ -14,6 +14,8 @@ reaches can hold them.
 
 from __future__ import annotations
 
+import gc
+import os
 import re
 import zlib
 from dataclasses import dataclass
@@ -24,6 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from pontualis.llm.batches import fit_batches
 from pontualis.llm.tables import Workspace
@@ -34,62 +37,118 @@ END_ID = 2
 # A shard ends with the document that brings it to this many ids.
 SHARD_IDS = 1 << 18
 RANK_BITS = 512
-# Pieces of text whose ids a task remembers; it starts anew when they are more.
-REMEMBERED = 200_000
+# Pieces of text whose ids a worker remembers at least, about 200 bytes each.
+REMEMBERED = 400_000
 # Shards in one file, which bounds what a vectorised reader holds at once.
 FILE_SHARDS = 64
 
 SHARD = ("part int, seq int, n_ids bigint, n_bits int, doc_ids array<bigint>, "
          "doc_sizes array<bigint>, planes array<binary>, zeros array<bigint>, ranks array<binary>")
 
-_UNSAFE = re.compile(r"\s | \s|^ | $")
+# A space or newline next to other white space, or at an end: not a plain border.
+_UNSAFE = re.compile(r"\s[ \n]|[ \n]\s|^[ \n]|[ \n]$")
+_STOPS = frozenset(".,;:!?")
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    import os
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-    return Tokenizer.from_file(path)
+class _Known(dict):
+    """Encoded pieces by text, and the pieces asked for in vain.
 
+    When it is full the older half is set aside, and what is asked for again comes back.
+    """
 
-class Encoder:
-    """Ids of texts with a byte-level tokenizer that never joins across a lone space.
+    def __init__(self) -> None:
+        super().__init__()
+        self.older: dict[str, bytes] = {}
+        self.missing: list[str] = []
+
+    def __missing__(self, piece: str) -> bytes | None:
+        found = self.older.get(piece)
+        if found is None:
+            self.missing.append(piece)
+        else:
+            self[piece] = found
+        return found
+
+    def age(self) -> None:
+        if len(self) > REMEMBERED:
+            self.older = dict(self)
+            self.clear()
 
-    Its pre-tokens end before a single space between two characters that are no
-    white space, so a text is the sequence of its pieces, and ids of pieces seen
-    before are taken from memory.  Other white space stays inside a piece.
+
+class Encoder:
+    """Ids of texts with a byte-level tokenizer, one piece of text at a time.
+
+    The pre-tokens of the tokenizer end before a lone space or newline between two
+    characters that are no white space, and a lone newline is a pre-token itself.  A
+    text is therefore the sequence of its words, with the space before each, and
+    ids of words seen before are taken from memory.  A stop after a letter at the
+    end of a word is a pre-token too, so a word and the same word with a stop share
+    their memory.  Texts with other white space are cut only at the plain borders.
     """
 
     def __init__(self, path: str) -> None:
-        self.tokenizer = _tokenizer(path)
-        self.known: dict[str, bytes] = {}
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.tokenizer = Tokenizer.from_file(path)
+        self.heads, self.tails = _Known(), _Known()
         self.size = np.dtype(np.uint32 if self.tokenizer.get_vocab_size() > 65536 else np.uint16)
 
+    def _learn(self, known: _Known, before: str) -> None:
+        """Encode the missing pieces, which ``before`` precedes in the text."""
+        wanted = dict.fromkeys(known.missing)
+        known.missing = []
+        stem = {p: p[:-1] if len(p) > 1 and p[-1] in _STOPS and p[-2].isalpha() else p
+                for p in wanted}
+        new = [w for w in dict.fromkeys(stem.values()) if known[w] is None]
+        known.missing = []
+        stops = list({p[-1] for p in wanted if stem[p] != p})
+        coded = self.tokenizer.encode_batch_fast([before + w for w in new] + stops,
+                                                 add_special_tokens=False)
+        made = [np.array(c.ids, self.size).tobytes() for c in coded]
+        known.update(zip(new, made))
+        stop = dict(zip(stops, made[len(new):]))
+        known.update({p: known[w] + stop[p[-1]] for p, w in stem.items() if w != p})
+
     @staticmethod
-    def pieces(text: str) -> list[str]:
-        parts = text.split(" ")
+    def _parts(text: str) -> list[list[str]]:
+        """Words of each line; a piece of an unsafe text may hold white space."""
         if not _UNSAFE.search(text):
-            return [parts[0], *[" " + p for p in parts[1:]]]
+            return [line.split(" ") for line in text.split("\n")]
+        parts = text.split(" ")
         out = [parts[0]]
         for part in parts[1:]:
             before = out[-1][-1:]
             if part and before and not part[0].isspace() and not before.isspace():
-                out.append(" " + part)
+                out.append(part)
             else:
                 out[-1] += " " + part
-        return out
+        return [out]
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        pieces = [self.pieces(t) for t in texts]
-        missing = list(set().union(*pieces) - self.known.keys())
-        if len(self.known) + len(missing) > REMEMBERED:
-            self.known.clear()
-            missing = list(set().union(*pieces))
-        coded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        self.known.update(zip(missing, (np.array(c.ids, self.size).tobytes() for c in coded)))
-        known = self.known
-        return [np.frombuffer(b"".join([known[p] for p in own]), self.size) for own in pieces]
+        head, tail = self.heads.__getitem__, self.tails.__getitem__
+        gc.disable()  # nothing here is cyclic, and millions of short lists would be scanned
+        rows = [self._parts(text) for text in texts]
+        coded = [[[head(line[0]), *map(tail, line[1:])] for line in lines] for lines in rows]
+        head("\n")
+        if self.heads.missing:
+            self._learn(self.heads, "")
+        if self.tails.missing:
+            self._learn(self.tails, " ")
+        newline, out = head("\n"), []
+        for lines, codes in zip(rows, coded):
+            for line, own in zip(lines, codes):
+                if None in own:
+                    own[:] = [head(line[0]), *map(tail, line[1:])]
+            out.append(np.frombuffer(newline.join([b"".join(own) for own in codes]), self.size))
+        self.heads.age()
+        self.tails.age()
+        gc.enable()
+        return out
+
+
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """The encoder of this worker process; its memory lasts from task to task."""
+    return Encoder(path)
 
 
 def build(ids: np.ndarray, n_bits: int) -> tuple[list[bytes], list[int], list[bytes]]:
@@ -97,9 +156,11 @@ def build(ids: np.ndarray, n_bits: int) -> tuple[list[bytes], list[int], list[by
     planes, zeros, ranks = [], [], []
     for bit in range(n_bits - 1, -1, -1):
         ones = (ids >> ids.dtype.type(bit)) & ids.dtype.type(1) > 0
-        planes.append(np.packbits(ones, bitorder="little").tobytes())
-        blocks = np.add.reduceat(ones, np.arange(0, len(ones), RANK_BITS), dtype=np.uint32) \
-            if len(ones) else np.zeros(0, np.uint32)
+        plane = np.packbits(ones, bitorder="little")
+        planes.append(plane.tobytes())
+        padded = np.zeros(-(-len(ones) // RANK_BITS) * RANK_BITS >> 3, np.uint8)
+        padded[:len(plane)] = plane
+        blocks = np.bitwise_count(padded.view(np.uint64)).reshape(-1, RANK_BITS >> 6).sum(1)
         ranks.append(np.concatenate(([0], np.cumsum(blocks[:-1]))).astype(np.uint32).tobytes())
         low = ids[~ones]
         zeros.append(len(low))
@@ -212,7 +273,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_
         ("ranks", pa.list_(pa.binary()))])
 
     def shards(batches):
-        encoder = Encoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         n_bits = int(max(encoder.tokenizer.get_vocab_size() - 1, end_id)).bit_length()
         end = np.array([end_id], encoder.size)
         part, seq, held, owners, arrays = TaskContext.get().partitionId(), 0, 0, [], []
