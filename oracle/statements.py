@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from oracle.views import (AGENCIES, BAND, FLOOR, KEY_PLANNED, PERIOD, VIEWS, band_label,
+from oracle.views import (AGENCIES, BAND, EXPLORE_FLOOR, FLOOR, KEY_PLANNED, PERIOD, VIEWS, band_label,
                           expanded, observed, reliability_score, seconds, travel_score,
                           wrapped_minutes)
 
@@ -123,12 +123,12 @@ _STATEMENTS = {
     "explore_frequencies": f"""
         SELECT feed_version, feed_start_date, feed_end_date, trip_id, start_time, end_time,
             headway_secs, exact_times
-        FROM fx_frequencies WHERE feed_version >= {FLOOR}""",
+        FROM fx_frequencies WHERE feed_version >= {EXPLORE_FLOOR}""",
     "explore_routes": f"SELECT * FROM fx_routes WHERE feed_start_date {PERIOD}",
     "explore_trips": f"""
         SELECT feed_version, feed_start_date, feed_end_date, route_id, service_id, trip_id,
             trip_headsign, trip_short_name, direction_id
-        FROM fx_trips WHERE feed_version >= {FLOOR}""",
+        FROM fx_trips WHERE feed_version >= {EXPLORE_FLOOR}""",
     "explore_trips_realised": f"""
         SELECT t.trip_id, t.route_id, t.service_id, t.feed_version, t.feed_start_date,
             t.feed_end_date

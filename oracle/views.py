@@ -6,6 +6,7 @@ is a plain band join.
 """
 
 FLOOR = "'2024-01-01'"
+EXPLORE_FLOOR = "'2023-01-01'"
 PERIOD = "BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'"
 AGENCIES = "('Internorte', 'Intersul', 'Santa Cruz', 'Transcarioca')"
 

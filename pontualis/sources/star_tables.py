@@ -20,7 +20,8 @@ from pontualis.config import AnalysisConfig
 from pontualis.operators.numbering import number_rows
 
 STAR_CONFIG = AnalysisConfig(
-    start_date=date(2024, 1, 1), end_date=date(2024, 1, 30), feed_floor="2024-01-01")
+    start_date=date(2024, 1, 1), end_date=date(2024, 1, 30), feed_floor="2024-01-01",
+    explore_floor="2023-01-01")
 
 
 def _list(columns: str, *rows: str) -> str:
