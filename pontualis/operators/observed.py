@@ -24,7 +24,7 @@ def join_feed_range(trips: DataFrame, feeds: DataFrame) -> DataFrame:
     The condition is a pure range: period start not before the feed start and
     period end not after midnight of the feed end date.  Both sides are laid
     over calendar months, which turns it into an equality join; a month is one key,
-    so it is salted by trip.  A pair is kept in the first month both share, so it
+    so it is salted by all columns of a trip.  A pair is kept in the first month both share, so it
     appears once.  A trip inside several feeds yields one row per feed.
     """
     begin, end = F.col("inicio_periodo"), F.col("fim_periodo")
@@ -39,7 +39,7 @@ def join_feed_range(trips: DataFrame, feeds: DataFrame) -> DataFrame:
                    .withColumn("_month", F.explode(months)))
     feed_months = (feeds.withColumn("_feed_first", feed_first)
                    .withColumn("_month", F.explode(F.sequence(feed_first, feed_last))))
-    return (salted_join(trip_months, feed_months, ["_month"], ["id_viagem"])
+    return (salted_join(trip_months, feed_months, ["_month"], trips.columns)
             .where((begin >= clock.midnight(feed_start)) & (end <= clock.midnight(feed_end)))
             .where(F.col("_month") == F.greatest("_first", "_feed_first"))
             .drop("_month", "_first", "_feed_first"))
