@@ -38,7 +38,7 @@ END_ID = 2
 SHARD_IDS = 1 << 18
 RANK_BITS = 512
 # Pieces of text whose ids a worker remembers at least, about 200 bytes each.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 # Shards in one file, which bounds what a vectorised reader holds at once.
 FILE_SHARDS = 64
 
@@ -47,7 +47,15 @@ SHARD = ("part int, seq int, n_ids bigint, n_bits int, doc_ids array<bigint>, "
 
 # A space or newline next to other white space, or at an end: not a plain border.
 _UNSAFE = re.compile(r"\s[ \n]|[ \n]\s|^[ \n]|[ \n]$")
+# Pairs and characters without which a text has only plain borders inside.
+_ODD = ["  ", " \n", "\n ", "\n\n", *(chr(c) for c in range(0x3001)
+                                     if chr(c).isspace() and chr(c) not in " \n")]
+_PLAIN = ("", " ", "\n")
 _STOPS = frozenset(".,;:!?")
+# Byte-level vocabularies spell bytes that do not print as the characters from 256 on.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_CHARACTERS = {b: chr(256 + i) for i, b in enumerate(
+    b for b in range(256) if b not in _PRINTED)}
 
 
 class _Known(dict):
@@ -89,6 +97,7 @@ class Encoder:
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.heads, self.tails = _Known(), _Known()
         self.size = np.dtype(np.uint32 if self.tokenizer.get_vocab_size() > 65536 else np.uint16)
 
@@ -100,19 +109,31 @@ class Encoder:
                 for p in wanted}
         new = [w for w in dict.fromkeys(stem.values()) if known[w] is None]
         known.missing = []
+        plain = [w for w in new if w.isalpha()]
+        known.update(zip(plain, (self._word(before + w) for w in plain)))
+        new = [w for w in new if not w.isalpha()]
         stops = list({p[-1] for p in wanted if stem[p] != p})
-        coded = self.tokenizer.encode_batch_fast([before + w for w in new] + stops,
-                                                 add_special_tokens=False)
+        coded = self.tokenizer.encode_batch_fast(
+            [w if w[:1] == "\n" else before + w for w in new] + stops, add_special_tokens=False)
         made = [np.array(c.ids, self.size).tobytes() for c in coded]
         known.update(zip(new, made))
         stop = dict(zip(stops, made[len(new):]))
         known.update({p: known[w] + stop[p[-1]] for p, w in stem.items() if w != p})
 
+    def _word(self, word: str) -> bytes:
+        """Ids of letters with or without a space before, which are one pre-token."""
+        spelled = word.encode().decode("latin-1").translate(_BYTE_CHARACTERS)
+        return np.array([t.id for t in self.model.tokenize(spelled)], self.size).tobytes()
+
     @staticmethod
-    def _parts(text: str) -> list[list[str]]:
-        """Words of each line; a piece of an unsafe text may hold white space."""
-        if not _UNSAFE.search(text):
-            return [line.split(" ") for line in text.split("\n")]
+    def _parts(text: str) -> list[str]:
+        """Words; the first of a line with the newline before, others without their space.
+
+        A piece of an unsafe text may hold white space.
+        """
+        if not (any(map(text.__contains__, _ODD)) and _UNSAFE.search(text)
+                or text[:1] in _PLAIN or text[-1:] in _PLAIN):
+            return text.replace("\n", " \n").split(" ")
         parts = text.split(" ")
         out = [parts[0]]
         for part in parts[1:]:
@@ -121,24 +142,23 @@ class Encoder:
                 out.append(part)
             else:
                 out[-1] += " " + part
-        return [out]
+        return out
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         head, tail = self.heads.__getitem__, self.tails.__getitem__
         gc.disable()  # nothing here is cyclic, and millions of short lists would be scanned
         rows = [self._parts(text) for text in texts]
-        coded = [[[head(line[0]), *map(tail, line[1:])] for line in lines] for lines in rows]
-        head("\n")
+        coded = [[head(row[0]), *map(tail, row[1:])] for row in rows]
         if self.heads.missing:
             self._learn(self.heads, "")
         if self.tails.missing:
             self._learn(self.tails, " ")
-        newline, out = head("\n"), []
-        for lines, codes in zip(rows, coded):
-            for line, own in zip(lines, codes):
-                if None in own:
-                    own[:] = [head(line[0]), *map(tail, line[1:])]
-            out.append(np.frombuffer(newline.join([b"".join(own) for own in codes]), self.size))
+        out = []
+        for row, own in zip(rows, coded):
+            if None in own:
+                own = [tail(p) if c is None else c for p, c in zip(row, own)]
+                own[0] = head(row[0])
+            out.append(np.frombuffer(b"".join(own), self.size))
         self.heads.age()
         self.tails.age()
         gc.enable()
@@ -151,6 +171,12 @@ def encoder_of(path: str) -> Encoder:
     return Encoder(path)
 
 
+def _stable(ones: np.ndarray) -> tuple[np.ndarray, int]:
+    """Positions of the zeros, then of the ones, and the number of zeros."""
+    zeros = np.flatnonzero(~ones)
+    return np.concatenate((zeros, np.flatnonzero(ones))), len(zeros)
+
+
 def build(ids: np.ndarray, n_bits: int) -> tuple[list[bytes], list[int], list[bytes]]:
     """Planes, number of zeros of each, and rank directories."""
     planes, zeros, ranks = [], [], []
@@ -162,9 +188,9 @@ def build(ids: np.ndarray, n_bits: int) -> tuple[list[bytes], list[int], list[by
         padded[:len(plane)] = plane
         blocks = np.bitwise_count(padded.view(np.uint64)).reshape(-1, RANK_BITS >> 6).sum(1)
         ranks.append(np.concatenate(([0], np.cumsum(blocks[:-1]))).astype(np.uint32).tobytes())
-        low = ids[~ones]
-        zeros.append(len(low))
-        ids = np.concatenate((low, ids[ones]))
+        place, count = _stable(ones)
+        zeros.append(count)
+        ids = ids[place]
     return planes, zeros, ranks
 
 
@@ -241,9 +267,10 @@ class Shard:
         out = np.zeros(self.n, np.uint16 if bits <= 16 else np.uint32)
         for level in range(bits - 1, -1, -1):
             ones = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
+            place, count = _stable(ones)
+            out[count:] |= out.dtype.type(1 << bits - 1 - level)
             above = np.empty_like(out)
-            above[~ones] = out[:self.zeros[level]]
-            above[ones] = out[self.zeros[level]:] | out.dtype.type(1 << bits - 1 - level)
+            above[place] = out
             out = above
         return out
 
@@ -261,7 +288,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_
     """Encode every text, append ``end_id`` and write shards in ascending id order.
 
     NULL and empty texts are just the end id.  Rows without an id come first; rows with
-    the same id follow each other in the order of their texts, repeated ones too.
+    the same id follow each other in an order that depends on their texts alone.
     """
     fit_batches(docs)
     source = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("id"),
@@ -291,8 +318,9 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_
         if owners:
             yield pa.RecordBatch.from_pylist([_packed(part, seq, owners, arrays, n_bits)], arrow)
 
-    (source.repartitionByRange("id", "t").sortWithinPartitions("id", "t")
-     .mapInArrow(shards, SHARD)
+    # Ranges go by id, and by a hash among rows of one id; whole texts would be sampled.
+    (source.withColumn("h", F.xxhash64("t")).repartitionByRange("id", "h")
+     .sortWithinPartitions("id", "h", "t").select("id", "t").mapInArrow(shards, SHARD)
      .write.option("maxRecordsPerFile", FILE_SHARDS).option("compression", "zstd").parquet(path))
 
 
