@@ -52,25 +52,27 @@ def fit_batches(frame: DataFrame) -> None:
 
 
 def map_texts(frame: DataFrame, text: str, keep: Sequence[str], schema: StructType | str,
-              work: Callable[[pa.Array], dict[str, pa.Array]],
-              slice_bytes: int = SLICE_BYTES) -> DataFrame:
+              work: Callable[..., dict[str, pa.Array]], slice_bytes: int = SLICE_BYTES,
+              beside: Sequence[str] = ()) -> DataFrame:
     """Columns ``keep`` and the struct ``_out`` that ``work`` makes of the text column.
 
-    ``work`` gets the texts of a slice and returns one array per field of
-    ``schema``.  Kept columns travel under neutral names, so none can clash.
+    ``work`` gets the texts of a slice, and its columns ``beside``, and returns one array per
+    field of ``schema``.  Kept columns travel under neutral names, so none can clash.
     """
     fit_batches(frame)
     fields = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     neutral = [f"k{i}" for i in range(len(keep))]
+    extra = [f"b{i}" for i in range(len(beside))]
     source = frame.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, neutral)],
+                          *[F.col(f"`{c}`").alias(n) for c, n in zip(beside, extra)],
                           F.col(f"`{text}`").cast("string").alias("t"))
-    kept = StructType([f for f in source.schema if f.name != "t"])
+    kept = StructType([f for f in source.schema if f.name in neutral])
     names = fields.names
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "t", slice_bytes):
-                made = work(part.column("t"))
+                made = work(part.column("t"), *[part.column(n) for n in extra])
                 out = pa.StructArray.from_arrays([made[n] for n in names], names)
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(n) for n in neutral], out], [*neutral, "_out"])

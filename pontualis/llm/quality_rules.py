@@ -3,8 +3,17 @@
 Words and word pairs of every text are hashed into ``BUCKETS`` buckets.  The
 bucket counts of the trusted documents and of all documents are two smoothed
 multinomials; the score of a text is the mean over its n-grams of
-``log(p_target / p_raw)``, so it does not grow with its length.  Every document
-is judged by one fixed threshold, without drawing lots.
+``log(p_target / p_raw)``, so it does not grow with its length.
+
+Trusted documents are part of the target, so that score favours them, and it falls
+for n-grams that are unseen only because few documents are trusted.  The verdict
+therefore rests on ``fair_llr``: a document's own counts are left out of both
+distributions, and the ratio of a bucket is that of its target count to the count
+expected from its raw share, with pseudo-counts added to both, so that a bucket with
+little to expect scores about 0.  They grow with the expected count where few long
+documents make up most of the target, as their topics and languages then decide
+which n-grams it lacks.  Every document is judged by one fixed threshold,
+without drawing lots.
 
 Both distributions count every word of every document.  What reaches the driver
 is one pair of counts per bucket, a bound that does not depend on the data.
@@ -28,6 +37,10 @@ BUCKET_BITS = 16
 BUCKETS = 1 << BUCKET_BITS
 # Pseudo-counts of a bucket under either distribution.
 SMOOTHING = 1.0
+# Pseudo-counts of a bucket, seen and expected, in the ratio of the verdict: a number, and
+# so many documents' share of the expected count.
+PRIOR = 8.0
+PRIOR_DOCUMENTS = 10.0
 # A text whose mean log ratio lies below this is rejected.
 THRESHOLD = -0.12
 MIN_WORDS = 50
@@ -37,15 +50,22 @@ MAX_REPEAT_PERCENT = 50
 SYMBOLS = byte_class(*[(ord(c), ord(c)) for c in "#*$%&|<>"])
 
 FIELDS = ("n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
-          "n_repeat_words bigint, base_failed boolean, llr double, kept boolean")
+          "n_repeat_words bigint, base_failed boolean, llr double, fair_llr double, kept boolean")
 
 
 @dataclass(frozen=True)
 class Ratio:
-    """Log ratio of each bucket, and the threshold the mean is held against."""
+    """Log ratio and counts of each bucket, the threshold, and the trusted ids as a table.
+
+    ``lean`` is the part of an expected count that is added as pseudo-count.
+    """
 
     weights: np.ndarray
     threshold: float
+    raw: np.ndarray
+    target: np.ndarray
+    lean: float
+    trusted: DataFrame
 
 
 def _grams(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -57,7 +77,11 @@ def _grams(words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count_partition(batches):
-    """Bucket counts of one partition: all documents, and the trusted ones."""
+    """Bucket counts of one partition: all documents, and the trusted ones.
+
+    The bucket beyond the last holds the sum of squares of the trusted documents' lengths.
+    """
+    squares = 0
     counts = np.zeros((2, BUCKETS), np.int64)
     for batch in batches:
         for part in slices(batch, "t"):
@@ -66,15 +90,17 @@ def _count_partition(batches):
             bucket, text = _grams(words)
             counts[0] += np.bincount(bucket, minlength=BUCKETS)
             counts[1] += np.bincount(bucket[trusted[text]], minlength=BUCKETS)
+            squares += int((np.bincount(text, minlength=len(trusted))[trusted] ** 2).sum())
     used = np.flatnonzero(counts[0])
     if len(used):
         yield pa.RecordBatch.from_arrays(
-            [pa.array(used), pa.array(counts[0][used]), pa.array(counts[1][used])],
+            [pa.array(np.append(used, BUCKETS)), pa.array(np.append(counts[0][used], 0)),
+             pa.array(np.append(counts[1][used], squares))],
             ["bucket", "raw", "target"])
 
 
-def mark_trusted(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Columns ``t`` and ``trusted`` of every document.
+def trusted_ids(trusted: DataFrame, doc_id: str) -> DataFrame:
+    """Columns ``i`` and ``trusted`` of the listed ids.
 
     Ids that are NULL or listed several times are dropped first.  The list is
     broadcast when its counted size is at most ``BROADCAST_IDS``, so texts are
@@ -82,30 +108,39 @@ def mark_trusted(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str) ->
     """
     ids = (trusted.select(F.col(doc_id).alias("i")).where("i IS NOT NULL").distinct()
            .withColumn("trusted", F.lit(True)))
-    ids = broadcast_up_to(ids, BROADCAST_IDS)
-    return (docs.select(F.col(f"`{doc_id}`").alias("i"), F.col(f"`{text}`").alias("t"))
+    return broadcast_up_to(ids, BROADCAST_IDS)
+
+
+def mark_trusted(docs: DataFrame, ids: DataFrame, doc_id: str, text: str,
+                 keep: tuple[str, ...] = ()) -> DataFrame:
+    """Columns ``t`` and ``trusted`` of every document, and ``keep`` in the struct ``held``."""
+    held = [F.struct(*[F.col(f"`{c}`") for c in keep]).alias("held")] if keep else []
+    return (docs.select(*held, F.col(f"`{doc_id}`").alias("i"), F.col(f"`{text}`").alias("t"))
             .join(ids, "i", "left")
-            .select("t", F.coalesce("trusted", F.lit(False)).alias("trusted")))
+            .select(*(["held"] if keep else []), "t", F.coalesce("trusted", F.lit(False)).alias("trusted")))
 
 
 def fit_ratio(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text",
               threshold: float = THRESHOLD) -> Ratio:
     """Count both distributions over all documents."""
     fit_batches(docs)
-    rows = (mark_trusted(docs, trusted, doc_id, text)
+    ids = trusted_ids(trusted, doc_id)
+    rows = (mark_trusted(docs, ids, doc_id, text)
             .mapInArrow(_count_partition, "bucket bigint, raw bigint, target bigint")
             .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
             .toPandas())
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    raw[rows.bucket] = rows.raw
-    target[rows.bucket] = rows.target
+    counts = np.zeros((2, BUCKETS + 1))
+    counts[0, rows.bucket] = rows.raw
+    counts[1, rows.bucket] = rows.target
+    raw, target = counts[:, :BUCKETS]
+    lean = PRIOR_DOCUMENTS * counts[1, BUCKETS] / max(target.sum(), 1) ** 2
     if not target.any():
-        return Ratio(np.zeros(BUCKETS), threshold)
+        return Ratio(np.zeros(BUCKETS), threshold, raw, target, lean, ids)
 
     def log_share(counts: np.ndarray) -> np.ndarray:
         return np.log(counts + SMOOTHING) - np.log(counts.sum() + SMOOTHING * BUCKETS)
 
-    return Ratio(log_share(target) - log_share(raw), threshold)
+    return Ratio(log_share(target) - log_share(raw), threshold, raw, target, lean, ids)
 
 
 def _covered(words: Words) -> np.ndarray:
@@ -129,7 +164,22 @@ def _dup_lines(texts: Texts, words: Words) -> np.ndarray:
     return per_text(same, lines.first)
 
 
-def judge(column: pa.Array, ratio: Ratio) -> dict[str, pa.Array]:
+def _fair(bucket: np.ndarray, text: np.ndarray, grams: np.ndarray, trusted: np.ndarray,
+          raw: np.ndarray, target: np.ndarray, lean: float) -> np.ndarray:
+    """Mean log ratio of each text against what is counted in all others."""
+    pairs, own = np.unique(text << BUCKET_BITS | bucket, return_counts=True)
+    text, bucket = pairs >> BUCKET_BITS, pairs & (BUCKETS - 1)
+    seen = np.maximum(target[bucket] - own * trusted[text], 0)
+    others = np.maximum(raw[bucket] - own, 0)
+    share = np.maximum(target.sum() - grams * trusted, 0) / np.maximum(raw.sum() - grams, 1)
+    expected = others * share[text]
+    pseudo = PRIOR + lean * expected
+    logs = np.log(seen + pseudo) - np.log(expected + pseudo)
+    return np.bincount(text, logs * own, minlength=len(grams)) / np.maximum(grams, 1)
+
+
+def judge(column: pa.Array, trusted: pa.Array, weights: np.ndarray, threshold: float,
+          raw: np.ndarray, target: np.ndarray, lean: float) -> dict[str, pa.Array]:
     """All measures of a slice of texts."""
     texts = texts_of(column)
     words = words_of(texts, NOT_SPACE)
@@ -138,29 +188,34 @@ def judge(column: pa.Array, ratio: Ratio) -> dict[str, pa.Array]:
     failed = (n_words < MIN_WORDS) | (100 * repeat > MAX_REPEAT_PERCENT * n_words)
     bucket, text = _grams(words)
     grams = np.bincount(text, minlength=len(texts))
-    llr = np.bincount(text, ratio.weights[bucket], minlength=len(texts)) / np.maximum(grams, 1)
+    llr = np.bincount(text, weights[bucket], minlength=len(texts)) / np.maximum(grams, 1)
+    fair = _fair(bucket, text, grams, trusted.to_numpy(zero_copy_only=False).astype(bool),
+                 raw, target, lean)
     in_word = NOT_SPACE[texts.data] & LEADING[texts.data]
     columns = {
         "n_words": n_words.astype(np.int64), "word_chars": per_text(in_word, texts.bounds),
         "n_symbols": per_text(SYMBOLS[texts.data], texts.bounds),
         "n_dup_lines": _dup_lines(texts, words), "n_repeat_words": repeat, "base_failed": failed,
-        "llr": llr, "kept": ~failed & (llr >= ratio.threshold)}
+        "llr": llr, "fair_llr": fair, "kept": ~failed & (fair >= threshold)}
     return {name: pa.array(values) for name, values in columns.items()}
 
 
 def quality_rules(docs: DataFrame, ratio: Ratio, keep: tuple[str, ...] = ("doc_id",),
-                  text: str = "text") -> DataFrame:
+                  text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Columns ``keep`` of every row and its measures in the struct ``_out``.
 
-    One row per row of ``docs``, repeated rows included.  A NULL or empty text
-    has no words, fails the base rule and scores 0; NULL ids are passed on; other
-    columns may have any name.  Without trusted documents every score is 0 and
-    only the base rules decide.
+    One row per row of ``docs``, which are the documents the ratio was fitted on, repeated
+    rows included.  A NULL or empty text has no words, fails the base rule and scores 0; NULL
+    ids are passed on; other columns may have any name.  Without trusted documents every
+    score is 0 and only the base rules decide.
     """
-    return map_texts(docs, text, keep, FIELDS, lambda column: judge(column, ratio))
+    weights, threshold, counts = ratio.weights, ratio.threshold, (ratio.raw, ratio.target, ratio.lean)
+    rows = mark_trusted(docs, ratio.trusted, doc_id, text, keep)
+    return map_texts(rows, "t", ("held",), FIELDS, lambda column, trusted: judge(
+        column, trusted, weights, threshold, *counts), beside=("trusted",)).select("held.*", "_out")
 
 
-def keep_good(docs: DataFrame, ratio: Ratio, text: str = "text") -> DataFrame:
+def keep_good(docs: DataFrame, ratio: Ratio, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The documents that pass, with all their columns."""
-    judged = quality_rules(whole_rows(docs, text), ratio, ("row",))
-    return judged.where("_out.kept").select("row.*")
+    rows = whole_rows(docs, text).withColumn("id", F.col("row").getField(doc_id))
+    return quality_rules(rows, ratio, ("row",), doc_id="id").where("_out.kept").select("row.*")

@@ -30,7 +30,8 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = read(spark, sf_dir, "labels").where("quality = 1")
     ratio = quality_rules.fit_ratio(docs, trusted)
     return (quality_rules.quality_rules(docs, ratio)
-            .select("doc_id", "_out.*").withColumn("llr", F.round("llr", 6)))
+            .select("doc_id", "_out.*").withColumn("llr", F.round("llr", 6))
+            .withColumn("fair_llr", F.round("fair_llr", 6)))
 
 
 @_query
