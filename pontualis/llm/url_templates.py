@@ -13,6 +13,7 @@ smoothed share of blocked labels reaches ``REJECT``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,10 +24,6 @@ from pontualis.llm.tables import Workspace, join_unique
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"),
          ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 
-# Segments beyond this depth stand together as one last segment.
-DEPTH = 6
-# A node with more children than this merges those below a hundredth of its pages.
-CHILDREN = 100
 # Standard deviations within which a child's block rate equals the pooled one.
 DEVIATIONS = 1.96
 # Pseudo-labels of a template, at the block rate of all labels.
@@ -51,7 +48,7 @@ def _keyed(urls: DataFrame, url: str) -> DataFrame:
         return (F.when(segment.rlike(_NUMBER), F.concat(F.lit("*"), ending))
                 .when(segment.rlike(_OPAQUE), F.lit("*")).otherwise(segment))
 
-    segments = F.split("path", "/", DEPTH + 2)
+    segments = F.split("path", "/")
     return (out.withColumn("shape", F.transform(segments, general)).drop("rest"))
 
 
@@ -66,36 +63,44 @@ def _rule(rules: Sequence[tuple[str, str, str]], value: int | None) -> Column:
 
 
 def template_tree(shapes: DataFrame, workspace: Workspace) -> DataFrame:
-    """``host``, ``shape`` and ``template`` of counted shapes (pages, labelled, blocked)."""
-    depth = shapes.agg(F.max(F.size("shape"))).first()[0] or 0
+    """``host``, ``shape`` and ``template`` of counted shapes (pages, labelled, blocked).
+
+    Paths are followed to their end.  A shape that is alone at its node equals what the
+    node pools, so all its further segments are wildcards and it is done.
+    """
     rows = shapes.count()
-    table = shapes.withColumn("prefix", F.lit(""))
-    for level in range(1, depth):
+    table, level, done = shapes.withColumn("prefix", F.lit("")), 0, []
+    while level == 0 or table.limit(1).count():
+        level += 1
         table = table.withColumn("segment", F.get("shape", F.lit(level)))
         children = table.where("segment IS NOT NULL").groupBy("host", "prefix", "segment").agg(
-            F.count(F.lit(1)).alias("rows"), F.sum("pages").alias("pages"),
-            F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
+            F.count(F.lit(1)).alias("rows"), F.sum("labelled").alias("labelled"),
+            F.sum("blocked").alias("blocked"))
         children = workspace.save(children, f"children-{level}")
         nodes = children.groupBy("host", "prefix").agg(
-            F.count(F.lit(1)).alias("children"), F.sum("pages").alias("all_pages"),
+            F.count(F.lit(1)).alias("children"), F.sum("rows").alias("all_rows"),
             F.sum("labelled").alias("all_labelled"), F.sum("blocked").alias("all_blocked"))
         rate = (F.col("all_blocked") + 1) / (F.col("all_labelled") + 2)
         spread = F.sqrt(F.col("labelled") * rate * (1 - rate))
         similar = F.abs(F.col("blocked") - F.col("labelled") * rate) <= DEVIATIONS * spread
-        rare = (F.col("children") > CHILDREN) & (100 * F.col("pages") < F.col("all_pages"))
         merged = join_unique(children, nodes, ["host", "prefix"], "children", rows).select(
-            "host", "prefix", "segment", "rows",
-            F.when(similar | rare, F.lit("*")).otherwise(F.col("segment")).alias("branch"))
+            "host", "prefix", "segment", "rows", (F.col("all_rows") == 1).alias("alone"),
+            F.when(similar, F.lit("*")).otherwise(F.col("segment")).alias("branch"))
         deeper = join_unique(table.where("segment IS NOT NULL"), merged,
                              ["host", "prefix", "segment"], "rows", rows)
-        ended = table.where("segment IS NULL").withColumn("branch", F.lit(None).cast("string"))
+        ended = table.where("segment IS NULL").withColumns(
+            {"branch": F.lit(None).cast("string"), "alone": F.lit(True)})
         columns = ["host", "shape", "pages", "labelled", "blocked"]
+        further = F.repeat(F.lit("/*"), F.size("shape") - level)
+        prefix = F.when(F.col("branch").isNotNull() & F.col("alone"), F.concat("prefix", further)
+                        ).otherwise(F.concat_ws("/", "prefix", "branch"))
         table = workspace.save(
-            deeper.select(*columns, "prefix", "branch")
-            .unionByName(ended.select(*columns, "prefix", "branch"))
-            .select(*columns, F.concat_ws("/", "prefix", "branch").alias("prefix")),
-            f"level-{level}")
-    return table.withColumnRenamed("prefix", "template")
+            deeper.select(*columns, "prefix", "branch", "alone")
+            .unionByName(ended.select(*columns, "prefix", "branch", "alone"))
+            .select(*columns, prefix.alias("prefix"), "alone"), f"level-{level}")
+        done.append(table.where("alone").drop("alone"))
+        table = table.where("NOT alone").drop("alone")
+    return reduce(DataFrame.unionByName, done).withColumnRenamed("prefix", "template")
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
