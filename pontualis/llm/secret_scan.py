@@ -5,8 +5,9 @@ characters.  A window of ``WINDOW`` characters slides over it; each step changes
 the counts of one leaving and one entering character, and the sum of
 ``n * log2(n)`` that the entropy needs is changed by those two counts.  A window
 lies in a character class when all its characters do; a candidate is a secret
-when a window reaches the entropy limit of a class.  Candidates on the allow
-list, or inside a span that a pattern has found, add nothing.
+when a window reaches the entropy limit of a class.  What a pattern has found is cut
+out of a candidate and the rests are judged.  Windows that hold a word of the allow
+list, and rests that are identifiers as a whole, add nothing.
 """
 
 from __future__ import annotations
@@ -39,10 +40,12 @@ CLASSES = (
     ("upper", _DIGITS + _UPPER, 3.5, "[0-9].*[A-Z].*[0-9]"),
     ("base64", _DIGITS + _LOWER + _UPPER + "+/_-", 3.9, "(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])"),
 )
-# Candidates that hold one of these are placeholders, identifiers or plain sequences.
-ALLOWED = (r"(?i)example|sample|placeholder|changeme|dummy|xxxx|0123456789|abcdefgh|"
-           r"(.)\1{7}|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|"
-           r"^[a-z]+([/_-][a-z]+)*([/_-][0-9]{1,8})?$")
+# Windows that hold one of these are placeholders or plain sequences, and candidates that
+# are one of the others identifiers.
+PLACEHOLDER = r"(?i)example|sample|placeholder|changeme|dummy|xxxx|0123456789|abcdefgh|(.)\1{7}"
+IDENTIFIER = (r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|"
+              r"^[a-z]+([/_-][a-z]+)*([/_-][0-9]{1,8})?$")
+ALLOWED = PLACEHOLDER + "|" + IDENTIFIER.removeprefix("(?i)")
 
 _SPAN = "array<struct<start:int,rank:int,end:int,kind:string>>"
 
@@ -104,6 +107,7 @@ def _entropy_found(token: Column) -> Column:
         now = reduce(lambda a, b: a | b, [
             (run >= WINDOW) & (bits >= least - 1e-9) & fit
             for run, (_, _, least, _), fit in zip(runs, CLASSES, fits)])
+        now = now & ~F.substring(token, i - WINDOW + 1, F.lit(WINDOW)).rlike(PLACEHOLDER)
         return F.struct(total.alias("total"), (acc["found"] | now).alias("found"),
                         *[run.alias(c[0]) for run, c in zip(runs, CLASSES)])
 
@@ -113,6 +117,23 @@ def _entropy_found(token: Column) -> Column:
                        lambda acc: acc["found"])
 
 
+def _rests(span: Column, base: Column) -> Column:
+    """What sorted base spans leave of a candidate, in parts long enough for a window."""
+    def part(begin: Column, end: Column) -> Column:
+        left = F.struct(begin.alias("start"), span["rank"].alias("rank"), end.alias("end"),
+                        span["kind"].alias("kind"))
+        return F.when(end - begin >= WINDOW, F.array(left)).otherwise(_none())
+
+    def step(acc: Column, b: Column) -> Column:
+        more = F.concat(acc["out"], part(acc["at"], b["start"]))
+        return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), more.alias("out"))
+
+    met = F.filter(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+    begin = F.struct(span["start"].alias("at"), _none().alias("out"))
+    return F.aggregate(met, begin, step,
+                       lambda acc: F.concat(acc["out"], part(acc["at"], span["end"])))
+
+
 def find_secrets(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",),
                  text: str = "text") -> DataFrame:
     """Columns ``keep`` of every row, and its sorted spans in ``_out``.
@@ -135,13 +156,11 @@ def find_secrets(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",),
                 where(F.col("long") & t.contains("AKIA"), _spans(t, ACCESS, "access")),
                 where(F.col("long"), _spans(t, HEX, "hex")))))
             .withColumn("tokens", where(F.col("long"), _spans(t, CANDIDATE, "entropy"))))
-    outside = F.filter("tokens", lambda s: ~F.exists(
-        "base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    rows = rows.withColumn("outside", outside)
+    rows = rows.withColumn("outside", F.flatten(F.transform("tokens", lambda s: _rests(s, F.col("base")))))
 
     def secret(span: Column) -> Column:
         token = F.substring(t, span["start"] + 1, span["end"] - span["start"])
-        return ~token.rlike(ALLOWED) & _entropy_found(token)
+        return ~token.rlike(IDENTIFIER) & _entropy_found(token)
 
     spans = F.array_sort(F.concat("base", F.filter("outside", secret)))
     return rows.select("kept.*", F.struct(F.col("base"), spans.alias("spans")).alias("_out"))
