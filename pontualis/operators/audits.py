@@ -98,7 +98,7 @@ def feed_match(tables: TransitTables, cfg: AnalysisConfig) -> DataFrame:
 
     Trips in, trips that lie in no feed, in one and in several, rows of the join, and
     trips whose trimmed model version also equals that of a feed they lie in.  The
-    feeds are few: each trip is compared with them through the salted month join.
+    feeds are few: each trip is looked up among them as in the match.
     """
     trips = scans.scan_realised(tables, cfg).select(
         "id_viagem", "inicio_periodo", "fim_periodo", F.trim("versao_modelo").alias("_model"))
@@ -106,7 +106,7 @@ def feed_match(tables: TransitTables, cfg: AnalysisConfig) -> DataFrame:
     feeds = tables.feed_info.where(scans.feed_floor(cfg)).select(
         "feed_version", "feed_start_date", "feed_end_date",
         F.trim("versao_modelo").alias("_feed_model"))
-    found = (observed.join_feed_range(trips, feeds)
+    found = (observed.join_feed_range(trips, feeds, ["id_viagem"])
              .groupBy("id_viagem", "inicio_periodo", "fim_periodo", "_model", "_trips").agg(
                  F.count(F.lit(1)).alias("_feeds"),
                  F.max(F.coalesce(F.col("_model") == F.col("_feed_model"), F.lit(False)))

@@ -57,17 +57,33 @@ def test_feed_range_equals_the_range_join(spark):
     feeds += [("open", date(2024, 11, 1), date(9999, 12, 31)), ("null", date(2024, 11, 1), None)]
     trips = spark.createDataFrame(
         periods, "id int, inicio_periodo timestamp_ntz, fim_periodo timestamp_ntz")
-    got = observed.join_feed_range(trips, spark.createDataFrame(
-        feeds, "feed_version string, feed_start_date date, feed_end_date date"))
+    frame = spark.createDataFrame(
+        feeds, "feed_version string, feed_start_date date, feed_end_date date")
     expected = sorted(
         (i, v) for i, a, b in periods for v, start, end in feeds
         if a is not None and end is not None
         and a >= datetime.combine(start, datetime.min.time())
         and b <= datetime.combine(end, datetime.min.time()))
-    assert sorted((r.id, r.feed_version) for r in got.collect()) == expected
+    indexed = observed.join_feed_range(trips, frame, ["id"])
+    by_month = observed.join_feed_range(trips, frame, ["id"], index_rows=0)
+    for got in (indexed, by_month):
+        assert sorted((r.id, r.feed_version) for r in got.collect()) == expected
     assert len(expected) > 300
 
 
+def test_feed_index_of_any_size(spark):
+    """No feed at all, one, and numbers around powers of two."""
+    trips = spark.range(40).select(
+        "id", F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(id as int))")
+        .alias("inicio_periodo")).withColumn("fim_periodo", F.col("inicio_periodo"))
+    days = F.expr("date'2024-01-01' + cast(id as int)")
+    for n in (0, 1, 7, 8, 9, 31):
+        feeds = spark.range(n).select(days.alias("feed_start_date"), (days + 1).alias("feed_end_date"))
+        got = observed.join_feed_range(trips, feeds, ["id"])
+        pairs = [(r.id, (r.feed_start_date - date(2024, 1, 1)).days) for r in got.collect()]
+        assert sorted(pairs) == sorted((i, f) for i in range(40) for f in range(n) if f <= i <= f + 1)
+
+
 def test_numbering_of_a_hot_key_equals_row_number(spark):
     """One trip owns a third of the rows, NULL keys included."""
     rows = spark.range(30000).select(

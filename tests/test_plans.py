@@ -2,6 +2,7 @@
 
 import os
 import re
+import time
 from dataclasses import replace
 from datetime import date
 
@@ -221,3 +222,17 @@ def test_config_checks():
         AnalysisConfig(start_date="2024-12-01")
     with pytest.raises(ValueError):
         AnalysisConfig(start_date=date(2024, 12, 2), end_date=date(2024, 12, 1))
+
+
+def test_the_flagship_match_plans_within_seconds(spark):
+    """Planning once grew exponentially with the columns that a salt was drawn from."""
+    matched_trips(star_tables(spark, SMALL), STAR_CONFIG).explain()  # classes loaded
+    start = time.perf_counter()
+    frame = matched_trips(star_tables(spark, SMALL), STAR_CONFIG)
+    frame._jdf.queryExecution().executedPlan()
+    assert time.perf_counter() - start < 5
+
+
+def test_feeds_are_looked_up_without_a_join_or_shuffle(stored):
+    text = plan(observed.realised_in_feeds(stored, CFG))
+    assert "Join" not in text and text.count("Exchange") <= 1  # the one row of the index
