@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pontualis.llm import (decontamination, merkle_audit, near_dedup, packing, personal_data,
-                           quality_rules, secret_scan, substring_dedup, url_templates,
-                           wavelet_files)
+from pontualis.llm import (decontamination, license_scan, merkle_audit, near_dedup, packing,
+                           personal_data, prefix_trie, quality_rules, secret_scan,
+                           substring_dedup, token_alignment, url_templates, wavelet_files)
 from pontualis.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -153,3 +153,60 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts,
                         F.sha2(personal_data.listed(base), 256).alias("base_sha256"),
                         personal_data.listed(spans).alias("spans"))
+
+
+@_query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read(spark, sf_dir, "conversations"))
+
+
+# A checksum step takes in a byte or, for -1, shifts by one bit.
+ORACLE_SQL["op11_prefix_trie"] = """
+    WITH stored AS (
+        SELECT conv_id AS c, list({'r': coalesce(role, ''), 't': coalesce(text, '')}
+                                  ORDER BY turn NULLS FIRST, coalesce(role, '')) AS turns
+        FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+    heads AS (
+        SELECT c, turns, CAST(xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(
+                list_transform(string_split(CAST(c AS VARCHAR), ''), lambda s:
+                    [CAST(ascii(s) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+            lambda a, x: CASE WHEN x >= 0 THEN xor(a, x)
+                WHEN a & 1 = 1 THEN xor(a >> 1, CAST(3988292384 AS BIGINT)) ELSE a >> 1 END),
+            CAST(4294967295 AS BIGINT)) % 9 AS BIGINT) AS h
+        FROM stored),
+    built AS (
+        SELECT a.c, list_concat(coalesce(b.turns[1:a.h], []), a.turns[a.h + 1:]) AS turns
+        FROM heads a LEFT JOIN stored b ON b.c = a.c - a.c % 5),
+    members AS (
+        SELECT c, d, turns[1:d] AS path, d = len(turns) AS ends
+        FROM (SELECT c, turns, unnest(generate_series(0, len(turns))) AS d FROM built)),
+    nodes AS (
+        SELECT path, d, min(c) AS conv_id, count(*) AS n_convs,
+            coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '') AS ids,
+            CASE WHEN d = 0 THEN 0 ELSE strlen(path[d].t) END AS bytes
+        FROM members GROUP BY path, d),
+    children AS (SELECT path[1:d - 1] AS path, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+    counted AS (
+        SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children USING (path)),
+    below AS (
+        SELECT path[1:e] AS path, sum((n_convs - 1) * bytes) AS saved,
+            count(*) FILTER (n_children = 0) AS leaves
+        FROM (SELECT *, unnest(generate_series(0, d)) AS e FROM counted) GROUP BY 1)
+    SELECT x.conv_id, CAST(x.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, x.n_convs,
+        CAST(x.n_children AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves,
+        CAST(saved AS BIGINT) AS saved_tokens, sha256(x.ids) AS ends_sha256
+    FROM counted x JOIN below USING (path)
+        LEFT JOIN nodes up ON x.d > 0 AND up.path = x.path[1:x.d - 1]"""
+
+
+@_query
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.find_licenses(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "_out.*").withColumn("score", F.round("score", 6))
+
+
+@_query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(read(spark, sf_dir, "documents"),
+                                 public_tokenizers.path("byte_bpe_50k.json"),
+                                 public_tokenizers.path("piece_bpe_32k.model"))
