@@ -57,6 +57,99 @@ def _quality(column: str) -> str:
         FROM fx_viagem_completa"""
 
 
+_TEXTS = {
+    "trips": "feed_version route_id service_id trip_id trip_headsign trip_short_name direction_id "
+             "shape_id versao_modelo",
+    "frequencies": "feed_version trip_id start_time end_time exact_times versao_modelo",
+    "routes": "feed_version route_id agency_id route_short_name versao_modelo",
+    "agency": "agency_id agency_name feed_version versao_modelo",
+    "feed_info": "feed_version feed_publisher_name feed_publisher_url feed_lang default_lang "
+                 "feed_contact_email feed_contact_url versao_modelo",
+    "calendar": "tipo_dia subtipo_dia tipo_os feed_version versao",
+    "realised": "consorcio tipo_dia id_empresa id_veiculo id_viagem servico_informado "
+                "servico_realizado vista trip_id shape_id sentido tipo_viagem versao_modelo",
+}
+_OTHERS = {
+    "trips": "feed_start_date feed_end_date", "frequencies": "feed_start_date feed_end_date headway_secs",
+    "routes": "feed_start_date feed_end_date", "agency": "feed_start_date",
+    "feed_info": "feed_start_date feed_end_date feed_update_datetime",
+    "calendar": "data service_ids feed_start_date datetime_ultima_atualizacao",
+    "realised": "data datetime_partida datetime_chegada inicio_periodo fim_periodo tempo_viagem "
+                "tempo_planejado distancia_planejada distancia_aferida n_registros_shape "
+                "n_registros_total n_registros_minuto velocidade_media perc_conformidade_shape "
+                "perc_conformidade_distancia perc_conformidade_registros perc_conformidade_tempo "
+                "datetime_ultima_atualizacao",
+}
+_FX = {"trips": "fx_trips", "frequencies": "fx_frequencies", "routes": "fx_routes", "agency": "fx_agency",
+       "calendar": "fx_calendario", "realised": "fx_viagem_completa",
+       "feed_info": "(SELECT *, NULL::VARCHAR AS feed_publisher_name, NULL::VARCHAR AS feed_publisher_url, "
+                    "NULL::VARCHAR AS feed_lang, NULL::VARCHAR AS default_lang, "
+                    "NULL::VARCHAR AS feed_contact_email, NULL::VARCHAR AS feed_contact_url, "
+                    "CAST(feed_start_date AS TIMESTAMP) AS feed_update_datetime FROM fx_feed_info)"}
+
+
+def _column_counts(table: str, column: str, text: bool) -> str:
+    counts = (f"""count(*) FILTER (WHERE {column} = '') AS vazios,
+            count(*) FILTER (WHERE {column} <> rtrim({column})) AS brancos_no_fim,
+            count(*) FILTER (WHERE {column} IS NOT NULL
+                AND TRY_CAST({column} AS BIGINT) IS NULL) AS nao_inteiros""" if text else
+              "0::BIGINT AS vazios, 0::BIGINT AS brancos_no_fim, 0::BIGINT AS nao_inteiros")
+    return f"""
+        SELECT '{table}' AS tabela, '{column}' AS coluna, count(*) AS linhas,
+            count(*) FILTER (WHERE {column} IS NULL) AS nulos, {counts}
+        FROM {_FX[table]} x"""
+
+
+_SIDE_VR = "consorcio, trip_id, sentido, servico_realizado, datetime_partida_VR, datetime_chegada_VR, tempo_viagem_VR"
+_SIDE_VP = _SIDE_VR.replace("_VR", "_VP")
+_PAIR_TIMES = ("datetime_partida_VP, datetime_partida_VR, datetime_chegada_VP, datetime_chegada_VR, "
+               "tempo_viagem_VP, tempo_viagem_VR")
+_PAIR_ORDER = f"segundos, contador, {_PAIR_TIMES}"
+_ONE_TO_ONE = f"""
+        SELECT * FROM (WITH RECURSIVE candidates_1 AS (
+            SELECT vr.consorcio, vr.trip_id, vr.sentido, vr.servico_realizado,
+                vp.datetime_partida AS datetime_partida_VP, vr.datetime_partida AS datetime_partida_VR,
+                vp.datetime_chegada AS datetime_chegada_VP, vr.datetime_chegada AS datetime_chegada_VR,
+                vp.tempo_viagem AS tempo_viagem_VP, vr.tempo_viagem AS tempo_viagem_VR,
+                abs(date_diff('second', vr.datetime_partida, vp.datetime_partida)) AS segundos,
+                min(abs(vr.viagens_consecutivas - vp.viagens_consecutivas)) AS contador
+            FROM observed vr JOIN planned vp
+                ON vp.consorcio = vr.consorcio AND vp.trip_id = vr.trip_id
+                AND vp.sentido = vr.sentido AND vp.servico_realizado = vr.servico_realizado
+                AND vp.tempo_viagem > 0 AND vr.tempo_viagem > 0
+                AND vp.datetime_partida BETWEEN vr.datetime_partida
+                        - to_minutes(CAST(round(vr.tempo_viagem * 0.25::DOUBLE) AS BIGINT))
+                    AND vr.datetime_partida
+                        + to_minutes(CAST(round(vr.tempo_viagem * 0.25::DOUBLE) AS BIGINT))
+                AND abs(vr.viagens_consecutivas - vp.viagens_consecutivas) <= 5
+            GROUP BY ALL),
+        proposals AS (
+            SELECT *, 0 AS state FROM candidates_1
+            UNION ALL
+            SELECT * EXCLUDE (hit, gone_p, gone_r), CASE WHEN hit THEN 1 ELSE 0 END AS state FROM (
+                SELECT *, bool_or(hit) OVER (PARTITION BY {_SIDE_VP}) AS gone_p,
+                    bool_or(hit) OVER (PARTITION BY {_SIDE_VR}) AS gone_r
+                FROM (SELECT * EXCLUDE (state),
+                        row_number() OVER (PARTITION BY {_SIDE_VP} ORDER BY {_PAIR_ORDER}) = 1
+                        AND row_number() OVER (PARTITION BY {_SIDE_VR} ORDER BY {_PAIR_ORDER}) = 1 AS hit
+                      FROM proposals WHERE state = 0) h) g
+            WHERE hit OR NOT (gone_p OR gone_r))
+        SELECT consorcio, trip_id, sentido, servico_realizado, {_PAIR_TIMES}
+        FROM proposals WHERE state = 1) z"""
+
+
+def _of_week(view: str) -> str:
+    """A view of the regularity chain over the second week of the month."""
+    return re.sub(r"\b(regular|shares|score_parts|totals|placed)\b", r"\1_week", VIEWS[view])
+
+
+_WEEK = f"""
+        SELECT * FROM (WITH regular_week AS (
+            SELECT * FROM regular
+            WHERE CAST(data_partida AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'),
+        {", ".join(f"{v}_week AS ({_of_week(v)})" for v in ("shares", "score_parts", "totals", "placed"))}
+        SELECT posicao, servico, round(unit * 100, 3) AS score FROM placed_week) z"""
+
 _BANDED = f"(SELECT *, {BAND.format('data_partida')} AS band FROM trip)"
 _HOURLY = "(SELECT *, hour(data_partida) AS hora FROM regular)"
 _RANKED = "SELECT posicao, servico, round(indicador, 6) AS indicador FROM ranking"
@@ -167,6 +260,12 @@ _STATEMENTS = {
         FROM fx_trips""",
     "select_rename": "SELECT * FROM renamed",
     "cast_types": "SELECT * FROM matched",
+    "cast_types_rejects": """
+        SELECT 'tempo_viagem_VR' AS coluna, 'x' || tempo_viagem_VR AS valor, count(*) AS linhas
+        FROM matched WHERE minute(datetime_partida_VR) % 7 = 0 GROUP BY ALL
+        UNION ALL
+        SELECT 'datetime_partida_VP', 'sem hora', count(*)
+        FROM matched WHERE minute(datetime_partida_VR) % 11 = 0 HAVING count(*) > 0""",
     "final_projection": "SELECT servico, round(score, 6) AS score, data_partida FROM regular",
     "filter_service_lookup": """
         SELECT ' ' || n.nome || ' ' AS servico, round(coalesce(r.indicador, -1), 6) AS indicador
@@ -192,6 +291,8 @@ _STATEMENTS = {
     "join_band_match_departures": "SELECT * FROM matched",
     "join_band_match_plain": "SELECT * FROM matched",
     "join_band_match_left": "SELECT * FROM paired",
+    "join_band_match_bucketed": "SELECT * FROM matched",
+    "associate_one_to_one": _ONE_TO_ONE,
     "join_weights": """
         SELECT faixa, numero, servico, viagens, total_viagens, round(peso, 6) AS peso
         FROM shares""",
@@ -270,6 +371,10 @@ _STATEMENTS = {
     "audit_column_quality": " UNION ALL ".join(
         _quality(c) for c in ("id_empresa", "id_veiculo", "servico_informado",
                               "servico_realizado", "versao_modelo")),
+    "audit_table_quality": " UNION ALL ".join(
+        _column_counts(table, column, names is _TEXTS)
+        for names in (_TEXTS, _OTHERS) for table, columns in names.items()
+        for column in columns.split()),
     # windows
     "planned_sequence": "SELECT * FROM planned",
     "planned_sequence_by_trip": f"""
@@ -323,6 +428,12 @@ _STATEMENTS = {
     "worst_trip_per_quarter": _best(_BANDED, "band", "score, data_partida, servico",
                                     _QUARTER_COLUMNS),
     "final_ranking": "SELECT posicao, servico, round(unit * 100, 3) AS score FROM placed",
+    "final_ranking_from_totals": "SELECT posicao, servico, round(unit * 100, 3) AS score FROM placed",
+    "week_ranking_from_totals": _WEEK,
+    "band_totals_by_day": f"""
+        SELECT CAST(data_partida AS DATE) AS dia, {BAND.format('data_partida')} AS banda, servico,
+            count(*) AS viagens, round(sum(score), 6) AS soma, count(score) AS validas
+        FROM regular WHERE servico IS NOT NULL GROUP BY ALL""",
     "union_rush": "SELECT metade, hora, viagens FROM rush_halves",
     # scalar rules over whole tables
     "parse_hms": """

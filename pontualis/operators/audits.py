@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import replace
+from dataclasses import fields, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
 from pontualis.config import AnalysisConfig
 from pontualis.operators import observed, scans, timetable
@@ -170,3 +171,58 @@ def column_quality(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     row = frame.agg(F.array(*[counts(c) for c in columns]).alias("_counts"))
     return row.select(F.inline("_counts"))
+
+
+# Relative error (one standard deviation) of a distinct count: 1.04 / sqrt(2 ** 12).
+DISTINCT_BITS = 12
+# Values a heavy-hitter sketch keeps at most; it names every value of more than 1 / 128 of all rows.
+HITTERS = 128
+
+
+def _is_text(field: StructField) -> bool:
+    return field.dataType.typeName() == "string"
+
+
+def table_quality(frame: DataFrame, name: str) -> DataFrame:
+    """Per column of a table: rows, NULLs, and for texts empty, blank-ended and non-integer values.
+
+    Beside the exact counts stand two sketches of the values as text: ``distintos`` for the number of
+    distinct values, ``frequentes`` for the most frequent ones.  Everything comes from one scan with one
+    partial aggregate; rows of ``merged_quality`` add up those of several days or tables.
+    """
+    def counts(field: StructField) -> Column:
+        value, zero = F.col(f"`{field.name}`"), F.lit(0).cast("bigint")
+        text = value.cast("string")
+        no_integer = value.isNotNull() & text.try_cast("bigint").isNull()
+        exact = [F.count_if(text == ""), F.count_if(text != F.rtrim(text)), F.count_if(no_integer)]
+        return F.struct(
+            F.lit(name).alias("tabela"), F.lit(field.name).alias("coluna"),
+            F.count(F.lit(1)).alias("linhas"), F.count_if(value.isNull()).alias("nulos"),
+            *[(c if _is_text(field) else zero).alias(n)
+              for c, n in zip(exact, ("vazios", "brancos_no_fim", "nao_inteiros"))],
+            F.hll_sketch_agg(text, F.lit(DISTINCT_BITS)).alias("distintos"),
+            F.call_function("approx_top_k_accumulate", text, F.lit(HITTERS)).alias("frequentes"))
+
+    row = frame.agg(F.array(*[counts(f) for f in frame.schema]).alias("_counts"))
+    return row.select(F.inline("_counts"))
+
+
+def merged_quality(parts: DataFrame) -> DataFrame:
+    """Counts and sketches of the parts of a table added up, per column."""
+    exact = ["linhas", "nulos", "vazios", "brancos_no_fim", "nao_inteiros"]
+    return parts.groupBy("tabela", "coluna").agg(
+        *[F.sum(c).alias(c) for c in exact], F.hll_union_agg("distintos").alias("distintos"),
+        F.call_function("approx_top_k_combine", F.col("frequentes")).alias("frequentes"))
+
+
+def estimated_quality(quality: DataFrame, k: int = 5) -> DataFrame:
+    """The exact counts, the estimated number of distinct values, and the ``k`` most frequent ones."""
+    return quality.withColumns({"distintos": F.hll_sketch_estimate("distintos"),
+                                "frequentes": F.call_function("approx_top_k_estimate", F.col("frequentes"), F.lit(k))})
+
+
+def source_quality(tables: TransitTables) -> DataFrame:
+    """``table_quality`` of all source tables."""
+    names = [f.name for f in fields(TransitTables)]
+    parts = [table_quality(getattr(tables, n), n) for n in names]
+    return reduce(DataFrame.unionByName, parts)

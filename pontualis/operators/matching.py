@@ -16,6 +16,7 @@ Three forms give the same rows:
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -28,6 +29,8 @@ MATCHED_TIMES = ["datetime_partida_VP", "datetime_partida_VR",
                  "datetime_chegada_VP", "datetime_chegada_VR",
                  "tempo_viagem_VP", "tempo_viagem_VR"]
 MATCH_KEYS = ["consorcio", "trip_id", "sentido", "servico_realizado"]
+# The keys of the join: the trip and the time cell.
+CELL_KEYS = [*MATCH_KEYS, "_slot"]
 
 
 def _band_minutes(cfg: AnalysisConfig) -> Column:
@@ -61,7 +64,7 @@ def _counters_close(cfg: AnalysisConfig) -> Column:
     return F.abs(F.col("contador_VR") - F.col("contador_VP")) <= cfg.counter_tolerance
 
 
-def _matched(pairs: DataFrame) -> DataFrame:
+def matched_columns(pairs: DataFrame) -> DataFrame:
     return pairs.select(
         F.col("servico_realizado").alias("servico_VP"),
         F.col("servico_realizado").alias("service_VR"),
@@ -78,17 +81,18 @@ def _band_seconds(cfg: AnalysisConfig) -> tuple[Column, Column]:
     return F.col("_at") - band, F.col("_at") + band + 1
 
 
-def _realised_in_cells(realised: DataFrame, cfg: AnalysisConfig) -> DataFrame:
+def trips_in_cells(realised: DataFrame, cfg: AnalysisConfig,
+                       each: Callable[[Column], Column] = F.explode) -> DataFrame:
     """One copy of a realised trip for each time cell its band touches.
 
-    The band follows from ``_at`` and the duration, so its ends are not carried
+    ``explode_outer`` also keeps a trip without a time.  The band follows from ``_at`` and the duration, so its ends are not carried
     through the shuffle.
     """
     width = cfg.match_cell_minutes * 60
     low, high = _band_seconds(cfg)
     return (_realised_side(realised)
             .withColumn("_at", clock.epoch_seconds(F.col("datetime_partida_VR")))
-            .withColumn("_slot", F.explode(F.sequence(
+            .withColumn("_slot", each(F.sequence(
                 clock.floor_div(low, width), clock.floor_div(high, width)))))
 
 
@@ -113,8 +117,8 @@ def match_departures(planned: DataFrame, realised: DataFrame, cfg: AnalysisConfi
     width = cfg.match_cell_minutes * 60
     slotted = _planned_side(planned).withColumn(
         "_slot", clock.floor_div(clock.epoch_seconds(F.col("datetime_partida_VP")), width))
-    pairs = _realised_in_cells(realised, cfg).join(slotted, [*MATCH_KEYS, "_slot"])
-    return _matched(pairs.where(_in_band(cfg) & _counters_close(cfg)))
+    pairs = trips_in_cells(realised, cfg).join(slotted, CELL_KEYS)
+    return matched_columns(pairs.where(_in_band(cfg) & _counters_close(cfg)))
 
 
 def window_cells(windows: DataFrame, cfg: AnalysisConfig) -> DataFrame:
@@ -152,31 +156,21 @@ def match_windows(windows: DataFrame, realised: DataFrame, cfg: AnalysisConfig)
     Only matched departures are ever generated: the planned side shuffles one
     row per window and hour instead of one per departure.
     """
-    return _matched(_window_pairs(windows, realised, cfg))
+    return matched_columns(_window_pairs(windows, realised, cfg))
 
 
-def match_left(windows: DataFrame, realised: DataFrame, cfg: AnalysisConfig) -> DataFrame:
-    """``match_windows`` with the realised trips that match nothing, their planned side NULL.
+def _window_pairs(windows: DataFrame, realised: DataFrame, cfg: AnalysisConfig,
+                  how: str = "inner") -> DataFrame:
+    each = F.explode_outer if how == "left" else F.explode
+    return pairs_in_cells(trips_in_cells(realised, cfg, each), window_cells(windows, cfg), cfg, how)
 
-    Only the pairs go through the time cells; the trips without one are found by the
-    columns that identify a realised trip in the result.
+
+def pairs_in_cells(trips: DataFrame, cells: DataFrame, cfg: AnalysisConfig,
+                   how: str = "inner") -> DataFrame:
+    """Pairs of a realised trip and one departure of a window, in all cells of the trip.
+
+    With ``left``, a cell of a trip without a pair is a row without a planned side.
     """
-    found = _matched(_window_pairs(windows, realised, cfg))
-    trips = _realised_side(realised).select(
-        F.col("servico_realizado").alias("service_VR"), *MATCH_KEYS, "contador_VR",
-        *[c for c in MATCHED_TIMES if c.endswith("_VR")])
-    identity = [*MATCH_KEYS, "contador_VR", *[c for c in MATCHED_TIMES if c.endswith("_VR")]]
-    matched = _window_pairs(windows, realised, cfg).select(*identity).distinct()
-    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"m.{c}")) for c in identity]
-    alone = (trips.alias("r").join(matched.alias("m"), same, "left_anti")
-             .select(F.lit(None).cast("string").alias("servico_VP"), "service_VR",
-                     *[F.col(c) if c.endswith("_VR") else
-                       F.lit(None).cast(found.schema[c].dataType).alias(c)
-                       for c in MATCHED_TIMES]))
-    return found.unionByName(alone.distinct())
-
-
-def _window_pairs(windows: DataFrame, realised: DataFrame, cfg: AnalysisConfig) -> DataFrame:
     start, step = F.col("_start"), F.col("_step")
     low, high = _band_seconds(cfg)
     tolerance = cfg.counter_tolerance
@@ -184,12 +178,46 @@ def _window_pairs(windows: DataFrame, realised: DataFrame, cfg: AnalysisConfig)
                               clock.ceil_div(low - start, step))
     counter_to = F.least(F.col("_r_to"), F.col("contador_VR") + tolerance,
                          clock.floor_div(high - start, step))
-    trips, cells = _realised_in_cells(realised, cfg), window_cells(windows, cfg)
-    pairs = (trips.join(cells, [*MATCH_KEYS, "_slot"])
-             .where(counter_from <= counter_to)
-             .withColumn("contador_VP", F.explode(F.sequence(counter_from, counter_to)))
+    # Without a window both bounds rest on the trip alone.
+    met = F.col("_start").isNotNull() & (counter_from <= counter_to)
+    counters = F.when(met, F.sequence(counter_from, counter_to))
+    each = F.explode_outer if how == "left" else F.explode
+    pairs = (trips.join(cells, CELL_KEYS, how).withColumn("contador_VP", each(counters))
              .withColumn("datetime_partida_VP",
                          clock.from_epoch_seconds(start + step * F.col("contador_VP")))
              .withColumn("datetime_chegada_VP",
                          clock.from_epoch_seconds(start + step * (F.col("contador_VP") + 1))))
-    return pairs.where(_in_band(cfg))
+    return pairs if how == "left" else pairs.where(_in_band(cfg))
+
+
+def match_left(windows: DataFrame, realised: DataFrame, cfg: AnalysisConfig) -> DataFrame:
+    """``match_windows`` with the realised trips that match nothing, their planned side NULL.
+
+    One pair join: every cell of a trip stays in it, and one aggregate per trip folds the
+    pairs of its cells into a set.  A trip whose set is empty has no match.  A set holds
+    what lies in the band and the counter tolerance of one trip, a few departures.
+    """
+    planned = [c for c in MATCHED_TIMES if c.endswith("_VP")]
+    observed = [c for c in MATCHED_TIMES if c.endswith("_VR")]
+    pair = F.when(_in_band(cfg), F.struct(*planned))
+    folded = (_window_pairs(windows, realised, cfg, "left")
+              .groupBy(*MATCH_KEYS, "contador_VR", *observed)
+              .agg(F.collect_set(pair).alias("_pairs")))
+    return (folded.withColumn("_pair", F.explode_outer("_pairs"))
+            .select(F.when(F.col("_pair").isNotNull(), F.col("servico_realizado")).alias("servico_VP"),
+                    F.col("servico_realizado").alias("service_VR"),
+                    *[F.col(f"_pair.{c}").alias(c) if c in planned else F.col(c)
+                      for c in MATCHED_TIMES]).distinct())
+
+
+def candidate_pairs(windows: DataFrame, realised: DataFrame, cfg: AnalysisConfig) -> DataFrame:
+    """Every pair of a trip and a departure that may be associated, with its two distances.
+
+    A trip is its keys and observed times, a departure its keys and planned times, however many
+    feeds or windows list it; of several counters the closest ones count.
+    """
+    seconds = F.abs(clock.epoch_seconds(F.col("datetime_partida_VP"))
+                    - clock.epoch_seconds(F.col("datetime_partida_VR")))
+    return (_window_pairs(windows, realised, cfg).groupBy(*MATCH_KEYS, *MATCHED_TIMES)
+            .agg(F.min(F.abs(F.col("contador_VR") - F.col("contador_VP"))).alias("distancia_contador"))
+            .withColumn("distancia_segundos", seconds))

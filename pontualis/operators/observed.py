@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -100,20 +101,26 @@ def join_feed_range(trips: DataFrame, feeds: DataFrame, spread: Sequence[str],
             .drop("_month", "_first", "_feed_first"))
 
 
-def realised_in_feeds(tables: TransitTables, cfg: AnalysisConfig) -> DataFrame:
+def realised_in_feeds(tables: TransitTables, cfg: AnalysisConfig,
+                      days: Sequence[date] | None = None) -> DataFrame:
+    """Realised trips of the period, or of some service days of it, with their feeds."""
     feeds = (tables.feed_info.where(scans.feed_floor(cfg))
              .select("feed_version", "feed_start_date", "feed_end_date"))
-    return join_feed_range(scans.scan_realised(tables, cfg), feeds, ["id_viagem"])
+    trips = scans.scan_realised(tables, cfg)
+    if days is not None:
+        trips = trips.where(F.col("data").isin(list(days)))
+    return join_feed_range(trips, feeds, ["id_viagem"])
 
 
-def _observed_columns(trips: DataFrame, *extra: str) -> DataFrame:
+def observed_columns(trips: DataFrame, *extra: str) -> DataFrame:
+    """What the match knows of a realised trip; copies are still there."""
     return trips.select(
         "consorcio", "data", *extra,
         trip_key_realised(F.col("id_viagem")).alias("id_viagem"), "servico_realizado",
         "vista", "trip_id", "shape_id", "sentido", "datetime_partida", "datetime_chegada",
         F.col("inicio_periodo").cast("date").alias("inicio_periodo"),
         F.col("fim_periodo").cast("date").alias("fim_periodo"),
-        "tempo_viagem", "feed_version", "feed_start_date", "feed_end_date").distinct()
+        "tempo_viagem", "feed_version", "feed_start_date", "feed_end_date")
 
 
 def _total_order(frame: DataFrame, first: list[str]) -> list[str]:
@@ -126,12 +133,15 @@ def _hour_cell(cfg: AnalysisConfig) -> Column:
                            cfg.numbering_cell_minutes * 60)
 
 
-def observed_departures(tables: TransitTables, cfg: AnalysisConfig) -> DataFrame:
+def observed_departures(tables: TransitTables, cfg: AnalysisConfig,
+                        days: Sequence[date] | None = None) -> DataFrame:
     """Realised trips numbered by departure per day, trip and service.
 
+    A number depends on trips of the same service day alone, so ``days`` may leave others out.
+
     A cell of the numbering is one trip in one hour (``numbering_cell_minutes``).
     """
-    trips = _observed_columns(realised_in_feeds(tables, cfg))
+    trips = observed_columns(realised_in_feeds(tables, cfg, days)).distinct()
     return number_rows(trips, ["data", "trip_id", "servico_realizado"], _hour_cell(cfg),
                        _total_order(trips, ["datetime_partida", "id_viagem"]),
                        "viagens_consecutivas")
@@ -139,8 +149,8 @@ def observed_departures(tables: TransitTables, cfg: AnalysisConfig) -> DataFrame
 
 def observed_departures_by_service(tables: TransitTables, cfg: AnalysisConfig) -> DataFrame:
     """Variant with one counter per consortium, service, trip, shape and direction."""
-    trips = _observed_columns(
-        realised_in_feeds(tables, cfg), "tipo_dia", "versao_modelo")
+    trips = observed_columns(
+        realised_in_feeds(tables, cfg), "tipo_dia", "versao_modelo").distinct()
     return number_rows(
         trips, ["consorcio", "servico_realizado", "trip_id", "shape_id", "sentido"],
         F.struct("data", _hour_cell(cfg).alias("hour")),

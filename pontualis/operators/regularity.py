@@ -17,26 +17,39 @@ def bucket_label(bucket: str, number: Column) -> Column:
     return number if bucket == HOUR else clock.quarter_hour_label(number)
 
 
+def band_totals(scored: DataFrame, *keys: str) -> DataFrame:
+    """Trips, sum of scores and trips with a score per 15-minute band and service.
+
+    Totals of disjoint sets of trips add up to those of their union.  Further ``keys``, such as
+    the day, keep them apart.
+    """
+    return (with_service(scored).where(F.col("data_partida").isNotNull())
+            .groupBy(*keys, clock.quarter_hour_number(F.col("data_partida")).alias("banda"), "servico")
+            .agg(F.count(F.lit(1)).alias("viagens"), F.sum("score").alias("soma"),
+                 F.count("score").alias("validas")))
+
+
 def share_scores(scored: DataFrame) -> DataFrame:
+    """``share_scores_of`` the trips, which are read and aggregated once."""
+    return share_scores_of(band_totals(scored))
+
+
+def share_scores_of(totals: DataFrame) -> DataFrame:
     """Mean score and share of the trips, per bucket kind, bucket and service.
 
-    Trips are read and aggregated once, per 15-minute band and service; hours
-    are sums of bands, so both kinds come out of that small result.  The window
+    ``totals`` may hold several rows of a band and service, for instance one a day.
+    Hours are sums of bands, so both kinds come out of that small input.  The window
     behind the bucket totals sees one row per service, not trips.
     """
-    bands = (with_service(scored).where(F.col("data_partida").isNotNull())
-             .groupBy(clock.quarter_hour_number(F.col("data_partida")).alias("_band"), "servico")
-             .agg(F.count(F.lit(1)).alias("_trips"), F.sum("score").alias("_sum"),
-                  F.count("score").alias("_valid")))
     kinds = F.explode(F.array(
         F.struct(F.lit(HOUR).alias("faixa"),
-                 clock.floor_div(F.col("_band"), 4).alias("numero")),
-        F.struct(F.lit(QUARTER).alias("faixa"), F.col("_band").alias("numero"))))
+                 clock.floor_div(F.col("banda"), 4).alias("numero")),
+        F.struct(F.lit(QUARTER).alias("faixa"), F.col("banda").alias("numero"))))
     bucket = Window.partitionBy("faixa", "numero")
-    return (bands.withColumn("_kind", kinds)
+    return (totals.withColumn("_kind", kinds)
             .groupBy("_kind.faixa", "_kind.numero", "servico")
-            .agg(F.sum("_trips").alias("viagens"),
-                 F.try_divide(F.sum("_sum"), F.sum("_valid")).alias("media"))
+            .agg(F.sum("viagens").alias("viagens"),
+                 F.try_divide(F.sum("soma"), F.sum("validas")).alias("media"))
             .withColumn("total_viagens", F.sum("viagens").over(bucket))
             .withColumn("peso", F.col("viagens") / F.col("total_viagens")))
 
@@ -74,6 +87,10 @@ def regularity_rollup(scored: DataFrame, bucket: str) -> DataFrame:
 
 
 def score_parts(scored: DataFrame) -> DataFrame:
+    return score_parts_of(band_totals(scored))
+
+
+def score_parts_of(totals: DataFrame) -> DataFrame:
     """Both rollups side by side, from one aggregation.
 
     A service with trips has trips in some hour and in some band, so the two
@@ -82,27 +99,36 @@ def score_parts(scored: DataFrame) -> DataFrame:
     def part(bucket: str) -> Column:
         return F.avg(F.when(F.col("faixa") == bucket, _corrected()))
 
-    return (share_scores(scored).groupBy("servico")
+    return (share_scores_of(totals).groupBy("servico")
             .agg(part(HOUR).alias("score_hora"), part(QUARTER).alias("score_subfaixa15")))
 
 
-def regularity_sum(scored: DataFrame, digits: int) -> DataFrame:
-    return score_parts(scored).select(
+def _sums(totals: DataFrame, digits: int) -> DataFrame:
+    return score_parts_of(totals).select(
         "servico",
         F.round(F.col("score_hora") + F.col("score_subfaixa15"), digits).alias("score"))
 
 
-def _placed(scored: DataFrame, digits: int) -> DataFrame:
-    total = regularity_sum(scored, digits).withColumn("_unit", F.col("score"))
+def regularity_sum(scored: DataFrame, digits: int) -> DataFrame:
+    return _sums(band_totals(scored), digits)
+
+
+def _placed(totals: DataFrame, digits: int) -> DataFrame:
+    total = _sums(totals, digits).withColumn("_unit", F.col("score"))
     return rank_position(minmax_normalise(total, "_unit"), "score", F.col("_unit"))
 
 
 def regularity_ranking(scored: DataFrame, digits: int) -> DataFrame:
     """Position, service and unscaled sum of both rollups."""
-    return _placed(scored, digits).select("posicao", "servico", "score")
+    return _placed(band_totals(scored), digits).select("posicao", "servico", "score")
 
 
 def final_ranking(scored: DataFrame, digits: int) -> DataFrame:
     """Position, service and regularity in percent of the best service."""
-    return _placed(scored, digits).select(
+    return final_ranking_of(band_totals(scored), digits)
+
+
+def final_ranking_of(totals: DataFrame, digits: int) -> DataFrame:
+    """The final ranking from totals of bands, such as stored ones of the days of a period."""
+    return _placed(totals, digits).select(
         "posicao", "servico", scores.score_percent(F.col("_unit")).alias("score"))

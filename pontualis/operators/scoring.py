@@ -24,6 +24,27 @@ def cast_types(raw: DataFrame) -> DataFrame:
                         for f in schemas.MATCHED])
 
 
+def cast_with_rejects(raw: DataFrame) -> DataFrame:
+    """``cast_types`` and, in ``rejeitados``, column and text of each value that has no such type.
+
+    A NULL text is a NULL, not a reject; so the two can be told apart.
+    """
+    def reject(field) -> Column:
+        text = F.col(field.name)
+        broken = text.isNotNull() & text.try_cast(field.dataType).isNull()
+        return F.when(broken, F.struct(F.lit(field.name).alias("coluna"), text.alias("valor")))
+
+    rejects = F.filter(F.array(*[reject(f) for f in schemas.MATCHED]), lambda r: r.isNotNull())
+    return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schemas.MATCHED],
+                      rejects.alias("rejeitados"))
+
+
+def reject_counts(cast: DataFrame) -> DataFrame:
+    """Rejected texts of ``cast_with_rejects`` with their column and number of rows."""
+    return (cast.select(F.inline("rejeitados")).groupBy("coluna", "valor")
+            .agg(F.count(F.lit(1)).alias("linhas")))
+
+
 def select_rename(matched: DataFrame) -> DataFrame:
     return matched.select(
         F.col("servico_VP").alias("servico"),

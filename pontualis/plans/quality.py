@@ -2,32 +2,32 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterable
+from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pontualis.config import AnalysisConfig
-from pontualis.operators import matching, observed, rankings, regularity, rush, scoring
-from pontualis.operators import timetable
-from pontualis.sources.matched import cached_matched, fingerprint
+from pontualis.operators import rankings, regularity, rush, scoring
+from pontualis.plans.stored_match import match_store, matched_trips, refresh_match
+from pontualis.schemas import BAND_TOTALS, MATCHED
+from pontualis.sources.day_store import DAY, DayStore
 from pontualis.sources.ranking_csv import write_ranking_csv
+from pontualis.sources.ranking_store import RankingStore
 from pontualis.sources.tables import TransitTables
 
 
-def matched_trips(tables: TransitTables, cfg: AnalysisConfig) -> DataFrame:
-    """Realised trips with the planned departures they are associated with."""
-    return matching.match_windows(timetable.numbered_windows(tables, cfg),
-                                  observed.observed_departures(tables, cfg), cfg)
-
-
 class QualityAnalysis:
     """Service-quality analysis of one period.
 
     ``mode`` selects the score of a trip: ``trip`` (error factor and min-max
     per trip) or ``regularity`` (neither; input of ``final_ranking``).  With a
-    ``cache_path`` the matched table is written there by ``run`` and reused by
-    later analyses; without one it stays a lazy plan.
+    ``cache_path`` the matched table is written there by day and reused by later analyses:
+    ``run`` recomputes the days of which the inputs have changed.  Without one it stays a
+    lazy plan.
     """
 
     def __init__(self, tables: TransitTables, cfg: AnalysisConfig | None = None,
@@ -38,32 +38,30 @@ class QualityAnalysis:
         self.cfg = cfg or AnalysisConfig()
         self.mode = mode
         self.cache_path = cache_path
+        self.rewritten: list[date] = []
         self._matched: DataFrame | None = None
 
-    def run(self, force: bool = False) -> "QualityAnalysis":
-        """Match planned and realised trips; ``force`` ignores an existing cache."""
+    def run(self, force: bool = False, refresh: bool = True) -> "QualityAnalysis":
+        """Match planned and realised trips.
+
+        ``force`` recomputes all days; without ``refresh`` the stored match is taken as it is.
+        """
         if self.cache_path is None:
             self._matched = matched_trips(self.tables, self.cfg)
         else:
-            self._matched = cached_matched(
-                self.tables.realised.sparkSession, self.written_match,
-                lambda: matched_trips(self.tables, self.cfg), force)
+            store = self.match_store
+            if force or refresh or not store.manifest():
+                self.rewritten = refresh_match(store, self.tables, self.cfg, force)
+            self._matched = store.read().select(*MATCHED.names)
         self.__dict__.pop("scored", None)
         return self
 
     @cached_property
-    def written_match(self) -> str:
-        """Folder of the written match below ``cache_path``.
-
-        It is named after the parameters the match depends on and the files it is
-        computed from, so a match of another month, tolerance or input is not reused.
-        """
-        cfg, tables = self.cfg, self.tables
-        parameters = (cfg.start_date, cfg.end_date, cfg.feed_floor, tuple(cfg.agencies),
-                      cfg.association_factor, cfg.counter_tolerance)
-        frames = (tables.trips, tables.frequencies, tables.routes, tables.agency,
-                  tables.feed_info, tables.calendar, tables.realised)
-        return f"{self.cache_path.rstrip('/')}/{fingerprint(frames, parameters)}"
+    def match_store(self) -> DayStore:
+        """The written match below ``cache_path``, one folder a day."""
+        if self.cache_path is None:
+            raise ValueError("an analysis without a cache_path stores nothing")
+        return match_store(self.tables, self.cfg, self.cache_path)
 
     @property
     def matched(self) -> DataFrame:
@@ -97,12 +95,34 @@ class QualityAnalysis:
     def bottom10(self) -> DataFrame:
         return rankings.ranking_bottom(self.service_ranking())
 
+    def _scored_by(self) -> str:
+        """Digest of the stored match and of all parameters behind a score."""
+        cfg = self.cfg
+        parameters = (self.mode, cfg.weight_travel, cfg.weight_reliability, cfg.rank_digits)
+        text = repr((parameters, sorted(self.match_store.manifest().items())))
+        return hashlib.sha256(text.encode()).hexdigest()[:24]
+
+    @cached_property
+    def stored_ranking(self) -> RankingStore:
+        """The service ranking on disk, written when the match or a weight has changed."""
+        store = RankingStore(self.tables.realised.sparkSession,
+                             f"{self.cache_path.rstrip('/')}/ranking-{self._scored_by()}")
+        store.write_once(self.service_ranking)
+        return store
+
     def service_scores(self, requested: DataFrame) -> DataFrame:
-        """Indicator of each service in column ``servico``; -1 when it is not ranked."""
-        return rankings.service_scores(self.service_ranking(), requested)
+        """Indicator of each service in column ``servico``; -1 when it is not ranked.
+
+        With a ``cache_path`` a stored ranking answers, and the match is not read.
+        """
+        if self.cache_path is None:
+            return rankings.service_scores(self.service_ranking(), requested)
+        return self.stored_ranking.scores(requested)
 
     def service_score(self, servico: str) -> float:
         """Indicator of one service; -1 when it is not ranked."""
+        if self.cache_path is not None:
+            return self.stored_ranking.score(str(servico))
         spark = self.tables.realised.sparkSession
         requested = spark.range(1).select(F.lit(str(servico)).alias("servico"))
         return self.service_scores(requested).first()["indicador"]
@@ -142,5 +162,29 @@ class QualityAnalysis:
     def final_ranking(self) -> DataFrame:
         return regularity.final_ranking(self.scored, self.cfg.rank_digits)
 
+    @cached_property
+    def stored_totals(self) -> DayStore:
+        """Totals per day, band and service on disk; only days of which the match changed are new."""
+        if self.mode != "regularity":
+            raise ValueError("scores that are normalised over a month have no totals by day")
+        cfg, match = self.cfg, self.match_store
+        if not match.manifest():
+            self.run()
+        weights = repr((cfg.weight_travel, cfg.weight_reliability)).encode()
+        name = hashlib.sha256(weights).hexdigest()[:24]
+        store = DayStore(match.spark, f"{match.root}/totals-{name}", BAND_TOTALS)
+
+        def totals(days: list[date]) -> DataFrame:
+            scored = scoring.score_matches(match.read(days), cfg, self.mode)
+            return regularity.band_totals(
+                scored.withColumn(DAY, F.col("data_partida").cast("date")), DAY)
+
+        store.refresh({d: v for d, (v, _) in match.manifest().items()}, totals)
+        return store
+
+    def final_ranking_of(self, days: Iterable[date] | None = None) -> DataFrame:
+        """The final ranking of some days, or of all, from stored totals alone."""
+        return regularity.final_ranking_of(self.stored_totals.read(days), self.cfg.rank_digits)
+
     def write_final_ranking(self, path: str) -> None:
         write_ranking_csv(self.final_ranking(), path)

@@ -8,13 +8,15 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pontualis.functions import clock, keys, scores
-from pontualis.operators import (audits, explore, matching, observed, rankings, regularity,
+from pontualis.operators import (assignment, audits, explore, matching, observed, rankings, regularity,
                                  rush, scans, scoring, timetable)
+from pontualis.plans import match_layout
 from pontualis.plans.quality import QualityAnalysis
 from pontualis.session import shared_folder
 from pontualis.sources.matched import read_matched_csv, write_matched_csv
@@ -39,11 +41,17 @@ def _scratch(spark: SparkSession, sf_dir: str, name: str) -> str:
     return f"{root}/{application}/{inputs:08x}/{name}"
 
 
+_fresh: set[str] = set()
+
+
 def analysis(spark: SparkSession, sf_dir: str, mode: str = "trip",
              force: bool = False) -> QualityAnalysis:
-    """An analysis whose matched table is written once per application and folder."""
-    return QualityAnalysis(star_tables(spark, sf_dir), CFG, mode,
-                           _scratch(spark, sf_dir, "matched")).run(force)
+    """An analysis whose stored match is compared with its inputs once per application and folder."""
+    path = _scratch(spark, sf_dir, "matched")
+    found = QualityAnalysis(star_tables(spark, sf_dir), CFG, mode, path).run(
+        force, refresh=path not in _fresh)
+    _fresh.add(path)
+    return found
 
 
 def _tables_query(build: Callable[[TransitTables], DataFrame]) -> Callable[..., DataFrame]:
@@ -149,7 +157,7 @@ def source_csv_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sink_csv_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The matched table as its Parquet cache returns it after a forced rewrite."""
+    """The matched table as its cache by day returns it after a forced rewrite."""
     return QualityAnalysis(star_tables(spark, sf_dir), CFG, "trip",
                            _scratch(spark, sf_dir, "matched_forced")).run(force=True).matched
 
@@ -238,6 +246,19 @@ def cast_types(a):
     return scoring.cast_types(texts)
 
 
+@_trip_query
+def cast_types_rejects(a):
+    """Texts that are no time or number, where some durations and departures are damaged."""
+    texts = a.matched.select(*[F.col(c).cast("string").alias(c) for c in a.matched.columns])
+    minutes = F.minute(F.col("datetime_partida_VR").cast("timestamp_ntz"))
+    damaged = texts.withColumns({
+        "tempo_viagem_VR": F.when(minutes % 7 == 0, F.concat(F.lit("x"), "tempo_viagem_VR"))
+        .otherwise(F.col("tempo_viagem_VR")),
+        "datetime_partida_VP": F.when(minutes % 11 == 0, F.lit("sem hora"))
+        .when(minutes % 11 != 1, F.col("datetime_partida_VP"))})
+    return scoring.reject_counts(scoring.cast_with_rejects(damaged))
+
+
 @_regularity_query
 def final_projection(a):
     return _rounded(a.scored, "score")
@@ -314,6 +335,24 @@ def join_band_match_left(t):
     return _left_match(t)
 
 
+def join_band_match_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The match of both sides stored by trip and time cell."""
+    path = _scratch(spark, sf_dir, "layout")
+    name = "pontualis_" + path.rsplit("/", 2)[-2]
+    match_layout.write_layout(star_tables(spark, sf_dir), CFG, name, path, buckets=8)
+    return match_layout.match_stored(spark, name, CFG)
+
+
+QUERIES["join_band_match_bucketed"] = join_band_match_bucketed
+
+
+@_tables_query
+def associate_one_to_one(t):
+    """Every trip and every departure in one pair at most, closest pairs first."""
+    return assignment.one_to_one(matching.candidate_pairs(
+        timetable.numbered_windows(t, CFG), observed.observed_departures(t, CFG), CFG))
+
+
 @_regularity_query
 def join_weights(a):
     return _rounded(regularity.share_scores(a.scored)
@@ -440,6 +479,12 @@ def audit_column_quality(t):
                      "versao_modelo"])
 
 
+@_tables_query
+def audit_table_quality(t):
+    """Exact counts of every column of every source table."""
+    return audits.source_quality(t).drop("distintos", "frequentes")
+
+
 # --- windows ----------------------------------------------------------------------------------
 
 @_tables_query
@@ -549,6 +594,24 @@ def final_ranking(a):
     return a.final_ranking()
 
 
+@_regularity_query
+def final_ranking_from_totals(a):
+    """The final ranking of the month from stored totals of its days."""
+    return a.final_ranking_of()
+
+
+@_regularity_query
+def week_ranking_from_totals(a):
+    """The final ranking of one week from the totals that the month has left."""
+    return a.final_ranking_of(date(2024, 1, 8) + timedelta(k) for k in range(7))
+
+
+@_regularity_query
+def band_totals_by_day(a):
+    """The stored totals: trips, sum of scores and trips with a score per day, band and service."""
+    return _rounded(a.stored_totals.read(), "soma")
+
+
 @_regularity_query
 def union_rush(a):
     """Rush hours of both halves together, with the half they come from."""

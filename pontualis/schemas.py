@@ -76,6 +76,10 @@ MATCHED = _schema("""
 
 SCORED = _schema("servico string, score double, data_partida timestamp_ntz")
 
+BAND_TOTALS = _schema("banda bigint, servico string, viagens bigint, soma double, validas bigint")
+
+DAY_MANIFEST = _schema("versao string, linhas bigint, dia date")
+
 RANKING = _schema("posicao bigint, servico string, score double")
 
 # Columns of the star schema that the derived transit tables read.

@@ -1,70 +1,15 @@
-"""The matched table on disk: the cut between matching and ranking.
-
-Ranking queries read the match several times.  Written once to a shared
-folder, it is read back with column pruning, survives lost executors and keeps
-the plans short.
-"""
+"""The CSV form of the matched table."""
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pontualis import schemas
-from pontualis.operators.scoring import cast_types
+from pontualis.operators.scoring import cast_types, cast_with_rejects
 from pontualis.sources.csv_form import csv_reader, write_csv
 
 
-def is_written(spark: SparkSession, path: str) -> bool:
-    """True when a finished write lies at ``path``; a broken one leaves no marker."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
-
-
-def write_matched(matched: DataFrame, path: str) -> None:
-    """Write the matched table as Parquet.
-
-    Rankings always read the whole period, so it is not cut into folders; the
-    files are the partitions of the last shuffle, sized by adaptive execution.
-    """
-    matched.write.mode("overwrite").parquet(path)
-
-
-def read_matched(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.MATCHED).parquet(path)
-
-
-def fingerprint(frames: Iterable[DataFrame], parameters: object) -> str:
-    """Digest of parameters and of the input files behind some frames.
-
-    Files count with path, size and time of change, listed folder by folder.  A frame
-    without files counts by its logical plan.
-    """
-    digest = hashlib.sha256(repr(parameters).encode())
-    for frame in frames:
-        spark = frame.sparkSession
-        files = frame.inputFiles()
-        for folder in sorted({f.rpartition("/")[0] for f in files}):
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            system = path.getFileSystem(spark._jsc.hadoopConfiguration())
-            for status in system.listStatus(path):
-                name = status.getPath().toString()
-                digest.update(f"{name} {status.getLen()} {status.getModificationTime()}".encode())
-        if not files:
-            digest.update(str(frame.semanticHash()).encode())
-    return digest.hexdigest()[:24]
-
-
-def cached_matched(spark: SparkSession, path: str, compute, force: bool = False) -> DataFrame:
-    """The matched table at ``path``; ``compute()`` builds it when missing or forced."""
-    if force or not is_written(spark, path):
-        write_matched(compute(), path)
-    return read_matched(spark, path)
-
-
 def write_matched_csv(matched: DataFrame, path: str) -> None:
     """Semicolon-separated UTF-8 text with a header."""
     moments = [f.name for f in schemas.MATCHED if f.dataType.typeName() == "timestamp_ntz"]
@@ -72,7 +17,21 @@ def write_matched_csv(matched: DataFrame, path: str) -> None:
     write_csv(texts, path)
 
 
+def _csv_texts(spark: SparkSession, path: str) -> DataFrame:
+    texts = ", ".join(f"{name} string" for name in schemas.MATCHED.names)
+    return csv_reader(spark).option("enforceSchema", False).schema(texts).csv(path)
+
+
 def read_matched_csv(spark: SparkSession, path: str) -> DataFrame:
     """Read the CSV form as text by column name, then cast to the matched types."""
-    texts = ", ".join(f"{name} string" for name in schemas.MATCHED.names)
-    return cast_types(csv_reader(spark).option("enforceSchema", False).schema(texts).csv(path))
+    return cast_types(_csv_texts(spark, path))
+
+
+def load_matched_csv(spark: SparkSession, path: str, target: str) -> tuple[DataFrame, DataFrame]:
+    """Read the CSV form once into a Parquet table: the typed rows, and the rejected texts.
+
+    Both results are read from ``target``; the rejects (``coluna``, ``valor``) read one column of it.
+    """
+    cast_with_rejects(_csv_texts(spark, path)).write.mode("overwrite").parquet(target)
+    stored = spark.read.parquet(target)
+    return stored.select(*schemas.MATCHED.names), stored.select(F.inline("rejeitados"))
