@@ -1,9 +1,11 @@
 """Secret scans: fixed patterns, and sliding-window entropy over candidate strings.
 
 Built-in column functions only.  A candidate is a long unbroken run of key
-characters.  A window of ``WINDOW`` characters slides over it; each step changes
-the counts of one leaving and one entering character, and the sum of
-``n * log2(n)`` that the entropy needs is changed by those two counts.  A window
+characters.  A window of ``WINDOW`` characters slides over it; each step adds one to the
+count of the entering and takes one off that of the leaving character, in counts of five bits
+that are carried along in six longs, and the sum of ``n * log2(n)`` that the entropy needs
+changes by those two counts.  A candidate is folded in pieces that overlap by a window less
+one character, so the work is linear in its length.  A window
 lies in a character class when all its characters do; a candidate is a secret
 when a window reaches the entropy limit of a class.  What a pattern has found is cut
 out of a candidate and the rests are judged.  Windows that hold a word of the allow
@@ -12,6 +14,8 @@ list, and rests that are identifiers as a whole, add nothing.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -31,23 +35,30 @@ HEX = "[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "entropy")
 
 CANDIDATE = "[A-Za-z0-9+/_-]{20,}={0,2}"
-# Class name, its characters, least entropy of a window in bits, and what the
-# candidate must also contain to be told from a long word or a path.
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_MARKS = "+/_-"
+# The symbols that are counted; a character's code is its place from 1, 0 for any other.
+SYMBOLS = _DIGITS + _LOWER + _UPPER + _MARKS + "="
+# Class name, its characters, least entropy of a window in bits, and what the
+# candidate must also contain to be told from a long word or a path: patterns that are
+# searched in linear time.
 CLASSES = (
-    ("hex", _DIGITS + "abcdefABCDEF", 2.9, "[0-9].*[a-fA-F]|[a-fA-F].*[0-9]"),
-    ("lower", _DIGITS + _LOWER, 3.5, "[0-9].*[a-z].*[0-9]"),
-    ("upper", _DIGITS + _UPPER, 3.5, "[0-9].*[A-Z].*[0-9]"),
-    ("base64", _DIGITS + _LOWER + _UPPER + "+/_-", 3.9, "(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])"),
+    ("hex", _DIGITS + "abcdefABCDEF", 2.9, ("[0-9]", "[a-fA-F]")),
+    ("lower", _DIGITS + _LOWER, 3.5, ("^[^0-9]*+[0-9][^a-z]*+[a-z][^0-9]*+[0-9]",)),
+    ("upper", _DIGITS + _UPPER, 3.5, ("^[^0-9]*+[0-9][^A-Z]*+[A-Z][^0-9]*+[0-9]",)),
+    ("base64", _DIGITS + _LOWER + _UPPER + _MARKS, 3.9, ("[0-9]", "[a-z]", "[A-Z]")),
 )
+# Steps in one piece of a candidate.
+PIECE = 256
+_BITS, _LANES = 5, 6
+_PER_LANE = -(-len(SYMBOLS) // _LANES)
 # Windows that hold one of these are placeholders or plain sequences, and candidates that
 # are one of the others identifiers.
 PLACEHOLDER = r"(?i)example|sample|placeholder|changeme|dummy|xxxx|0123456789|abcdefgh|(.)\1{7}"
-IDENTIFIER = (r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|"
-              r"^[a-z]+([/_-][a-z]+)*([/_-][0-9]{1,8})?$")
-ALLOWED = PLACEHOLDER + "|" + IDENTIFIER.removeprefix("(?i)")
+UUID = "(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 
 _SPAN = "array<struct<start:int,rank:int,end:int,kind:string>>"
+_REST = "array<struct<span:struct<start:int,rank:int,end:int,kind:string>,text:string>>"
 
 
 def _length(text: Column) -> Column:
@@ -79,57 +90,113 @@ def _none() -> Column:
     return F.array().cast(_SPAN)
 
 
-def _weight(count: Column) -> Column:
-    """``n * log2(n)``, 0 at 0."""
-    return F.when(count > 1, count * F.log2(count)).otherwise(F.lit(0.0))
+def _identifier(token: Column) -> Column:
+    """True for a UUID and for words joined by single marks, with a number of up to 8 digits behind."""
+    words = F.regexp_replace(token, "[/_-][0-9]{1,8}$", "")
+    return token.rlike(UUID) | (~words.rlike("[^A-Za-z/_-]|[/_-][/_-]|^[^A-Za-z]|[^A-Za-z]$") & (words != ""))
+
+
+def _of_code(code: Column, values: list[int]) -> Column:
+    return F.get(F.array(*[F.lit(v).cast("bigint") for v in values]), code)
+
+
+# By code: the long that holds its count, the place of the count there and one at that place.
+_LANE = [-1, *[k // _PER_LANE for k in range(len(SYMBOLS))]]
+_SHIFT = [0, *[k % _PER_LANE * _BITS for k in range(len(SYMBOLS))]]
+_WEIGHTS = [n * math.log2(n) if n else 0.0 for n in range(WINDOW + 1)]
+
+
+def _piece_found(piece: Column, fits: list[Column]) -> Column:
+    """True when a window of a piece lies in a class and reaches its entropy."""
+    codes = F.transform(F.split(piece, ""), lambda c: F.instr(F.lit(SYMBOLS), c))
+    gone = F.concat(F.array_repeat(F.lit(0), WINDOW), codes)
+    steps = F.zip_with(codes, F.slice(gone, F.lit(1), F.length(piece)), lambda a, b: F.struct(
+        a.alias("code"), b.alias("out")))
+    one, weights = F.lit(1).cast("bigint"), F.array(*[F.lit(w) for w in _WEIGHTS])
+
+    def changed(lanes: list[Column], code: Column, sign: int) -> tuple[list[Column], Column]:
+        """The counts with one more or less of a code, and the change of the sum of weights."""
+        lane, shift = _of_code(code, _LANE), _of_code(code, _SHIFT).cast("int")
+        unit = F.call_function("shiftleft", one, shift) * sign
+        held = F.call_function("shiftright", F.get(F.array(*lanes), lane.cast("int")), shift)
+        count = held.bitwiseAND(F.lit((1 << _BITS) - 1)).cast("int")
+        change = F.get(weights, count + sign) - F.get(weights, count)
+        return ([k + F.when(lane == i, unit).otherwise(F.lit(0).cast("bigint")) for i, k in enumerate(lanes)],
+                F.when(code > 0, change).otherwise(F.lit(0.0)))
+
+    def left(acc: Column, step: Column) -> Column:
+        lanes, change = changed([acc[f"n{i}"] for i in range(_LANES)], step["out"], -1)
+        return F.struct(*[k.alias(f"n{i}") for i, k in enumerate(lanes)],
+                        (acc["total"] + change).alias("total"))
+
+    def entered(acc: Column, step: Column, rest: Column) -> Column:
+        lanes, change = changed([rest[f"n{i}"] for i in range(_LANES)], step["code"], 1)
+        runs = [F.when(_of_code(step["code"], [0, *[int(s in chars) for s in SYMBOLS]]) == 1,
+                       acc[name] + 1).otherwise(F.lit(0)) for name, chars, *_ in CLASSES]
+        return F.struct(*[k.alias(f"n{i}") for i, k in enumerate(lanes)],
+                        (rest["total"] + change).alias("total"), (acc["at"] + 1).alias("at"),
+                        acc["found"].alias("found"), *[r.alias(c[0]) for r, c in zip(runs, CLASSES)])
+
+    def judged(acc: Column) -> Column:
+        bits = F.lit(math.log2(WINDOW)) - acc["total"] / WINDOW
+        reached = reduce(lambda a, b: a | b, [
+            (acc[name] >= WINDOW) & (bits >= least - 1e-9) & fit
+            for (name, _, least, _), fit in zip(CLASSES, fits)])
+        window = F.substring(piece, acc["at"] - WINDOW + 1, F.lit(WINDOW))
+        found = acc["found"] | (reached & ~window.rlike(PLACEHOLDER))
+        return acc.withField("found", found)
+
+    def bound(value: Column, then: Callable[[Column], Column]) -> Column:
+        """``then`` of a value that is evaluated once, however often it is used."""
+        return F.get(F.transform(F.array(value), then), F.lit(0))
+
+    def step(acc: Column, one_step: Column) -> Column:
+        return bound(left(acc, one_step),
+                     lambda rest: bound(entered(acc, one_step, rest), judged))
+
+    zero = F.lit(0).cast("bigint")
+    begin = F.struct(*[zero.alias(f"n{i}") for i in range(_LANES)], F.lit(0.0).alias("total"),
+                     F.lit(0).alias("at"), F.lit(False).alias("found"),
+                     *[F.lit(0).alias(c[0]) for c in CLASSES])
+    return F.aggregate(steps, begin, step, lambda acc: acc["found"])
 
 
-def _count(within: Column, char: Column) -> Column:
-    return _length(within) - _length(F.replace(within, char, F.lit("")))
+def _secret_rests(rests: Column) -> Column:
+    """The rests of candidates in which a window is found; classes are fitted once a rest."""
+    def fitted(rest: Column) -> Column:
+        fits = [reduce(lambda a, b: a & b, [rest["text"].rlike(p) for p in needed]).alias(f"fit{i}")
+                for i, (*_, needed) in enumerate(CLASSES)]
+        return F.struct(rest.alias("rest"), *fits)
 
+    def secret(one: Column) -> Column:
+        pieces = F.regexp_extract_all(one["rest"]["text"],
+                                      F.lit(f"(?=(.{{1,{PIECE + WINDOW - 1}}})).{{1,{PIECE}}}"), F.lit(1))
+        fits = [one[f"fit{i}"] for i in range(len(CLASSES))]
+        return F.exists(pieces, lambda piece: _piece_found(piece, fits))
 
-def _entropy_found(token: Column) -> Column:
-    """True when a window of the token lies in a class and reaches its entropy."""
-    fits = [token.rlike(needed) for *_, needed in CLASSES]
+    able = F.filter(F.transform(rests, fitted), lambda one: reduce(
+        lambda a, b: a | b, [one[f"fit{i}"] for i in range(len(CLASSES))])
+        & ~_identifier(one["rest"]["text"]))
+    return F.transform(F.filter(able, secret), lambda one: one["rest"]["span"])
 
-    def step(acc: Column, i: Column) -> Column:
-        char = F.substring(token, i, F.lit(1))
-        middle = F.substring(token, F.greatest(i - WINDOW + 1, F.lit(1)),
-                             F.least(i, F.lit(WINDOW)) - 1)
-        leaving = F.substring(token, i - WINDOW, F.lit(1))
-        out = F.when(i > WINDOW, _weight(_count(middle, leaving) + 1)
-                     - _weight(_count(middle, leaving))).otherwise(F.lit(0.0))
-        entering = _count(middle, char)
-        total = acc["total"] - out + _weight(entering + 1) - _weight(entering)
-        runs = [F.when(F.instr(F.lit(chars), char) > 0, acc[name] + 1).otherwise(F.lit(0))
-                for name, chars, *_ in CLASSES]
-        bits = F.log2(F.lit(float(WINDOW))) - total / WINDOW
-        now = reduce(lambda a, b: a | b, [
-            (run >= WINDOW) & (bits >= least - 1e-9) & fit
-            for run, (_, _, least, _), fit in zip(runs, CLASSES, fits)])
-        now = now & ~F.substring(token, i - WINDOW + 1, F.lit(WINDOW)).rlike(PLACEHOLDER)
-        return F.struct(total.alias("total"), (acc["found"] | now).alias("found"),
-                        *[run.alias(c[0]) for run, c in zip(runs, CLASSES)])
 
-    begin = F.struct(F.lit(0.0).alias("total"), F.lit(False).alias("found"),
-                     *[F.lit(0).alias(c[0]) for c in CLASSES])
-    return F.aggregate(F.sequence(F.lit(1), _length(token)), begin, step,
-                       lambda acc: acc["found"])
+def _rests(token: Column, base: Column) -> Column:
+    """What sorted base spans leave of a candidate, in parts long enough for a window, with their text."""
+    span = token["span"]
 
-
-def _rests(span: Column, base: Column) -> Column:
-    """What sorted base spans leave of a candidate, in parts long enough for a window."""
     def part(begin: Column, end: Column) -> Column:
         left = F.struct(begin.alias("start"), span["rank"].alias("rank"), end.alias("end"),
                         span["kind"].alias("kind"))
-        return F.when(end - begin >= WINDOW, F.array(left)).otherwise(_none())
+        text = F.substring(token["text"], begin - span["start"] + 1, end - begin)
+        return F.when(end - begin >= WINDOW, F.array(F.struct(left.alias("span"), text.alias("text")))) \
+            .otherwise(F.array().cast(_REST))
 
     def step(acc: Column, b: Column) -> Column:
         more = F.concat(acc["out"], part(acc["at"], b["start"]))
         return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), more.alias("out"))
 
     met = F.filter(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
-    begin = F.struct(span["start"].alias("at"), _none().alias("out"))
+    begin = F.struct(span["start"].alias("at"), F.array().cast(_REST).alias("out"))
     return F.aggregate(met, begin, step,
                        lambda acc: F.concat(acc["out"], part(acc["at"], span["end"])))
 
@@ -155,14 +222,12 @@ def find_secrets(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",),
                 where(F.col("assigned"), _spans(t, ASSIGN, "assign", 6)),
                 where(F.col("long") & t.contains("AKIA"), _spans(t, ACCESS, "access")),
                 where(F.col("long"), _spans(t, HEX, "hex")))))
-            .withColumn("tokens", where(F.col("long"), _spans(t, CANDIDATE, "entropy"))))
-    rows = rows.withColumn("outside", F.flatten(F.transform("tokens", lambda s: _rests(s, F.col("base")))))
-
-    def secret(span: Column) -> Column:
-        token = F.substring(t, span["start"] + 1, span["end"] - span["start"])
-        return ~token.rlike(IDENTIFIER) & _entropy_found(token)
-
-    spans = F.array_sort(F.concat("base", F.filter("outside", secret)))
+            .withColumn("tokens", F.when(F.col("long"), F.arrays_zip(
+                _spans(t, CANDIDATE, "entropy").alias("span"),
+                F.regexp_extract_all(t, F.lit(CANDIDATE), F.lit(0)).alias("text")))
+                .otherwise(F.array().cast(_REST))))
+    rests = F.flatten(F.transform("tokens", lambda token: _rests(token, F.col("base"))))
+    spans = F.array_sort(F.concat("base", _secret_rests(rests)))
     return rows.select("kept.*", F.struct(F.col("base"), spans.alias("spans")).alias("_out"))
 
 

@@ -1,6 +1,13 @@
 """Secrets beside what a pattern has found, and behind words of the allow list."""
 
+import math
+import random
+import re
+import time
+from collections import Counter
+
 from corpus_helpers import documents  # noqa: F401
+from test_filters import IDENTIFIER, NEEDED
 
 from pontualis.llm import secret_scan
 
@@ -13,3 +20,49 @@ def test_secrets_beside_patterns_and_allowed_words(documents):
     got = {r.doc_id: r.text for r in secret_scan.redact(documents(rows)).collect()}
     assert not [i for i, text in got.items() if key in text]
     assert got[12] == rows[6][1] and got[14] == rows[8][1]
+
+
+def found_anew(token):
+    """Every window counted anew; the allow list and the classes as plain patterns."""
+    if re.search(IDENTIFIER, token, re.I):
+        return False
+    fits = {name: bool(re.search(NEEDED[name], token)) for name in NEEDED}
+    for i in range(len(token) - 19):
+        part = token[i:i + 20]
+        bits = -sum(n / 20 * math.log2(n / 20) for n in Counter(part).values())
+        if any(fits[name] and set(part) <= set(chars) and bits >= least - 1e-9
+               for name, chars, least, _ in secret_scan.CLASSES) \
+                and not re.search(secret_scan.PLACEHOLDER.replace("(?i)", ""), part, re.I):
+            return True
+    return False
+
+
+def test_long_candidates_equal_windows_counted_anew(documents):
+    rng = random.Random(8)
+    plain = "abcdefghij/KLMNOP_QRSTUVWX-"
+    tokens = []
+    for n in (20, 255, 256, 257, 274, 275, 276, 300, 512, 531, 532, 800):
+        for _ in range(4):
+            low = "".join(rng.choice(rng.choice(["abc", "z", "xY", "9ab", "012"])) for _ in range(n))
+            at = rng.randint(0, n - 20)
+            secret = "".join(rng.choice("abcXYZ019+/_-QrStUvWlmnop") for _ in range(20))
+            tokens += [low, low[:at] + secret + low[at + 20:], low[:236] + secret + low[256:]]
+        tokens.append((plain * 40)[:n])
+    tokens = [t for t in tokens if not re.search("[0-9a-f]{24}|AKIA", t)]
+    assert len({found_anew(t) for t in tokens}) == 2 and len(tokens) > 100
+    found = secret_scan.find_secrets(documents([(i, f"x {t} y") for i, t in enumerate(tokens)])).collect()
+    for r in found:
+        spans = [(s.start, s.end) for s in r._out.spans]
+        assert spans == ([(2, 2 + len(tokens[r.doc_id]))] if found_anew(tokens[r.doc_id]) else []), tokens[r.doc_id]
+
+
+def test_a_candidate_of_a_million_characters(documents):
+    """No window of these reaches a limit, so every one is counted."""
+    n = 1_000_000
+    rows = [(0, "Ab1" * (n // 3)), (1, "Q7" * (n // 2)), (2, "a/b_" * (n // 4)), (3, "aB3/" * (n // 4) + "wJalrXUtnFEMI9K7MDENG2bPx")]
+    documents([(9, "Ab1" * 100)]).count()
+    start = time.perf_counter()
+    got = {r.doc_id: [(s.start, s.end) for s in r._out.spans]
+           for r in secret_scan.find_secrets(documents(rows).repartition(4)).collect()}
+    assert time.perf_counter() - start < 60
+    assert got == {0: [], 1: [], 2: [], 3: [(0, n + 25)]}
