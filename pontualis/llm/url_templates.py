@@ -4,10 +4,13 @@ Built-in column functions only.  Rules judge the URLs they fit; those verdicts
 are also the labels.  The paths of a host form a tree of segments.  Segments that
 look variable (numbers, hashes, dates) become wildcards at once, which reduces
 the URLs to few shapes before anything is shuffled.  Then the tree is walked from
-the host down: siblings whose share of blocked labels does not differ from what
-their parent pools over all of them are merged into one wildcard branch, and so
-are rare children of a node with very many.  A leaf template is rejected when its
-smoothed share of blocked labels reaches ``REJECT``.
+the host down, and siblings are merged where their labels say they are alike: a labelled
+child joins the branch ``*#`` when a two-proportion test does not tell its share of
+blocked labels from that of its labelled siblings, and both sides have ``LEAST`` labels.
+Children without any label join the branch ``*?`` of their own kind and never take a
+labelled sibling's verdict.  No path holds ``#`` or ``?``, so these names are no segments.
+A leaf template is rejected when its smoothed share of blocked labels reaches ``REJECT``;
+one with labels on less than ``COVERED`` of its pages has the share of all labels.
 """
 
 from __future__ import annotations
@@ -24,8 +27,12 @@ from pontualis.llm.tables import Workspace, join_unique
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"),
          ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 
-# Standard deviations within which a child's block rate equals the pooled one.
+# Standard errors within which the block rates of a child and of its siblings are the same,
+# and labels that both sides need to be compared at all.
 DEVIATIONS = 1.96
+LEAST = 3
+# Share of the pages of a template that must have labels for these to speak for the others.
+COVERED = 0.5
 # Pseudo-labels of a template, at the block rate of all labels.
 SMOOTHING = 4.0
 REJECT = 0.8
@@ -80,12 +87,17 @@ def template_tree(shapes: DataFrame, workspace: Workspace) -> DataFrame:
         nodes = children.groupBy("host", "prefix").agg(
             F.count(F.lit(1)).alias("children"), F.sum("rows").alias("all_rows"),
             F.sum("labelled").alias("all_labelled"), F.sum("blocked").alias("all_blocked"))
+        n, k = F.col("labelled"), F.col("blocked")
+        others, hit = F.col("all_labelled") - n, F.col("all_blocked") - k
         rate = (F.col("all_blocked") + 1) / (F.col("all_labelled") + 2)
-        spread = F.sqrt(F.col("labelled") * rate * (1 - rate))
-        similar = F.abs(F.col("blocked") - F.col("labelled") * rate) <= DEVIATIONS * spread
+        error = F.sqrt(rate * (1 - rate) * (1 / F.greatest(n, F.lit(1)) + 1 / F.greatest(others, F.lit(1))))
+        apart = F.abs(k / F.greatest(n, F.lit(1)) - hit / F.greatest(others, F.lit(1)))
+        similar = (n >= LEAST) & (others >= LEAST) & (apart <= DEVIATIONS * error)
+        branch = (F.when(n == 0, F.lit("*?")).when(similar, F.lit("*#"))
+                  .otherwise(F.col("segment")))
         merged = join_unique(children, nodes, ["host", "prefix"], "children", rows).select(
             "host", "prefix", "segment", "rows", (F.col("all_rows") == 1).alias("alone"),
-            F.when(similar, F.lit("*")).otherwise(F.col("segment")).alias("branch"))
+            branch.alias("branch"))
         deeper = join_unique(table.where("segment IS NOT NULL"), merged,
                              ["host", "prefix", "segment"], "rows", rows)
         ended = table.where("segment IS NULL").withColumns(
@@ -110,7 +122,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
     NULL URLs and those without ``://`` have an empty host and path, fit no rule and share
     the template of the empty host.  Repeated rows are all returned and all counted; other
     columns may have any name.  Without labels every template has the rate of none and
-    is allowed.
+    is allowed.  A host with labels on one branch only keeps that branch apart.
     """
     workspace = Workspace(pages.sparkSession, "url-templates")
     source = _keyed(pages.select(F.col(f"`{page_id}`").alias("id"),
@@ -125,7 +137,8 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
                        F.sum("blocked").alias("blocked")).first()
     prior = (total.blocked or 0) / max(total.labelled or 0, 1)
     tree = workspace.save(template_tree(shapes, workspace), "tree")
-    purity = (F.sum("blocked") + SMOOTHING * prior) / (F.sum("labelled") + SMOOTHING)
+    share = (F.sum("blocked") + SMOOTHING * prior) / (F.sum("labelled") + SMOOTHING)
+    purity = F.when(F.sum("labelled") >= COVERED * F.sum("pages"), share).otherwise(F.lit(float(prior)))
     leaves = tree.groupBy("host", "template").agg(
         F.count(F.lit(1)).alias("shapes"), F.round(purity, 6).alias("purity"))
     judged = join_unique(tree, leaves, ["host", "template"], "shapes", tree.count()).select(
