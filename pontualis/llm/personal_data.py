@@ -1,19 +1,22 @@
 """Personal data: weak labelers vote, expectation-maximisation weighs them, a classifier decides.
 
 Four fixed patterns give base spans, which always stay.  Further candidates are
-long digit groups, handles and runs of capitalised words.  Labelers (format,
-checksum, gazetteer, context, shape) vote for, against or not at all on every
-candidate, base spans included.  How often each pattern of votes and features
+long digit groups, handles and all runs of capitalised words, accented letters included.
+Labelers vote for, against or not at all on every candidate, base spans included: its
+format, a checksum, a gazetteer, an honorific before it, the words before it, its shape,
+whether it only begins a sentence, and whether its words also occur in lower case in the same text.
+None of them decides alone which candidates there are.  How often each pattern of votes and features
 occurs is counted over all documents; their number is bounded by the possible
 patterns.  Expectation-maximisation over the counts estimates how reliable each
-labeler is and how likely each pattern is personal data, and a logistic
+labeler is on each kind and how likely each pattern is personal data, and a logistic
 regression trained on those soft labels decides which candidates are added.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +29,12 @@ from pontualis.llm.words import byte_class, per_text, texts_of
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "number", "handle", "name")
-LABELERS = ("format", "checksum", "gazetteer", "context", "shape")
+LABELERS = ("format", "checksum", "gazetteer", "honorific", "context", "shape", "start", "frequency")
 # A candidate is added when the classifier gives it at least this probability.
 ACCEPT = 0.9
 ROUNDS = 60
+# Pseudo-counts of no vote, a vote for and one against, where a candidate is none and where it is one.
+PSEUDO = ((2.0, 0.5, 2.0), (2.0, 2.0, 0.5))
 CONTEXT = 40
 
 # The base patterns.  Possessive runs and the look-behind change no
@@ -41,7 +46,21 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NUMBER = re.compile(r"(?<![0-9A-Za-z])[0-9](?:[\x20.()/-]{0,2}[0-9]){6,}(?![0-9A-Za-z])")
 _HANDLE = re.compile(r"(?<![A-Za-z0-9._%+@-])@[A-Za-z0-9_]{3,30}(?![A-Za-z0-9_@])")
-_NAME = re.compile(r"(?<![^\s(])[A-Z][a-z]+(?:\x20[A-Z][a-z]+){1,2}")
+
+
+def _letters(test: Callable[[str], bool]) -> str:
+    """Letters of the alphabets below U+2000 that pass a test, for a character class."""
+    return "".join(c for c in map(chr, range(0x2000)) if c.isalpha() and test(c))
+
+
+# A combining mark belongs to the letter before it.
+_LOWER_LETTERS = _letters(str.islower) + "\u0300-\u036f"
+_UPPER_LETTERS = _letters(str.isupper)
+_CAPITALISED = f"[{_UPPER_LETTERS}][{_LOWER_LETTERS}]+(?:['’-][{_UPPER_LETTERS}]?[{_LOWER_LETTERS}]+)*"
+_RUN = re.compile(rf"(?<![\w@'’-]){_CAPITALISED}(?:\x20{_CAPITALISED})*(?![\w@])")
+_PLAIN_WORD = re.compile(f"(?<![\\w'’-])[{_LOWER_LETTERS}]+")
+# Words of a run from which on it looks like a heading.
+LONG_RUN = 5
 
 # Small gazetteers and context words; callers may pass their own.
 FIRST_NAMES = frozenset(
@@ -104,23 +123,51 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def more_candidates(text: str, taken: list[tuple[int, int, int]], names: frozenset[str]
-                    ) -> list[tuple[int, int, int]]:
+def _names(text: str, honorifics: frozenset[str] = HONORIFICS) -> Iterator[tuple[int, int]]:
+    """Runs of two or more capitalised words, or of one behind an honorific.
+
+    Honorifics and context words at the beginning of a run stand before the name.
+    """
+    for run in _RUN.finditer(text):
+        words, begin = run.group().split(" "), run.start()
+        titled = False
+        while words and (words[0] in honorifics or len(words) > 1 and CONTEXT_FOR.fullmatch(words[0])):
+            titled = titled or words[0] in honorifics
+            begin += len(words.pop(0)) + 1
+        if len(words) > 1 or words and (titled or _word_before(text, begin) in honorifics):
+            yield begin, run.end()
+
+
+def _word_before(text: str, start: int) -> str:
+    words = text[max(0, start - 14):start].replace(".", " ").split()
+    return words[-1] if words else ""
+
+
+def more_candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Candidates outside the base spans."""
-    out = []
-    for kind, pattern in ((4, _NUMBER), (5, _HANDLE), (6, _NAME)):
-        for m in pattern.finditer(text):
-            if kind == 6 and not (names & set(m.group().split())
-                                  or HONORIFICS & set(text[max(0, m.start() - 12):m.start()]
-                                                      .replace(".", " ").split()[-1:])):
-                continue
-            out.append((kind, *m.span()))
-    used = sorted((a, b) for _, a, b in taken)
-    return [c for c in out if not any(a < c[2] and c[1] < b for a, b in used)]
-
-
-def votes(text: str, kind: int, start: int, end: int, names: frozenset[str]) -> tuple[int, ...]:
-    """Votes of all labelers: 1 for, 2 against, 0 none."""
+    out = [(k, *m.span()) for k, pattern in ((4, _NUMBER), (5, _HANDLE)) for m in pattern.finditer(text)]
+    out += [(6, a, b) for a, b in _names(text)]
+    merged: list[list[int]] = []
+    for a, b in sorted((a, b) for _, a, b in taken):
+        if merged and a <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], b)
+        else:
+            merged.append([a, b])
+    ends = [b for _, b in merged]
+
+    def free(start: int, end: int) -> bool:
+        i = bisect_right(ends, start)
+        return i == len(merged) or merged[i][0] >= end
+
+    return [c for c in out if free(c[1], c[2])]
+
+
+_START = re.compile(r"(?:^|[.!?…\n][\s\"'»)(]*)$")
+
+
+def votes(text: str, kind: int, start: int, end: int, names: frozenset[str],
+          plain: frozenset[str] = frozenset()) -> tuple[int, ...]:
+    """Votes of all labelers: 1 for, 2 against, 0 none; ``plain`` are the lower-case words of the text."""
     span, name = text[start:end], KINDS[kind]
     digits = _digits(span)
     before = text[max(0, start - CONTEXT):start]
@@ -130,9 +177,14 @@ def votes(text: str, kind: int, start: int, end: int, names: frozenset[str]) ->
     check = 0
     if name in ("card", "number") and len(digits) >= 13:
         check = 1 if luhn(digits) else 2
-    gazetteer = 0
+    gazetteer = honorific = begin = common = 0
     if name == "name":
-        gazetteer = 1 if names & set(span.split()) else 2
+        words = span.split(" ")
+        gazetteer = int(not names.isdisjoint(words))
+        honorific = int(_word_before(text, start) in HONORIFICS)
+        # The stop behind an honorific ends no sentence.
+        begin = 2 if not honorific and _START.search(text[max(0, start - 8):start]) else 0
+        common = 2 if any(w.lower() in plain for w in words) else 0
     elif name in ("card", "number") and len(digits) >= 13:
         gazetteer = 1 if digits[0] in "3456" else 2
     elif name == "phone":
@@ -143,7 +195,9 @@ def votes(text: str, kind: int, start: int, end: int, names: frozenset[str]) ->
         flat = len(set(digits)) <= 2 or digits in "01234567890123456789"
         dated = re.match(r"(?:19|20)[0-9]{2}[-./][0-9]{1,2}[-./][0-9]{1,2}|[0-9]{1,2}[-./][0-9]{1,2}[-./](?:19|20)[0-9]{2}", span)
         shape = 2 if flat or dated else 1
-    return form, check, gazetteer, context, shape
+    elif name == "name":
+        shape = 2 if span.count(" ") + 1 >= LONG_RUN else 0
+    return form, check, gazetteer, honorific, context, shape, begin, common
 
 
 def _pattern(kind: int, vote: tuple[int, ...], length: int) -> int:
@@ -171,9 +225,10 @@ def _scan(column: pa.Array, names: frozenset[str]) -> dict[str, pa.Array]:
     for i in range(len(texts)):
         text = texts.text(i)
         base = base_spans(text) if hinted[i] else []
-        spans = base + more_candidates(text, base, names)
+        spans = base + more_candidates(text, base)
+        plain = frozenset(_PLAIN_WORD.findall(text)) if any(k == 6 for k, *_ in spans) else frozenset()
         rows.append([{"kind": k, "start": a, "end": b,
-                      "pattern": _pattern(k, votes(text, k, a, b, names), b - a)}
+                      "pattern": _pattern(k, votes(text, k, a, b, names, plain), b - a)}
                      for k, a, b in spans])
     kind = pa.struct([(n, pa.int32()) for n in ("kind", "start", "end", "pattern")])
     return {"spans": pa.array(rows, pa.list_(kind))}
@@ -183,7 +238,8 @@ def estimate(counts: dict[int, int]) -> dict[int, float]:
     """Probability that each counted pattern is personal data, by expectation-maximisation.
 
     Labelers are independent given the truth; each has a distribution over its three
-    votes per class, and each kind a prior.  One pseudo-count keeps them off 0 and 1.
+    votes per kind and class, and each kind a prior.  Pseudo-counts keep them off 0 and 1 and
+    say that a labeler is right rather than wrong; a candidate without votes starts below one half.
     """
     if not counts:
         return {}
@@ -192,7 +248,7 @@ def estimate(counts: dict[int, int]) -> dict[int, float]:
     kinds = np.array([_features(p)[0] for p in patterns])
     vote = np.array([_features(p)[1] for p in patterns])
     score = (vote == 1).sum(1) - (vote == 2).sum(1)
-    truth = 1 / (1 + np.exp(-score.astype(float)))
+    truth = 1 / (1 + np.exp(0.5 - score))
     for _ in range(ROUNDS):
         logs = np.zeros((len(patterns), 2))
         for side, share in enumerate((1 - truth, truth)):
@@ -200,8 +256,9 @@ def estimate(counts: dict[int, int]) -> dict[int, float]:
             prior = np.bincount(kinds, mass, len(KINDS)) + 1
             logs[:, side] += np.log(prior[kinds])
             for j in range(len(LABELERS)):
-                table = np.bincount(vote[:, j], mass, 3) + 1
-                logs[:, side] += np.log(table[vote[:, j]] / table.sum())
+                table = np.bincount(3 * kinds + vote[:, j], mass, 3 * len(KINDS)).reshape(-1, 3)
+                table += PSEUDO[side]
+                logs[:, side] += np.log(table[kinds, vote[:, j]] / table.sum(1)[kinds])
         truth = 1 / (1 + np.exp(np.clip(logs[:, 0] - logs[:, 1], -50, 50)))
     return dict(zip(patterns, truth.tolist()))
 
@@ -211,12 +268,14 @@ def train(counts: dict[int, int], soft: dict[int, float]) -> dict[int, float]:
     if not counts:
         return {}
     patterns = sorted(counts)
-    x = np.zeros((len(patterns), 1 + len(KINDS) + 3 * len(LABELERS) + 4))
+    block = 1 + 3 * len(LABELERS) + 4
+    x = np.zeros((len(patterns), 1 + len(KINDS) * block))
     for row, p in enumerate(patterns):
         kind, vote, length = _features(p)
-        x[row, [0, 1 + kind, 1 + len(KINDS) + 3 * len(LABELERS) + length]] = 1
+        own = 1 + kind * block
+        x[row, [0, own, own + 1 + 3 * len(LABELERS) + length]] = 1
         for j, v in enumerate(vote):
-            x[row, 1 + len(KINDS) + 3 * j + v] = 1
+            x[row, own + 1 + 3 * j + v] = 1
     y = np.array([soft[p] for p in patterns])
     n = np.array([counts[p] for p in patterns], float)
     n = n / n.sum() * len(patterns)

@@ -225,7 +225,7 @@ def test_weak_labels_find_reliable_labelers():
     for _ in range(4000):
         real = rng.random() < 0.4
         good = [(1 if real else 2) if rng.random() < 0.9 else (2 if real else 1) for _ in range(4)]
-        pattern = personal_data._pattern(4, (*good, rng.choice((1, 2))), 10)
+        pattern = personal_data._pattern(4, (*good, rng.choice((1, 2)), 0, 0, 0), 10)
         counts[pattern] += 1
         truth.setdefault(pattern, Counter())[real] += 1
     soft = personal_data.estimate(counts)
