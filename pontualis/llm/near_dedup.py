@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pontualis.llm.batches import fit_batches, grouped, map_texts
+from pontualis.llm.batches import fit_batches, grouped, map_texts, whole_rows
 from pontualis.llm.components import components
 from pontualis.llm.tables import BROADCAST_IDS, Workspace, broadcast_up_to, join_unique
 from pontualis.llm.words import (LOWER, NOT_SPACE, mix, shingle_sets, slices, stream, texts_of,
@@ -246,7 +246,7 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """
     stars = (pairs.groupBy("a").count()
              .withColumn("salts", F.ceil(F.col("count") / STAR).cast("int")))
-    members = (pairs.join(stars, "a").select(
+    members = (join_unique(pairs, stars, ["a"], "count", pairs.count()).select(
         F.col("b").alias("id"), F.col("a").alias("lead"),
         F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("kind")))
     leaders = stars.select(F.col("a").alias("id"), F.col("a").alias("lead"), F.explode(
@@ -293,7 +293,7 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
         F.min("rep").alias("lead"), F.count(F.lit(1)).alias("members")).where("members > 1"),
         "buckets")
     rows = reps.count()
-    members = join_unique(bands, buckets, ["key"], "members", rows)
+    members = join_unique(bands, buckets, ["key"], "members", rows * BANDS)
 
     texts = source.where("id IS NOT NULL")
     if not several.isEmpty():
@@ -302,8 +302,9 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
         F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
     x = reps.select(F.col("rep").alias("a"), "n", F.col("registers").alias("x"))
     y = reps.select(F.col("rep").alias("b"), F.col("n").alias("m"), F.col("registers").alias("y"))
-    stars = workspace.save(pairs.join(x, "a").join(y, "b")
-                           .mapInArrow(_estimated, "a bigint, b bigint"), "stars")
+    x = x.join(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("members")), "a")
+    stars = workspace.save(join_unique(pairs, x, ["a"], "members", pairs.count()).join(y, "b")
+                           .select("a", "b", "n", "x", "m", "y").mapInArrow(_estimated, "a bigint, b bigint"), "stars")
     links = workspace.save(verify(stars, texts).distinct(), "star-links")
     labels = components(workspace, links, "star-labels")
 
@@ -324,7 +325,8 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """The documents that ``link`` keeps, one row per id; rows without an id stay.
 
     Ids to drop are broadcast up to ``BROADCAST_IDS`` of them, and joined by a shuffle
-    beyond.  Of rows that share a kept id one stays.
+    beyond.  Of rows that share a kept id the one stays whose text counted for its links, of equal
+    ones that with the smallest text and hash of the row.
     """
     workspace = Workspace(docs.sparkSession, "near-dedup")
     linked = workspace.save(link(docs, doc_id, text).select(doc_id, "kept"), "linked")
@@ -334,8 +336,13 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
                               .groupBy(doc_id).count().where("count > 1").select(doc_id), "repeated")
     if repeated.isEmpty():
         return kept
-    once = kept.join(repeated, doc_id, "left_semi").dropDuplicates([doc_id])
-    return kept.join(repeated, doc_id, "left_anti").unionByName(once).select(*docs.columns)
+    again = kept.join(repeated, doc_id, "left_semi").select(*docs.columns)
+    judged = map_texts(whole_rows(again, text), "text", ("row", "text"), SKETCH, sketch)
+    first = F.struct(F.col("_out.n") == 0, "_out.d1", "_out.d2", "_out.n", "text",
+                     F.xxhash64(F.to_json("row")))
+    once = (judged.groupBy(F.col("row").getField(doc_id)).agg(F.min_by("row", first).alias("row"))
+            .select("row.*"))
+    return kept.join(repeated, doc_id, "left_anti").select(*docs.columns).unionByName(once)
 
 
 def _own_texts(texts: DataFrame, several: DataFrame, digest: list[str]) -> DataFrame:
@@ -359,9 +366,9 @@ def _crossing(pairs: DataFrame, reps: DataFrame, labels: DataFrame) -> DataFrame
                      F.coalesce("label", "b").alias("component")))
     mixed = (group.groupBy("lead").agg(
         F.min("component").alias("least"), F.max("component").alias("most"),
-        F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
-        .where("least <> most").select("lead", "blocks"))
-    return (group.join(mixed, "lead")
+        F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"), F.count(F.lit(1)).alias("members"))
+        .where("least <> most").select("lead", "blocks", "members"))
+    return (join_unique(group, mixed, ["lead"], "members", pairs.count())
             .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumn("low", F.least("block", "other"))

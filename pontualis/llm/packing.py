@@ -7,8 +7,12 @@ goes on to the next successor until a bin shares neither the source nor the clus
 of the item.  Without one, a new bin is opened.
 
 Documents are dealt by hash into packing groups of about ``GROUP`` items, each
-packed on its own.  A group is bounded, whatever share of the rows one source, cluster
-or id holds.  A document longer than a bin is cut into pieces; each is an item.
+packed on its own.  Rows that repeat an id, piece and cluster are numbered inside the partition
+they are read in, and the number is part of the hash, so not even copies of one row meet in a group.
+A group is bounded, whatever share of the rows one source, cluster
+or id holds; one that chance makes larger than ``2 * GROUP`` is packed in parts.  A search
+looks at the open bins by residual and pair of bitmaps, at worst at all the bins of its group.
+A document longer than a bin is cut into pieces; each is an item.
 """
 
 from __future__ import annotations
@@ -19,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 
 from pontualis.llm.batches import fit_batches, grouped, map_texts
 from pontualis.llm.tables import Workspace
@@ -96,6 +101,17 @@ def pack_items(lengths: list[int], sources: list, clusters: list, capacity: int
     return [bins.place(length, source, cluster) for length, source, cluster in marks]
 
 
+def _numbered(batches):
+    """Rows with the number of equal (id, piece, cluster) before them in the partition."""
+    seen: dict[tuple, int] = {}
+    for batch in batches:
+        numbers = []
+        for key in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "piece", "cluster")]):
+            numbers.append(seen.get(key, 0))
+            seen[key] = numbers[-1] + 1
+        yield batch.append_column("copy", pa.array(numbers, pa.int64()))
+
+
 def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Pack ``items`` (doc_id, source, cluster, n_words) into bins.
 
@@ -109,12 +125,13 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     cut = (items.withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
            .withColumn("first_word", F.col("piece").cast("bigint") * capacity)
            .withColumn("n_words", F.least(F.lit(capacity), F.col("n_words") - F.col("first_word"))))
+    cut = cut.select("doc_id", "piece", "first_word", F.col("n_words").cast("bigint").alias("n_words"),
+                     "source", "cluster")
     cut = Workspace(spark, "packing").save(
-        cut.select("doc_id", "piece", "first_word", F.col("n_words").cast("bigint").alias("n_words"),
-                   "source", "cluster"), "pieces")
+        cut.mapInArrow(_numbered, StructType([*cut.schema]).add("copy", LongType())), "pieces")
     groups = max(1, -(-cut.count() // GROUP))
     dealt = cut.withColumn("dealt", F.pmod(
-        F.xxhash64("doc_id", "piece", "cluster"), F.lit(groups)).cast("bigint"))
+        F.xxhash64("doc_id", "piece", "cluster", "copy"), F.lit(groups)).cast("bigint"))
 
     def run(batches):
         last, chunk = None, 0

@@ -56,7 +56,7 @@ def _letters(test: Callable[[str], bool]) -> str:
 # A combining mark belongs to the letter before it.
 _LOWER_LETTERS = _letters(str.islower) + "\u0300-\u036f"
 _UPPER_LETTERS = _letters(str.isupper)
-_CAPITALISED = f"[{_UPPER_LETTERS}][{_LOWER_LETTERS}]+(?:['’-][{_UPPER_LETTERS}]?[{_LOWER_LETTERS}]+)*"
+_CAPITALISED = f"[{_UPPER_LETTERS}](?:['’][{_UPPER_LETTERS}])?[{_LOWER_LETTERS}]+(?:['’-][{_UPPER_LETTERS}]?[{_LOWER_LETTERS}]+)*"
 _RUN = re.compile(rf"(?<![\w@'’-]){_CAPITALISED}(?:\x20{_CAPITALISED})*(?![\w@])")
 _PLAIN_WORD = re.compile(f"(?<![\\w'’-])[{_LOWER_LETTERS}]+")
 # Words of a run from which on it looks like a heading.
