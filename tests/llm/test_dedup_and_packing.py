@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from corpus_helpers import SMALL, documents  # noqa: F401
 
@@ -13,6 +14,7 @@ from pontualis.llm import near_dedup, packing, substring_dedup
 from pontualis.llm.components import components
 from pontualis.llm.queries import ORACLE_SQL, QUERIES
 from pontualis.llm.tables import Workspace, join_unique
+from pontualis.llm.words import LOWER, NOT_SPACE, mix, texts_of, words_of
 
 
 def shingles(text):
@@ -20,6 +22,9 @@ def shingles(text):
     return {tuple(words[i:i + 5]) for i in range(len(words) - 4)} or ({tuple(words)} if words else set())
 
 
+substring_dedup_lower = {c: c + 32 for c in range(65, 91)}
+
+
 def classes(rows):
     sets = {i: shingles(t) for i, t in rows}
     ids, parent = sorted(sets), {i: i for i in sets}
@@ -130,25 +135,46 @@ def test_hot_keys_join_like_others(spark, monkeypatch):
     assert join_unique(left, right, ["k"], "n", 3000, "left").count() == 3000
 
 
+def chosen_windows(text, stops, least, reach=substring_dedup.REACH):
+    """Of ``reach`` windows in a row inside one sentence the one with the smallest hash."""
+    words = words_of(texts_of(pa.array([text])), NOT_SPACE, LOWER)
+    values, out = words.hash.tolist(), set()
+    base, whole = substring_dedup._BASES[0], {}
+    for j in range(len(values) - least + 1):
+        if not any(stops[j:j + least - 1]):
+            total = sum(v * pow(base, k, 1 << 64) for k, v in enumerate(values[j:j + least]))
+            whole[j] = int(mix(np.array([total % (1 << 64)], np.uint64))[0])
+    for j in whole:
+        run = range(j, j + reach)
+        if all(k in whole for k in run):
+            low = min(whole[k] for k in run)
+            out |= {(k, k + least) for k in run if whole[k] == low}
+    return out
+
+
 def brute_units(rows, least=substring_dedup.MIN_WORDS):
     first, out = {}, defaultdict(list)
     for d, text in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
         text = text or ""
-        w = [(*m.span(), m.group().lower()) for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
-        ends, lines = [], []
-        for i, (_, b, x) in enumerate(w):
-            line = i == len(w) - 1 or "\n" in text[b:w[i + 1][0]]
-            lines += [i + 1] * line
-            ends += [i + 1] * (line or x[-1] in ".!?")
-        begins = [0, *ends[:-1]] if w else []
-        units = {(s, next(e for e in ends if e >= s + least)) for s in begins if ends[-1] >= s + least}
+        w = [(*m.span(), m.group().translate(substring_dedup_lower))
+             for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+        if not w:
+            continue
+        gaps = [text[b:w[i + 1][0]].count("\n") if i + 1 < len(w) else 2 for i, (_, b, _) in enumerate(w)]
+        stops = [g > 0 or x[2][-1] in ".!?" for g, x in zip(gaps, w)]
+        ends, lines, paragraphs = ([i + 1 for i, m in enumerate(marks) if m] for marks in (
+            stops, [g > 0 for g in gaps], [g > 1 for g in gaps]))
+        begins = [0, *ends[:-1]]
+        units = {*zip([0, *lines[:-1]], lines), *zip([0, *paragraphs[:-1]], paragraphs)}
+        units |= {(s, next(e for e in ends if e >= s + least)) for s in begins if ends[-1] >= s + least}
         units |= {(max(s for s in begins if e - s >= least), e) for e in lines if e >= least}
+        units |= {(e - least, e) for e in ends if e >= least}
+        units |= chosen_windows(text, stops, least)
         for s, e in sorted(units):
             key = tuple(x[2] for x in w[s:e])
-            if key in first:
-                out[d, first[key]].append((w[s][0], w[e - 1][1]))
-            else:
-                first[key] = d
+            known = first.setdefault(key, (d, e))
+            if known[0] != d or s >= known[1]:
+                out[d, known[0]].append((w[s][0], w[e - 1][1]))
     spans = set()
     for (d, f), found in out.items():
         found = sorted(set(found))

@@ -13,10 +13,10 @@ from pontualis.llm.tables import Workspace
 
 def test_copies_of_one_id_are_dealt_over_all_groups(spark, monkeypatch):
     monkeypatch.setattr(packing, "GROUP", 512)
-    rows = [(7, "s", 1, 300)] * 5000 + [(i, f"s{i}", i, 100 + i % 900) for i in range(10000)]
+    rows = [(-7, "s", 1, 300)] * 5000 + [(i, f"s{i}", i, 100 + i % 900) for i in range(10000)]
     items = spark.createDataFrame(rows, "doc_id bigint, source string, cluster bigint, n_words bigint").repartition(16)
     got = packing.pack(items).collect()
-    assert len(got) == len(rows) and Counter(r.doc_id for r in got)[7] == 5000
+    assert len(got) == len(rows) and Counter(r.doc_id for r in got)[-7] == 5000
     sizes = Counter(r.bin_id >> 36 for r in got)
     assert len(sizes) > 20 and max(sizes.values()) <= 1.4 * np.median(list(sizes.values()))
     assert {r.bin_id >> 20 & 0xFFFF for r in got} == {0}  # no group was packed in parts
@@ -24,7 +24,7 @@ def test_copies_of_one_id_are_dealt_over_all_groups(spark, monkeypatch):
     for r in got:
         bins.setdefault(r.bin_id, []).append(r)
     assert all(sum(r.n_words for r in b) <= packing.CAPACITY for b in bins.values())
-    assert all(sum(r.doc_id == 7 for r in b) <= 1 for b in bins.values())
+    assert all(sum(r.doc_id == -7 for r in b) <= 1 for b in bins.values())
 
 
 def test_groups_do_not_depend_on_the_order_of_distinct_rows(spark):
