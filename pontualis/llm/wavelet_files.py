@@ -37,8 +37,12 @@ END_ID = 2
 # A shard ends with the document that brings it to this many ids.
 SHARD_IDS = 1 << 18
 RANK_BITS = 512
-# Pieces of text whose ids a worker remembers at least, about 200 bytes each.
+# Pieces of text whose ids a worker remembers at least, and at most twice as many and those of
+# one slice: with about 200 bytes a piece some 250 MB.  Pieces at the beginning of a text have a
+# second such table, which only a corpus of very short texts fills.
 REMEMBERED = 600_000
+# Pieces that are encoded as one text.
+LINES = 2048
 # Shards in one file, which bounds what a vectorised reader holds at once.
 FILE_SHARDS = 64
 
@@ -52,14 +56,11 @@ _ODD = ["  ", " \n", "\n ", "\n\n", *(chr(c) for c in range(0x3001)
                                      if chr(c).isspace() and chr(c) not in " \n")]
 _PLAIN = ("", " ", "\n")
 _STOPS = frozenset(".,;:!?")
-# Byte-level vocabularies spell bytes that do not print as the characters from 256 on.
-_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
-_BYTE_CHARACTERS = {b: chr(256 + i) for i, b in enumerate(
-    b for b in range(256) if b not in _PRINTED)}
+_SPACES = re.compile(r"\s")
 
 
 class _Known(dict):
-    """Encoded pieces by text, and the pieces asked for in vain.
+    """Encoded pieces by text.
 
     When it is full the older half is set aside, and what is asked for again comes back.
     """
@@ -67,15 +68,12 @@ class _Known(dict):
     def __init__(self) -> None:
         super().__init__()
         self.older: dict[str, bytes] = {}
-        self.missing: list[str] = []
 
-    def __missing__(self, piece: str) -> bytes | None:
-        found = self.older.get(piece)
-        if found is None:
-            self.missing.append(piece)
-        else:
-            self[piece] = found
-        return found
+    def revive(self, pieces: dict[str, None]) -> list[str]:
+        """Bring pieces back from the older half; returns those that are not there either."""
+        found = list(map(self.older.get, pieces))
+        self.update((p, c) for p, c in zip(pieces, found) if c is not None)
+        return [p for p, c in zip(pieces, found) if c is None]
 
     def age(self) -> None:
         if len(self) > REMEMBERED:
@@ -97,33 +95,67 @@ class Encoder:
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+        newline = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.newline = newline[0] if len(newline) == 1 else None
         self.heads, self.tails = _Known(), _Known()
         self.size = np.dtype(np.uint32 if self.tokenizer.get_vocab_size() > 65536 else np.uint16)
 
-    def _learn(self, known: _Known, before: str) -> None:
-        """Encode the missing pieces, which ``before`` precedes in the text."""
-        wanted = dict.fromkeys(known.missing)
-        known.missing = []
+    def _coded(self, known: _Known, pieces: list[str], before: str) -> list[bytes]:
+        """Ids of pieces that ``before`` precedes in the text."""
+        coded = list(map(known.get, pieces))
+        if None in coded:
+            missing = known.revive(dict.fromkeys(p for p, c in zip(pieces, coded) if c is None))
+            self._learn(known, missing, before)
+            coded = [known[p] if c is None else c for p, c in zip(pieces, coded)]
+        return coded
+
+    def _learn(self, known: _Known, pieces: list[str], before: str) -> None:
+        """Encode pieces; a word, or one behind a single newline, is a line in a text of many."""
+        if self.newline is None:
+            known.update(zip(pieces, self._each([p if p[:1] == "\n" else before + p for p in pieces])))
+            return
+        split = [p for p in pieces if _SPACES.search(p) or not p]
+        odd = set(split)
         stem = {p: p[:-1] if len(p) > 1 and p[-1] in _STOPS and p[-2].isalpha() else p
-                for p in wanted}
-        new = [w for w in dict.fromkeys(stem.values()) if known[w] is None]
-        known.missing = []
-        plain = [w for w in new if w.isalpha()]
-        known.update(zip(plain, (self._word(before + w) for w in plain)))
-        new = [w for w in new if not w.isalpha()]
-        stops = list({p[-1] for p in wanted if stem[p] != p})
-        coded = self.tokenizer.encode_batch_fast(
-            [w if w[:1] == "\n" else before + w for w in new] + stops, add_special_tokens=False)
-        made = [np.array(c.ids, self.size).tobytes() for c in coded]
-        known.update(zip(new, made))
-        stop = dict(zip(stops, made[len(new):]))
-        known.update({p: known[w] + stop[p[-1]] for p, w in stem.items() if w != p})
-
-    def _word(self, word: str) -> bytes:
-        """Ids of letters with or without a space before, which are one pre-token."""
-        spelled = word.encode().decode("latin-1").translate(_BYTE_CHARACTERS)
-        return np.array([t.id for t in self.model.tokenize(spelled)], self.size).tobytes()
+                for p in pieces if p not in odd}
+        new = known.revive(dict.fromkeys(w for w in stem.values() if w not in known))
+        known.update(zip(new, self._lines([before + w for w in new])))
+        begins = [p for p in split if p[:1] == "\n" and len(p) > 1 and not _SPACES.search(p, 1)]
+        odd.difference_update(begins)
+        feed = np.array([self.newline], self.size).tobytes()
+        known.update(zip(begins, [feed + c for c in self._lines([p[1:] for p in begins])]))
+        odd = list(odd)
+        stops = list({p[-1] for p, w in stem.items() if w != p})
+        made = self._each([p if p[:1] == "\n" else before + p for p in odd] + stops)
+        known.update(zip(odd, made))
+        stop = dict(zip(stops, made[len(odd):]))
+        known.update((p, known[w] + stop[p[-1]]) for p, w in stem.items() if w != p)
+
+    def _each(self, pieces: list[str]) -> list[bytes]:
+        coded = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+        return [np.array(c.ids, self.size).tobytes() for c in coded]
+
+    def _lines(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces without white space inside or behind, encoded as the lines of long texts.
+
+        A newline between them is one pre-token; where its id does not part the lines as
+        expected, the pieces are encoded one by one.
+        """
+        if self.newline is None:
+            return self._each(pieces)
+        chunks = [pieces[i:i + LINES] for i in range(0, len(pieces), LINES)]
+        coded = self.tokenizer.encode_batch_fast(["\n".join(c) for c in chunks], add_special_tokens=False)
+        out: list[bytes] = []
+        for chunk, encoded in zip(chunks, coded):
+            ids = np.array(encoded.ids, self.size)
+            cuts = np.flatnonzero(ids == self.newline)
+            if len(cuts) != len(chunk) - 1 or "" in chunk:
+                out += self._each(chunk)
+                continue
+            raw, width = ids.tobytes(), self.size.itemsize
+            begins = [0, *((cuts + 1) * width).tolist()]
+            out += [raw[a:b] for a, b in zip(begins, [*(cuts * width).tolist(), len(raw)])]
+        return out
 
     @staticmethod
     def _parts(text: str) -> list[str]:
@@ -145,23 +177,23 @@ class Encoder:
         return out
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        head, tail = self.heads.__getitem__, self.tails.__getitem__
         gc.disable()  # nothing here is cyclic, and millions of short lists would be scanned
+        try:
+            return self._ids(texts)
+        finally:
+            gc.enable()
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
         rows = [self._parts(text) for text in texts]
-        coded = [[head(row[0]), *map(tail, row[1:])] for row in rows]
-        if self.heads.missing:
-            self._learn(self.heads, "")
-        if self.tails.missing:
-            self._learn(self.tails, " ")
-        out = []
-        for row, own in zip(rows, coded):
-            if None in own:
-                own = [tail(p) if c is None else c for p, c in zip(row, own)]
-                own[0] = head(row[0])
-            out.append(np.frombuffer(b"".join(own), self.size))
+        heads = self._coded(self.heads, [row[0] for row in rows], "")
+        tails = self._coded(self.tails, [p for row in rows for p in row[1:]], " ")
+        out, at = [], 0
+        for row, first in zip(rows, heads):
+            end = at + len(row) - 1
+            out.append(np.frombuffer(first + b"".join(tails[at:end]), self.size))
+            at = end
         self.heads.age()
         self.tails.age()
-        gc.enable()
         return out
 
 
