@@ -18,6 +18,7 @@ import gc
 import os
 import re
 import zlib
+from array import array
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -57,6 +58,11 @@ _ODD = ["  ", " \n", "\n ", "\n\n", *(chr(c) for c in range(0x3001)
 _PLAIN = ("", " ", "\n")
 _STOPS = frozenset(".,;:!?")
 _SPACES = re.compile(r"\s")
+# Byte-level vocabularies spell bytes that do not print as the characters from 256 on.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_CHARACTERS = {b: chr(256 + i) for i, b in enumerate(
+    b for b in range(256) if b not in _PRINTED)}
+_SPACE = _BYTE_CHARACTERS[0x20]
 
 
 class _Known(dict):
@@ -95,6 +101,7 @@ class Encoder:
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         newline = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.newline = newline[0] if len(newline) == 1 else None
         self.heads, self.tails = _Known(), _Known()
@@ -110,7 +117,7 @@ class Encoder:
         return coded
 
     def _learn(self, known: _Known, pieces: list[str], before: str) -> None:
-        """Encode pieces; a word, or one behind a single newline, is a line in a text of many."""
+        """Encode pieces: letters alone by the model, other words as lines of a text of many."""
         if self.newline is None:
             known.update(zip(pieces, self._each([p if p[:1] == "\n" else before + p for p in pieces])))
             return
@@ -119,6 +126,9 @@ class Encoder:
         stem = {p: p[:-1] if len(p) > 1 and p[-1] in _STOPS and p[-2].isalpha() else p
                 for p in pieces if p not in odd}
         new = known.revive(dict.fromkeys(w for w in stem.values() if w not in known))
+        letters = [w for w in new if w.isalpha()]
+        known.update(zip(letters, self._words([before + w for w in letters])))
+        new = [w for w in new if not w.isalpha()]
         known.update(zip(new, self._lines([before + w for w in new])))
         begins = [p for p in split if p[:1] == "\n" and len(p) > 1 and not _SPACES.search(p, 1)]
         odd.difference_update(begins)
@@ -131,6 +141,13 @@ class Encoder:
         stop = dict(zip(stops, made[len(odd):]))
         known.update((p, known[w] + stop[p[-1]]) for p, w in stem.items() if w != p)
 
+    def _words(self, pieces: list[str]) -> list[bytes]:
+        """Ids of letters with or without a space before, which are one pre-token each."""
+        tokenize, code = self.model.tokenize, "H" if self.size.itemsize == 2 else "I"
+        spelled = [p.replace(" ", _SPACE) if p.isascii() else
+                   p.encode().decode("latin-1").translate(_BYTE_CHARACTERS) for p in pieces]
+        return [array(code, [t.id for t in tokenize(p)]).tobytes() for p in spelled]
+
     def _each(self, pieces: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [np.array(c.ids, self.size).tobytes() for c in coded]
