@@ -14,7 +14,6 @@ reaches can hold them.
 
 from __future__ import annotations
 
-import gc
 import os
 import re
 import zlib
@@ -31,17 +30,17 @@ from tokenizers import Tokenizer
 
 from pontualis.llm.batches import fit_batches
 from pontualis.llm.tables import Workspace
-from pontualis.llm.words import slices
+from pontualis.llm.words import (Texts, byte_class, mix, per_text, slices, stream, texts_of,
+                                 words_of)
 from pontualis.operators.numbering import running_total_before
 
 END_ID = 2
 # A shard ends with the document that brings it to this many ids.
 SHARD_IDS = 1 << 18
 RANK_BITS = 512
-# Pieces of text whose ids a worker remembers at least, and at most twice as many and those of
-# one slice: with about 200 bytes a piece some 250 MB.  Pieces at the beginning of a text have a
-# second such table, which only a corpus of very short texts fills.
-REMEMBERED = 600_000
+# Words whose ids a worker remembers at most, with those of one slice: with 16 bytes for the place and
+# two or four for each id some 30 bytes a word, twice while words are added.
+REMEMBERED = 1_500_000
 # Pieces that are encoded as one text.
 LINES = 2048
 # Shards in one file, which bounds what a vectorised reader holds at once.
@@ -50,52 +49,50 @@ FILE_SHARDS = 64
 SHARD = ("part int, seq int, n_ids bigint, n_bits int, doc_ids array<bigint>, "
          "doc_sizes array<bigint>, planes array<binary>, zeros array<bigint>, ranks array<binary>")
 
-# A space or newline next to other white space, or at an end: not a plain border.
-_UNSAFE = re.compile(r"\s[ \n]|[ \n]\s|^[ \n]|[ \n]$")
-# Pairs and characters without which a text has only plain borders inside.
-_ODD = ["  ", " \n", "\n ", "\n\n", *(chr(c) for c in range(0x3001)
-                                     if chr(c).isspace() and chr(c) not in " \n")]
-_PLAIN = ("", " ", "\n")
-_STOPS = frozenset(".,;:!?")
-_SPACES = re.compile(r"\s")
+# Where a lone space or newline stands between two other characters.
+_BORDER = re.compile(r"(?<=\S)(?=[ \n]\S)")
+_STOPS = ".,;:!?"
+_KINDS = stream(9, 3)
+_SEPARATOR = byte_class((0x20, 0x20), (0x0A, 0x0A))
+# Bytes of other white space below 0x80, and first bytes of such characters beyond.
+_CONTROL = byte_class((0x09, 0x09), (0x0B, 0x0D), (0x1C, 0x1F))
+_LEADING = byte_class((0xC2, 0xC2), (0xE1, 0xE3))
+_WIDE = np.array([int.from_bytes(chr(c).encode().ljust(3, b"\0")) for c in range(0x80, 0x3001) if chr(c).isspace()])
 # Byte-level vocabularies spell bytes that do not print as the characters from 256 on.
 _PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTE_CHARACTERS = {b: chr(256 + i) for i, b in enumerate(
     b for b in range(256) if b not in _PRINTED)}
 _SPACE = _BYTE_CHARACTERS[0x20]
-
-
-class _Known(dict):
-    """Encoded pieces by text.
-
-    When it is full the older half is set aside, and what is asked for again comes back.
-    """
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.older: dict[str, bytes] = {}
-
-    def revive(self, pieces: dict[str, None]) -> list[str]:
-        """Bring pieces back from the older half; returns those that are not there either."""
-        found = list(map(self.older.get, pieces))
-        self.update((p, c) for p, c in zip(pieces, found) if c is not None)
-        return [p for p, c in zip(pieces, found) if c is None]
-
-    def age(self) -> None:
-        if len(self) > REMEMBERED:
-            self.older = dict(self)
-            self.clear()
+# A word is the first of its text, or has a space or a newline before it.
+HEAD, TAIL, LINE = range(3)
+
+
+def plain_texts(texts: Texts) -> np.ndarray:
+    """True for texts in which white space is lone spaces and newlines between other characters."""
+    data, bounds = texts.data, texts.bounds
+    separator = _SEPARATOR[data]
+    bad = _CONTROL[data]
+    bad[1:] |= separator[1:] & separator[:-1]
+    some = np.flatnonzero(np.diff(bounds))
+    for edge in (bounds[some], bounds[some + 1] - 1):
+        bad[edge] |= separator[edge]
+    at = np.flatnonzero(_LEADING[data])
+    behind = np.concatenate((data, np.zeros(2, np.uint8))).astype(np.int64)
+    third = np.where(data[at] == 0xC2, 0, behind[at + 2])
+    bad[at] |= np.isin(behind[at] << 16 | behind[at + 1] << 8 | third, _WIDE)
+    return (per_text(bad, bounds) == 0) & (np.diff(bounds) > 0)
 
 
 class Encoder:
-    """Ids of texts with a byte-level tokenizer, one piece of text at a time.
+    """Ids of texts with a byte-level tokenizer, one word at a time.
 
     The pre-tokens of the tokenizer end before a lone space or newline between two
-    characters that are no white space, and a lone newline is a pre-token itself.  A
-    text is therefore the sequence of its words, with the space before each, and
-    ids of words seen before are taken from memory.  A stop after a letter at the
-    end of a word is a pre-token too, so a word and the same word with a stop share
-    their memory.  Texts with other white space are cut only at the plain borders.
+    characters that are no white space, and a lone newline is a pre-token itself.  A plain
+    text is therefore the sequence of its words, with the space before each.  Words are found
+    and hashed for a whole slice at once; the distinct ones are looked up in a
+    sorted table of hashes, and the ids of all are gathered from one flat array.  Words are told
+    apart by 64 bits: among a million a collision has a probability of about 3e-8.
+    Other texts are cut at the plain borders and their pieces encoded each time.
     """
 
     def __init__(self, path: str) -> None:
@@ -104,49 +101,20 @@ class Encoder:
         self.model = self.tokenizer.model
         newline = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.newline = newline[0] if len(newline) == 1 else None
-        self.heads, self.tails = _Known(), _Known()
         self.size = np.dtype(np.uint32 if self.tokenizer.get_vocab_size() > 65536 else np.uint16)
+        self._forget()
 
-    def _coded(self, known: _Known, pieces: list[str], before: str) -> list[bytes]:
-        """Ids of pieces that ``before`` precedes in the text."""
-        coded = list(map(known.get, pieces))
-        if None in coded:
-            missing = known.revive(dict.fromkeys(p for p, c in zip(pieces, coded) if c is None))
-            self._learn(known, missing, before)
-            coded = [known[p] if c is None else c for p, c in zip(pieces, coded)]
-        return coded
-
-    def _learn(self, known: _Known, pieces: list[str], before: str) -> None:
-        """Encode pieces: letters alone by the model, other words as lines of a text of many."""
-        if self.newline is None:
-            known.update(zip(pieces, self._each([p if p[:1] == "\n" else before + p for p in pieces])))
-            return
-        split = [p for p in pieces if _SPACES.search(p) or not p]
-        odd = set(split)
-        stem = {p: p[:-1] if len(p) > 1 and p[-1] in _STOPS and p[-2].isalpha() else p
-                for p in pieces if p not in odd}
-        new = known.revive(dict.fromkeys(w for w in stem.values() if w not in known))
-        letters = [w for w in new if w.isalpha()]
-        known.update(zip(letters, self._words([before + w for w in letters])))
-        new = [w for w in new if not w.isalpha()]
-        known.update(zip(new, self._lines([before + w for w in new])))
-        begins = [p for p in split if p[:1] == "\n" and len(p) > 1 and not _SPACES.search(p, 1)]
-        odd.difference_update(begins)
-        feed = np.array([self.newline], self.size).tobytes()
-        known.update(zip(begins, [feed + c for c in self._lines([p[1:] for p in begins])]))
-        odd = list(odd)
-        stops = list({p[-1] for p, w in stem.items() if w != p})
-        made = self._each([p if p[:1] == "\n" else before + p for p in odd] + stops)
-        known.update(zip(odd, made))
-        stop = dict(zip(stops, made[len(odd):]))
-        known.update((p, known[w] + stop[p[-1]]) for p, w in stem.items() if w != p)
-
-    def _words(self, pieces: list[str]) -> list[bytes]:
+    def _forget(self) -> None:
+        self.keys, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.flat, self.bounds = np.zeros(0, self.size), np.zeros(1, np.int64)
+
+    def _words(self, words: list[str], before: str) -> list[bytes]:
         """Ids of letters with or without a space before, which are one pre-token each."""
         tokenize, code = self.model.tokenize, "H" if self.size.itemsize == 2 else "I"
-        spelled = [p.replace(" ", _SPACE) if p.isascii() else
-                   p.encode().decode("latin-1").translate(_BYTE_CHARACTERS) for p in pieces]
-        return [array(code, [t.id for t in tokenize(p)]).tobytes() for p in spelled]
+        start = _SPACE if before else ""
+        spelled = [start + w if w.isascii() else
+                   start + w.encode().decode("latin-1").translate(_BYTE_CHARACTERS) for w in words]
+        return [array(code, [t.id for t in tokenize(w)]).tobytes() for w in spelled]
 
     def _each(self, pieces: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
@@ -166,7 +134,7 @@ class Encoder:
         for chunk, encoded in zip(chunks, coded):
             ids = np.array(encoded.ids, self.size)
             cuts = np.flatnonzero(ids == self.newline)
-            if len(cuts) != len(chunk) - 1 or "" in chunk:
+            if len(cuts) != len(chunk) - 1:
                 out += self._each(chunk)
                 continue
             raw, width = ids.tobytes(), self.size.itemsize
@@ -174,43 +142,79 @@ class Encoder:
             out += [raw[a:b] for a, b in zip(begins, [*(cuts * width).tolist(), len(raw)])]
         return out
 
-    @staticmethod
-    def _parts(text: str) -> list[str]:
-        """Words; the first of a line with the newline before, others without their space.
-
-        A piece of an unsafe text may hold white space.
-        """
-        if not (any(map(text.__contains__, _ODD)) and _UNSAFE.search(text)
-                or text[:1] in _PLAIN or text[-1:] in _PLAIN):
-            return text.replace("\n", " \n").split(" ")
-        parts = text.split(" ")
-        out = [parts[0]]
-        for part in parts[1:]:
-            before = out[-1][-1:]
-            if part and before and not part[0].isspace() and not before.isspace():
-                out.append(part)
+    def _encoded(self, words: list[str], before: str) -> list[bytes]:
+        """Ids of words; letters alone, also before a stop, are pre-tokens of their own."""
+        letters = [w.isalpha() for w in words]
+        stopped = [not a and w[-1] in _STOPS and w[:-1].isalpha() for w, a in zip(words, letters)]
+        single = iter(self._words([w if a else w[:-1] for w, a, s in zip(words, letters, stopped) if a or s],
+                                  before))
+        other = iter(self._lines([before + w for w, a, s in zip(words, letters, stopped) if not (a or s)]))
+        stop = dict(zip(_STOPS, self._each(list(_STOPS))))
+        return [next(single) if a else next(single) + stop[w[-1]] if s else next(other)
+                for w, a, s in zip(words, letters, stopped)]
+
+    def _learn(self, keys: np.ndarray, kinds: list[int], words: list[str]) -> None:
+        """Add words to the table; ``keys`` are sorted and new."""
+        coded: list[bytes] = [b""] * len(words)
+        feed = np.array([self.newline or 0], self.size).tobytes()
+        for kind in (HEAD, TAIL, LINE):
+            at = [i for i, k in enumerate(kinds) if k == kind]
+            own = [words[i] for i in at]
+            if kind == LINE and self.newline is None:
+                made = self._each(["\n" + w for w in own])
             else:
-                out[-1] += " " + part
+                made = self._encoded(own, " " if kind == TAIL else "")
+                made = [feed + c for c in made] if kind == LINE else made
+            for i, c in zip(at, made):
+                coded[i] = c
+        sizes = np.array([len(c) for c in coded], np.int64) // self.size.itemsize
+        place = np.searchsorted(self.keys, keys)
+        first = len(self.bounds) - 1
+        self.keys = np.insert(self.keys, place, keys)
+        self.entry = np.insert(self.entry, place, np.arange(first, first + len(keys)))
+        self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum(sizes)))
+        self.flat = np.concatenate((self.flat, np.frombuffer(b"".join(coded), self.size)))
+
+    def _plain(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain texts one after another, and where each text begins."""
+        words = words_of(texts, ~_SEPARATOR)
+        kind = np.where(texts.data[words.start - 1] == 0x0A, LINE, TAIL)
+        kind[words.first[:-1]] = HEAD
+        keys = mix(words.hash + _KINDS[kind])
+        distinct, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        place = np.searchsorted(self.keys, distinct)
+        known = place < len(self.keys)
+        known[known] = self.keys[place[known]] == distinct[known]
+        new = first[~known]
+        if len(new):
+            raw = texts.data.tobytes()
+            spelled = [raw[a:b].decode() for a, b in zip(words.start[new].tolist(), words.end[new].tolist())]
+            self._learn(distinct[~known], kind[new].tolist(), spelled)
+            place = np.searchsorted(self.keys, distinct)
+        entry = self.entry[place][inverse]
+        sizes = (self.bounds[1:] - self.bounds[:-1])[entry]
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        at = np.arange(ends[-1]) + np.repeat(self.bounds[entry] - ends[:-1], sizes)
+        out = self.flat[at], ends[words.first]
+        if len(self.keys) > REMEMBERED:
+            self._forget()
         return out
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        gc.disable()  # nothing here is cyclic, and millions of short lists would be scanned
-        try:
-            return self._ids(texts)
-        finally:
-            gc.enable()
-
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        rows = [self._parts(text) for text in texts]
-        heads = self._coded(self.heads, [row[0] for row in rows], "")
-        tails = self._coded(self.tails, [p for row in rows for p in row[1:]], " ")
-        out, at = [], 0
-        for row, first in zip(rows, heads):
-            end = at + len(row) - 1
-            out.append(np.frombuffer(first + b"".join(tails[at:end]), self.size))
-            at = end
-        self.heads.age()
-        self.tails.age()
+    def _pieces(self, text: str) -> np.ndarray:
+        """Ids of a text with any white space, cut at the plain borders inside."""
+        return np.frombuffer(b"".join(self._each(_BORDER.split(text))), self.size)
+
+    def ids(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        whole = texts_of(column)
+        plain = plain_texts(whole)
+        out: list[np.ndarray] = [np.zeros(0, self.size)] * len(whole)
+        if plain.any():
+            ids, bounds = self._plain(texts_of(column.filter(pa.array(plain))))
+            for i, a, b in zip(np.flatnonzero(plain).tolist(), bounds.tolist(), bounds[1:].tolist()):
+                out[i] = ids[a:b]
+        for i in np.flatnonzero(~plain & (np.diff(whole.bounds) > 0)).tolist():
+            out[i] = self._pieces(whole.text(i))
         return out
 
 
@@ -355,7 +359,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_
         part, seq, held, owners, arrays = TaskContext.get().partitionId(), 0, 0, [], []
         for batch in batches:
             for piece in slices(batch, "t"):
-                coded = encoder.ids(piece.column("t").to_pylist())
+                coded = encoder.ids(piece.column("t"))
                 for owner, ids in zip(piece.column("id").to_pylist(), coded):
                     owners.append(owner)
                     arrays.append(np.concatenate((ids, end)))

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from corpus_helpers import SMALL, documents  # noqa: F401
@@ -181,3 +182,19 @@ def test_pipeline_of_no_documents(spark, tmp_path):
     for table in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{SMALL}/{table}.parquet").limit(0).write.parquet(f"{tmp_path}/{table}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_plain_texts_and_a_full_table(monkeypatch):
+    """White space of every kind makes a text not plain; forgetting words changes no id."""
+    spaces = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+    texts = [f"a{c}b" for c in spaces] + ["a b\nc", " a", "a ", "", "a", "“curly” – ぁ日本", "a \nb", "x\x00y"]
+    got = wavelet_files.plain_texts(wavelet_files.texts_of(pa.array(texts))).tolist()
+    assert got == [c in " \n" for c in spaces] + [True, False, False, False, True, True, False, True]
+    encoder = wavelet_files.Encoder(TOKENIZER)
+    rng = random.Random(4)
+    words = ["a", "The", "é", "word.", "x1", "...", "it's", "日本", "<|endoftext|>", "!", "Zürich,"]
+    many = [" ".join(rng.choice(words) for _ in range(30)).replace(" The", "\nThe") for _ in range(50)] + texts
+    right = [c.ids for c in encoder.tokenizer.encode_batch(many, add_special_tokens=False)]
+    monkeypatch.setattr(wavelet_files, "REMEMBERED", 5)
+    for part in range(0, len(many), 7):
+        assert [a.tolist() for a in encoder.ids(many[part:part + 7])] == right[part:part + 7]
