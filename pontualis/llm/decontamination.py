@@ -87,9 +87,13 @@ def benchmark_windows(benchmark: DataFrame, item_id: str = "item_id",
 
 
 def blocks_of(windows: DataFrame) -> list[DataFrame]:
-    """The windows cut by their hash into blocks of about ``BLOCK_WINDOWS``."""
+    """The rows of windows and items cut into blocks of about ``BLOCK_WINDOWS``.
+
+    A window that many items share is cut by its items, so it fills no block alone.  Each of its
+    blocks finds it again and knows a part of its items.
+    """
     n = -(-windows.count() // BLOCK_WINDOWS) or 1
-    return [windows.where(F.pmod("hash", F.lit(n)) == i) for i in range(n)]
+    return [windows.where(F.pmod(F.xxhash64("hash", "item"), F.lit(n)) == i) for i in range(n)]
 
 
 def load_block(windows: DataFrame) -> Block:
@@ -186,7 +190,7 @@ def _without(text: str | None, hits: list[dict]) -> str | None:
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents with every run of hit words cut out of their texts."""
     found = find_contamination(whole_rows(docs, text), benchmark, ("row", "text"))
-    cut = F.udf(_without, "string")
+    cut = F.udf(_without, "string", useArrow=True)
     value = F.when(F.size("_out.hits") > 0, cut("text", "_out.hits")).otherwise(F.col("text"))
     return with_text(found, docs.columns, text, value)
 

@@ -1,6 +1,10 @@
 """Wavelet files, Merkle audit, URL templates and the pipeline."""
 
+import gzip
+import hashlib
+import os
 import random
+import shutil
 import zlib
 from collections import Counter
 
@@ -198,3 +202,58 @@ def test_plain_texts_and_a_full_table(monkeypatch):
     monkeypatch.setattr(wavelet_files, "REMEMBERED", 5)
     for part in range(0, len(many), 7):
         assert [a.tolist() for a in encoder.ids(many[part:part + 7])] == right[part:part + 7]
+
+
+def plain_root(records, height):
+    """The tree of one file built from a list, without Spark: nodes by level and number."""
+    def hashed(text):
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    levels = [{i: hashed(f"{o}:{n}:{d}") for i, o, n, d in records}]
+    while len(levels) < height:
+        parents = {}
+        for i, h in sorted(levels[-1].items()):
+            parents.setdefault(i // merkle_audit.FANOUT, []).append(f"{i}:{h}")
+        levels.append({i: hashed(",".join(v)) for i, v in parents.items()})
+    return levels
+
+
+def test_trees_of_stored_files_equal_plain_ones(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(merkle_audit, "FANOUT", 3)
+    monkeypatch.setattr(merkle_audit, "FILE_BYTES", 3000)
+    pages = spark.createDataFrame([(i, f"http://h/{i}", f"<p>{i}</p>" * (i % 9 * 30)) for i in range(200)],
+                                  "page_id bigint, url string, html string").repartition(2)
+    root, workspace = str(tmp_path / "files"), Workspace(spark, "test-merkle")
+    index = merkle_audit.write_files(merkle_audit.archive(pages), root, workspace, "index")
+    rows = index.orderBy("file", "offset").collect()
+    names = sorted({r.file for r in rows})
+    assert sorted(os.listdir(root)) == names and len(names) > 4
+    for r in rows:  # every range is a whole gzip member of its file
+        with open(f"{root}/{r.file}", "rb") as stream:
+            stream.seek(r.offset)
+            data = stream.read(r.length)
+        assert hashlib.sha256(data).hexdigest() == r.sha256
+        assert zlib.decompress(data, 31).endswith(f"<p>{r.page_id}</p>\r\n\r\n".encode() if r.page_id % 9 else b"\r\n\r\n")
+    assert gzip.open(f"{root}/{names[0]}").read().count(b"WARC/1.1") == sum(r.file == names[0] for r in rows)
+    ours = merkle_audit.stored_digests(index, root, workspace, "ours")
+    levels = merkle_audit.tree(ours, workspace, "tree")
+    for name in names:
+        own = [(r.seq, r.offset, r.length, r.sha256) for r in rows if r.file == name]
+        got = [{r.idx: r.hash for r in level.where(f"file = '{name}'").collect()} for level in levels]
+        assert got == plain_root(own, len(levels))
+    # A byte changed, a file cut short and a file lost in a copy of the folder.
+    copy = str(tmp_path / "copy")
+    shutil.copytree(root, copy)
+    with open(f"{copy}/{names[0]}", "r+b") as stream:
+        stream.seek(rows[0].length // 2)
+        byte = stream.read(1)
+        stream.seek(rows[0].length // 2)
+        stream.write(bytes([byte[0] ^ 255]))
+    short = [r for r in rows if r.file == names[1]]
+    os.truncate(f"{copy}/{names[1]}", short[-1].offset - 1)
+    os.rename(f"{copy}/{names[2]}", f"{copy}/elsewhere")
+    theirs = merkle_audit.stored_digests(index, copy, workspace, "theirs")
+    found = {(r.file, r.seq): r.status for r in merkle_audit.audit(ours, theirs).collect()}
+    lost = {(r.file, r.seq): "missing" for r in rows if r.file == names[2]}
+    assert found == {(names[0], 0): "damaged", (names[1], short[-1].seq): "missing",
+                     (names[1], short[-2].seq): "damaged"} | lost

@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 from corpus_helpers import documents  # noqa: F401
 
-from pontualis.llm import near_dedup, packing
+from pontualis.llm import decontamination, near_dedup, packing
 from pontualis.llm.components import components
 from pontualis.llm.tables import Workspace
 
@@ -65,3 +65,20 @@ def test_the_text_that_counted_is_kept(documents):
         rows = [(5, t) for t in order] + [(9, chosen + " end")]
         got = near_dedup.deduplicate(documents(rows).repartition(3)).collect()
         assert [(r.doc_id, r.text) for r in got] == [(5, chosen)]
+
+
+def test_a_window_of_many_items_is_cut_by_them(spark, documents, monkeypatch):
+    shared = "one two three four five six seven eight nine ten"
+    items = spark.createDataFrame([(f"i{k:03d}", shared) for k in range(300)]
+                                  + [(f"j{k}", f"{shared} number{k}") for k in range(40)], "item_id string, text string")
+    docs = documents([(1, f"a {shared} b"), (2, "one two three"), (3, f"{shared} number7"), (4, None)])
+    whole = {r.doc_id: r._out for r in decontamination.find_contamination(docs, items).collect()}
+    assert len(whole[1]["items"]) == 340 and len(whole[3]["hits"]) == 11 and whole[2]["items"] == []
+    monkeypatch.setattr(decontamination, "BLOCK_WINDOWS", 50)
+    windows = decontamination.benchmark_windows(items).cache()
+    sizes = [b.count() for b in decontamination.blocks_of(windows)]
+    assert len(sizes) > 5 and max(sizes) <= 2 * 50
+    cut = {r.doc_id: r._out for r in decontamination.find_contamination(docs, items).collect()}
+    assert cut == whole
+    clean = {r.doc_id: r.text for r in decontamination.remove_spans(docs, items).collect()}
+    assert clean[1] == "a  b" and clean[2] == "one two three" and clean[4] is None
