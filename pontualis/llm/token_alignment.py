@@ -10,7 +10,8 @@ once and remembered.  The distinct pairs of a document are counted in two ways.
 identity map gives each A id the B id of the same bytes; pairs that follow it are
 counted in vectors as long as the vocabulary of A, one a task.  All other pairs are
 added up inside a task and only then shuffled.  Counts come back to the documents in
-blocks of at most ``BLOCK_PAIRS`` pairs, one pass over the stored pairs each.
+blocks of at most ``BLOCK_PAIRS`` pairs, one pass over the stored pairs each; the sums of a
+pass are written and its block is released, so one block is in memory at a time.
 """
 
 from __future__ import annotations
@@ -288,8 +289,9 @@ def _blocks(counts: DataFrame, most: int) -> list[tuple[int, int]]:
     return blocks + ([(begin, sizes[-1][0] + 1)] if sizes else [])
 
 
-def _looked_up(aligned: DataFrame, block: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """``row``, ``n_best`` and ``count_sum`` over the pairs of one block."""
+def _looked_up(aligned: DataFrame, block: DataFrame, path_a: str, path_b: str,
+               workspace: Workspace, name: str) -> DataFrame:
+    """``row``, ``n_best`` and ``count_sum`` over the pairs of one block, of rows that hold any."""
     table = block.toArrow()
     n_b = vocabularies(path_a, path_b).n_b
     keys = table["a"].to_numpy().astype(np.int64) * n_b + table["b"].to_numpy()
@@ -310,12 +312,15 @@ def _looked_up(aligned: DataFrame, block: DataFrame, path_a: str, path_b: str) -
             if len(known):
                 np.add.at(found[0], row, times * best[at])
                 np.add.at(found[1], row, times * numbers[at])
+            held = pa.array(found[1] > 0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(found[0]), pa.array(found[1])],
-                ["row", "n_best", "count_sum"])
+                [batch.column("row").filter(held), pa.array(found[0]).filter(held),
+                 pa.array(found[1]).filter(held)], ["row", "n_best", "count_sum"])
 
-    return aligned.select("row", "pairs", "times").mapInArrow(
-        sums, "row bigint, n_best bigint, count_sum bigint")
+    written = workspace.save(aligned.select("row", "pairs", "times").mapInArrow(
+        sums, "row bigint, n_best bigint, count_sum bigint"), name)
+    shared.destroy()
+    return written
 
 
 def align(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id",
@@ -342,8 +347,9 @@ def align(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id",
     most = counts.groupBy("a").agg(F.max("n").alias("most"))
     judged = counts.join(most, "a").select("a", "b", "n", (F.col("n") == F.col("most")).alias("best"))
     judged = workspace.save(judged, "judged")
-    parts = [_looked_up(aligned, judged.where(F.col("a").between(low, high - 1)), path_a, path_b)
-             for low, high in _blocks(judged, block_pairs)]
+    parts = [_looked_up(aligned, judged.where(F.col("a").between(low, high - 1)), path_a, path_b,
+                        workspace, f"sums{i}")
+             for i, (low, high) in enumerate(_blocks(judged, block_pairs))]
     numbers = ["doc_id", "n_a", "n_b", "n_groups", "n_links"]
     zero = F.lit(0).cast("bigint")
     if not parts:
@@ -353,4 +359,6 @@ def align(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id",
         found = found.unionByName(part)
     found = found.groupBy("row").agg(F.sum("n_best").alias("n_best"),
                                      F.sum("count_sum").alias("count_sum"))
-    return aligned.join(found, "row").select(*numbers, "n_best", "count_sum", "groups_sha256")
+    return aligned.join(found, "row", "left").select(
+        *numbers, F.coalesce("n_best", zero).alias("n_best"),
+        F.coalesce("count_sum", zero).alias("count_sum"), "groups_sha256")
