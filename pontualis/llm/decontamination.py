@@ -4,7 +4,8 @@ Every window of ``WINDOW`` consecutive words of a test item is hashed; an item
 with fewer words is one window.  The windows of a training text are looked up
 in that set, first in a bitmap and then exactly, and every hit is verified word
 by word.  The set is broadcast in blocks of at most ``BLOCK_WINDOWS`` windows,
-so its size is bounded for any benchmark; each block is one pass over the texts.
+so its size is bounded for any benchmark; each block is one pass over the texts, of which the
+hits are written before the block is released and the next one is loaded.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -138,8 +140,7 @@ def scan(column: pa.Array, block: Block) -> dict[str, pa.Array]:
             "items": pa.array([sorted(i) for i in items], pa.list_(pa.string()))}
 
 
-def _pass(docs: DataFrame, windows: DataFrame, keep: tuple[str, ...], text: str) -> DataFrame:
-    block = docs.sparkSession.sparkContext.broadcast(load_block(windows))
+def _pass(docs: DataFrame, block: Broadcast, keep: tuple[str, ...], text: str) -> DataFrame:
     return map_texts(docs, text, keep, FIELDS, lambda column: scan(column, block.value))
 
 
@@ -155,13 +156,17 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, .
     spark = docs.sparkSession
     workspace = Workspace(spark, "decontamination")
     windows = workspace.save(benchmark_windows(benchmark, item_id, item_text), "windows")
-    blocks = blocks_of(windows)
+    blocks, context = blocks_of(windows), spark.sparkContext
     if len(blocks) == 1:
-        return _pass(docs, blocks[0], keep, text)
+        return _pass(docs, context.broadcast(load_block(blocks[0])), keep, text)
     rows = workspace.save(docs.select(
         F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept"),
         F.col(f"`{text}`").alias("text"), F.monotonically_increasing_id().alias("row")), "rows")
-    passes = [_pass(rows, b, ("row",), "text") for b in blocks]
+    passes = []
+    for i, windows_of_block in enumerate(blocks):
+        block = context.broadcast(load_block(windows_of_block))
+        passes.append(workspace.save(_pass(rows, block, ("row",), "text"), f"pass{i}"))
+        block.destroy()
     found = (reduce(DataFrame.unionAll, passes).groupBy("row").agg(
         F.max("_out.n_words").alias("n_words"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("_out.hits")))).alias("hits"),
