@@ -173,38 +173,80 @@ def _table_sets(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([sets for sets, _ in parts]), np.concatenate(([0], np.cumsum(sizes)))
 
 
+class _SharedShingles:
+    """Counts the shingles that a text shares with each of the texts put in before.
+
+    ``sets`` holds the sets of all texts one after another.  A shingle keeps a list of its
+    texts, so a count costs as much as the texts have in common and nothing for the rest.
+    """
+
+    def __init__(self, sets: np.ndarray, bounds: np.ndarray) -> None:
+        _, self.code = np.unique(sets, return_inverse=True)
+        self.bounds = bounds
+        self.start = np.concatenate(([0], np.cumsum(np.bincount(self.code))))
+        self.owner = np.empty(len(sets), np.int32)
+        self.clear()
+
+    def clear(self) -> None:
+        self.filled = np.zeros(len(self.start) - 1, np.int64)
+
+    def put(self, i: int) -> None:
+        own = self.code[self.bounds[i]:self.bounds[i + 1]]
+        self.owner[self.start[own] + self.filled[own]] = i
+        self.filled[own] += 1
+
+    def counts(self, i: int) -> np.ndarray:
+        """One count for each text, 0 for those not put in."""
+        own = self.code[self.bounds[i]:self.bounds[i + 1]]
+        number = self.filled[own]
+        first = np.repeat(self.start[own] - np.cumsum(number) + number, number)
+        return np.bincount(self.owner[first + np.arange(len(first))],
+                           minlength=len(self.bounds) - 1)
+
+
 def _cross_links(batches):
     """Links inside a block, or between two, of texts that are in different components.
 
-    Estimates leave some pairs possible, and those are compared in full at once.
-    Components that a link joins are one from then on, so a block gives at most
-    one link for each of its texts.
+    Texts of the largest component are never compared with each other, and each other text
+    only with those before it.  Estimates leave some pairs possible, and those are verified by
+    the shingles they share.  Components that a link joins are one from then on, so a
+    block gives at most one link for each of its texts.
     """
     for group in grouped(batches, ["lead", "low", "high"]):
         sets, bounds = _table_sets(group)
         registers, size = registers_of(sets, bounds), np.diff(bounds)
         ids, comp = group["id"].to_numpy(), group["component"].to_numpy().copy()
         block, low, high = group["block"].to_numpy(), group["low"][0].as_py(), group["high"][0].as_py()
-        pool, found = np.flatnonzero(block == high), []
-        for i in np.flatnonzero(block == low):
-            other = pool[(comp[pool] != comp[i]) & (size[pool] > 0)]
-            if low == high:
-                other = other[ids[other] > ids[i]]
-            if not len(other) or not size[i]:
-                continue
+        names, members = np.unique(comp, return_counts=True)
+        main = comp == names[np.argmax(members)]
+        shared, found = _SharedShingles(sets, bounds), []
+
+        def compare(i: int, pool: np.ndarray) -> None:
+            other = pool[(comp[pool] != comp[i]) & (size[pool] > 0)] if size[i] else pool[:0]
             other = other[possible(registers[i][None], registers[other], size[i], size[other])]
             if not len(other):
-                continue
-            own = sets[bounds[i]:bounds[i + 1]]
-            theirs = np.concatenate([sets[bounds[j]:bounds[j + 1]] for j in other])
-            place = np.minimum(np.searchsorted(own, theirs), len(own) - 1)
-            begin = np.concatenate(([0], np.cumsum(size[other])[:-1]))
-            shared = np.add.reduceat((own[place] == theirs).astype(np.int64), begin)
-            near = 100 * shared >= MIN_PERCENT * (size[i] + size[other] - shared)
-            for j in other[near]:
+                return
+            both = shared.counts(i)[other]
+            for j in other[100 * both >= MIN_PERCENT * (size[i] + size[other] - both)]:
                 if comp[j] != comp[i]:
                     found.append(sorted((int(ids[i]), int(ids[j]))))
                     comp[comp == comp[j]] = comp[i]
+
+        if low == high:
+            order = np.concatenate((np.flatnonzero(main), np.flatnonzero(~main)))
+            for at, i in enumerate(order):
+                if not main[i]:
+                    compare(i, order[:at])
+                shared.put(i)
+        else:
+            for pool, asking in ((block == high, (block == low) & ~main),
+                                 ((block == low) & main, (block == high) & ~main)):
+                shared.clear()
+                pool = np.flatnonzero(pool)
+                for j in pool:
+                    shared.put(j)
+                for i in np.flatnonzero(asking):
+                    compare(i, pool)
         if found:
             a, b = zip(*found)
             yield pa.RecordBatch.from_arrays(
