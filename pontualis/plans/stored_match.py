@@ -5,15 +5,18 @@ read back with column pruning, survives lost executors and keeps the plans short
 date of the realised departure.  Its version is a digest of all the match of that day rests on:
 the realised trips of the service days that depart then, and the timetable windows within
 reach of their bands.  Digests are counts and sums of row hashes, so one scan with
-partial aggregates finds the days that have changed, and no file is listed.
+partial aggregates finds the days that have changed, and no file is listed.  The windows, one
+row each, are written once per refresh: their digests and the match both read them.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, timedelta
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,18 +48,31 @@ def _dates(windows: DataFrame) -> tuple[Column, Column]:
             (start + clock.plus_minutes(headway * last)).cast("date"))
 
 
+def _written(frame: DataFrame, path: str) -> DataFrame:
+    frame.write.mode("overwrite").parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 class DayVersions:
-    """Versions of all days of a period, and which service days make up a day."""
+    """Versions of all days of a period, and which service days make up a day.
 
-    def __init__(self, tables: TransitTables, cfg: AnalysisConfig) -> None:
+    The numbered windows of the period are kept at ``windows_path``, replaced each time.  They
+    are written while the trips are scanned, as neither needs the other.
+    """
+
+    def __init__(self, tables: TransitTables, cfg: AnalysisConfig, windows_path: str) -> None:
         trips = observed.observed_columns(observed.realised_in_feeds(tables, cfg))
         departure = F.col("datetime_partida")
         band = clock.plus_minutes(clock.half_away(F.col("tempo_viagem") * F.lit(cfg.association_factor)))
-        done = (trips.groupBy("data", departure.cast("date").alias(DAY))
-                .agg(*_digest(*[F.col(c) for c in trips.columns]),
-                     F.min((departure - band).cast("date")).alias("primeiro"),
-                     F.max((departure + band).cast("date")).alias("ultimo")).collect())
-        windows = timetable.numbered_windows(tables, cfg).where("tempo_viagem > 0")
+        by_day = (trips.groupBy("data", departure.cast("date").alias(DAY))
+                  .agg(*_digest(*[F.col(c) for c in trips.columns]),
+                       F.min((departure - band).cast("date")).alias("primeiro"),
+                       F.max((departure + band).cast("date")).alias("ultimo")))
+        with ThreadPoolExecutor(1) as beside:
+            scanned = beside.submit(inheritable_thread_target(trips.sparkSession)(by_day.collect))
+            self._windows = _written(timetable.numbered_windows(tables, cfg), windows_path)
+            done = scanned.result()
+        windows = self._windows.where("tempo_viagem > 0")
         first, last = _dates(windows)
         used = ["consorcio", "trip_id", "sentido", "trip_short_name", "tempo_viagem", "headway",
                 "datetime_partida", "primeira", "partidas"]
@@ -87,10 +103,9 @@ class DayVersions:
         services = sorted({s for d in days for s in self.service_days[d]})
         trips = observed.observed_departures(tables, cfg, services).where(
             F.col("datetime_partida").cast("date").isin(days))
-        windows = timetable.numbered_windows(tables, cfg)
-        first, last = _dates(windows)
-        windows = windows.where((last >= F.lit(min(self.reach[d][0] for d in days)))
-                                & (first <= F.lit(max(self.reach[d][1] for d in days))))
+        first, last = _dates(self._windows)
+        windows = self._windows.where((last >= F.lit(min(self.reach[d][0] for d in days)))
+                                      & (first <= F.lit(max(self.reach[d][1] for d in days))))
         found = matching.match_windows(windows, trips, cfg)
         return found.withColumn(DAY, F.col("datetime_partida_VR").cast("date"))
 
@@ -106,5 +121,5 @@ def match_store(tables: TransitTables, cfg: AnalysisConfig, cache_path: str) ->
 def refresh_match(store: DayStore, tables: TransitTables, cfg: AnalysisConfig,
                   force: bool = False) -> list[date]:
     """Recompute the days that have changed, or all; returns them."""
-    days = DayVersions(tables, cfg)
+    days = DayVersions(tables, cfg, f"{store.root}/windows")
     return store.refresh(days.versions, lambda changed: days.match(tables, cfg, changed), force)
