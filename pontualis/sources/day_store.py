@@ -47,17 +47,31 @@ class DayStore:
         """
         stored = self.manifest()
         changed = sorted(d for d, v in versions.items() if force or stored.get(d, ("", 0))[0] != v)
-        gone = [d for d in stored if d not in versions]
-        rows = {}
         if changed:
             self._replace(compute(changed).select(*self.schema.names, DAY), self.table)
-            if exists(self.spark, self.table):
-                written = self._stored().where(F.col(DAY).isin(changed)).groupBy(DAY).count()
-                rows = {r[DAY]: r["count"] for r in written.collect()}
+        self._note(versions, changed, stored)
+        return changed
+
+    def fill(self, frame: DataFrame, versions: Callable[[], Mapping[date, str]]) -> list[date]:
+        """Write all days of ``frame``, which has the column ``dia``, anew; returns them.
+
+        ``versions`` is asked once the rows are written, so it may be made meanwhile from the same inputs.
+        """
+        stored = self.manifest()
+        self._replace(frame.select(*self.schema.names, DAY), self.table)
+        made = versions()
+        self._note(made, sorted(made), stored)
+        return sorted(made)
+
+    def _note(self, versions: Mapping[date, str], changed: list[date], stored: Mapping) -> None:
+        """Enter the written days, and those that are gone, into the manifest."""
+        rows, gone = {}, [d for d in stored if d not in versions]
+        if changed and exists(self.spark, self.table):
+            written = self._stored().where(F.col(DAY).isin(changed)).groupBy(DAY).count()
+            rows = {r[DAY]: r["count"] for r in written.collect()}
         if changed or gone:
             notes = [(versions[d], rows.get(d, 0), d) for d in changed] + [("", 0, d) for d in gone]
-            self._replace(self.spark.createDataFrame(notes, DAY_MANIFEST).coalesce(1), self.notes)
-        return changed
+            self._replace(self.spark.createDataFrame(notes, DAY_MANIFEST), self.notes)
 
     @staticmethod
     def _replace(frame: DataFrame, path: str) -> None:

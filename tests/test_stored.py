@@ -90,6 +90,24 @@ def test_trips_that_leave_after_midnight_of_their_service_day(spark, stored, tmp
     assert same(got.matched, matched_trips(fewer, CFG))
 
 
+def test_trips_without_a_departure_time(spark, stored, tmp_path):
+    def without_time(day):
+        return F.when(F.dayofmonth("data") == day, F.col("datetime_partida").isNull()
+                      | (F.minute("datetime_partida") < 30)).otherwise(False)
+
+    def emptied(day):
+        return changed(stored, realised=stored.realised.withColumn(
+            "datetime_partida", F.when(~without_time(day), F.col("datetime_partida"))))
+
+    some = emptied(9)
+    got = QualityAnalysis(some, CFG, cache_path=str(tmp_path)).run()
+    assert same(got.matched, matched_trips(some, CFG)) and None not in got.rewritten
+    assert QualityAnalysis(some, CFG, cache_path=str(tmp_path)).run().rewritten == []
+    # The trips without a time are counted: other ones change the days of their service day.
+    got = QualityAnalysis(stored, CFG, cache_path=str(tmp_path)).run()
+    assert got.rewritten == [date(2024, 1, 9)] and same(got.matched, matched_trips(stored, CFG))
+
+
 def test_parameters_have_stores_of_their_own_and_force_rewrites_all(spark, stored, tmp_path):
     path = str(tmp_path)
     first = QualityAnalysis(stored, CFG, cache_path=path).run()
