@@ -155,6 +155,9 @@ _REALISED = f"""
 # Suppliers are ranked in cells of this many numbers, not in one sorted window.
 _RANK_CELL = 4096
 
+# A task multiplies at most about this many suppliers, by 168 for the frequencies.
+_TASK_SUPPLIERS = 512
+
 
 class StarTables:
     """The attributes of ``TransitTables``, each planned when it is first used."""
@@ -174,9 +177,15 @@ class StarTables:
     def _supplier(self) -> DataFrame:
         return self._read("supplier", schemas.STAR_SUPPLIER)
 
+    @cached_property
+    def _spread_supplier(self) -> DataFrame:
+        """Suppliers over as many tasks as what becomes of them needs; their file may be one small split."""
+        tasks = -(-self._supplier.count() // _TASK_SUPPLIERS)
+        return self._supplier.repartition(tasks) if tasks > 1 else self._supplier
+
     @cached_property
     def trips(self) -> DataFrame:
-        return self._spark.sql(_TRIPS, supplier=self._supplier)
+        return self._spark.sql(_TRIPS, supplier=self._spread_supplier)
 
     @cached_property
     def frequencies(self) -> DataFrame:
@@ -184,7 +193,7 @@ class StarTables:
 
     @cached_property
     def routes(self) -> DataFrame:
-        return self._spark.sql(_ROUTES, supplier=self._supplier)
+        return self._spark.sql(_ROUTES, supplier=self._spread_supplier)
 
     @cached_property
     def agency(self) -> DataFrame:
