@@ -1,4 +1,10 @@
-"""Joins of a large table with a small one on keys of few values.
+"""Joins that stay in bounded memory: of two large tables, and of a large table with a small one.
+
+Spark takes the size of a table it has not read yet from its files.  Packed files, and rows
+that multiply on the way, hide tables of many times that size; broadcast, they would pass through
+the driver whole.  Where both sides grow, ``shuffled`` rules that out.
+
+The rest is about joins of a large table with a small one on keys of few values.
 
 A key with few values would send the large side to as many tasks.  Here each
 row of the large side also draws one of ``SALTS`` salts from other columns, and
@@ -17,6 +23,11 @@ from pyspark.sql import functions as F
 SALTS = 64
 
 
+def shuffled(side: DataFrame) -> DataFrame:
+    """The side of a join of two growing tables, to be sorted and merged, never broadcast."""
+    return side.hint("merge")
+
+
 def salted_join(large: DataFrame, small: DataFrame, keys: Sequence[str], spread: Sequence[str],
                 how: str = "inner") -> DataFrame:
     """``large`` joined with ``small``; ``spread`` are columns of many values of ``large``."""

@@ -10,7 +10,7 @@ from pontualis.functions import clock
 from pontualis.functions.keys import direction_code, trip_key_planned
 from pontualis.operators import scans
 from pontualis.operators.numbering import running_total_before
-from pontualis.operators.salting import salted_join
+from pontualis.operators.salting import salted_join, shuffled
 from pontualis.sources.tables import TransitTables
 
 TRIP_FREQUENCY_KEYS = ["feed_version", "feed_start_date", "feed_end_date", "trip_id",
@@ -22,7 +22,7 @@ CALENDAR_KEYS = ["feed_version", "feed_start_date", "service_id"]
 # --- joins -------------------------------------------------------------------
 
 def join_trips_frequencies(trips: DataFrame, frequencies: DataFrame) -> DataFrame:
-    return trips.join(frequencies, TRIP_FREQUENCY_KEYS)
+    return trips.join(shuffled(frequencies), TRIP_FREQUENCY_KEYS)
 
 
 def join_routes(services: DataFrame, routes: DataFrame, how: str = "right") -> DataFrame:
@@ -31,7 +31,7 @@ def join_routes(services: DataFrame, routes: DataFrame, how: str = "right") -> D
     The timetable rejects NULL trips right afterwards and joins inner instead.
     """
     return services.join(
-        routes.select(*ROUTE_KEYS, "agency_name", "route_short_name"), ROUTE_KEYS, how)
+        shuffled(routes.select(*ROUTE_KEYS, "agency_name", "route_short_name")), ROUTE_KEYS, how)
 
 
 def join_calendar(services: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -92,7 +92,7 @@ def scheduled_windows(tables: TransitTables, cfg: AnalysisConfig,
     calendar = reduce(scans.calendar_rows(tables, cfg)
                       .select("data", *day_columns, *CALENDAR_KEYS), "calendar")
     # Routes are attached to trips before frequencies and days multiply the rows.
-    named = (trips.join(routes, ROUTE_KEYS)
+    named = (trips.join(shuffled(routes), ROUTE_KEYS)
              .where(same_line(F.col("route_short_name"), F.col("trip_short_name"))))
     days = join_calendar(join_trips_frequencies(named, frequencies), calendar)
     start = clock.midnight(F.col("data")) + clock.plus_seconds(F.col("_start"))
