@@ -185,13 +185,27 @@ def generated_departures(windows: DataFrame) -> DataFrame:
             .withColumn("datetime_partida", start + clock.plus_minutes(headway * row)))
 
 
-def _distinct_with_key(departures: DataFrame, *columns: Column | str) -> DataFrame:
-    """Distinct departures with their text key.
+def _cut_to_new(windows: DataFrame, same: list[str]) -> DataFrame:
+    """Numbered windows without the departures that another window has too; none is lost.
 
-    The key follows from other columns, so it is added after copies are removed
-    and neither compared nor shuffled.
+    Windows equal in ``same`` share the departures of which both have the counter.  Sorted by their
+    first counter, each keeps what lies behind the last one so far, so copies go while a
+    departure is still part of a range, and departures are neither compared nor shuffled.  A
+    group holds windows of one trip and start that differ in columns no departure has.
     """
-    rows = departures.select(*columns).distinct()
+    last = F.col("primeira") + F.col("partidas") - 1
+    before = (Window.partitionBy(*same).orderBy("primeira", "partidas")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    known = F.max(last).over(before) + 1 - F.col("primeira")
+    return (windows.withColumn("_known", F.greatest(F.lit(0), known))
+            .withColumns({"primeira": F.col("primeira") + F.col("_known"),
+                          "partidas": F.col("partidas") - F.col("_known")})
+            .where("partidas >= 1").drop("_known"))
+
+
+def _with_key(departures: DataFrame, *columns: Column | str) -> DataFrame:
+    """The columns of departures, and their text key after the day."""
+    rows = departures.select(*columns)
     key = trip_key_planned(F.col("servico_realizado"), F.col("sentido"), F.col("shape_id"),
                            F.col("datetime_partida"))
     after_day = rows.columns.index("servico_realizado")
@@ -200,8 +214,15 @@ def _distinct_with_key(departures: DataFrame, *columns: Column | str) -> DataFra
 
 
 def planned_departures(tables: TransitTables, cfg: AnalysisConfig) -> DataFrame:
-    return _distinct_with_key(
-        generated_departures(numbered_windows(tables, cfg)),
+    """Distinct departures with their counter.
+
+    Counter, departure and arrival determine start and headway of a window.
+    """
+    windows = _cut_to_new(numbered_windows(tables, cfg), [
+        "consorcio", "data", "trip_short_name", "vista", "trip_id", "shape_id", "sentido",
+        "datetime_partida", "headway", "tempo_viagem", "feed_version", "feed_start_date"])
+    return _with_key(
+        generated_departures(windows),
         F.col("row_id").alias("viagens_consecutivas"), "consorcio", "data",
         "servico_realizado", "vista", "trip_id", "shape_id", "sentido", "datetime_partida",
         "datetime_chegada", "tempo_viagem", "feed_version", "feed_start_date")
@@ -209,8 +230,12 @@ def planned_departures(tables: TransitTables, cfg: AnalysisConfig) -> DataFrame:
 
 def planned_departures_by_trip(tables: TransitTables, cfg: AnalysisConfig,
                                *extra: Column | str) -> DataFrame:
-    """Departures of the month-long counter; ``extra`` adds columns, e.g. the counter."""
-    return _distinct_with_key(
+    """Departures of the month-long counter; ``extra`` adds columns, e.g. the counter.
+
+    No two are equal, with or without the counter: along the counter of a trip starts never
+    fall, so of two departures with one headway the later counter leaves later.
+    """
+    return _with_key(
         generated_departures(numbered_windows_by_trip(tables, cfg)), *extra, "consorcio",
         "data", "tipo_dia", "servico_realizado", "vista", "trip_id", "shape_id", "sentido",
         "datetime_partida", "datetime_chegada", "tempo_viagem", "feed_version",
