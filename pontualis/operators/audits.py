@@ -154,6 +154,19 @@ def match_yield(tables: TransitTables, matched: DataFrame, cfg: AnalysisConfig)
         F.coalesce("pares", zero).alias("pares"))
 
 
+# Fixed pattern: a character or a sign behind a digit that no integer has, blanks around it or not.
+_NO_DIGITS = r"[!-*,/:-~]|[0-9.][+-]"
+
+
+def _no_integer(text: Column) -> Column:
+    """Whether a text is there and is no integer.
+
+    A failing cast costs many times a passing one, so it is left to texts that may be integers.
+    """
+    return text.isNotNull() & (F.when(text.rlike(_NO_DIGITS), F.lit(True))
+                               .otherwise(text.try_cast("bigint").isNull()))
+
+
 def column_quality(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per text column: rows, NULLs, values with trailing blanks, values that are no integer.
 
@@ -162,12 +175,11 @@ def column_quality(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     def counts(name: str):
         value = F.col(name).cast("string")
-        no_integer = value.isNotNull() & value.try_cast("bigint").isNull()
         return F.struct(
             F.lit(name).alias("coluna"), F.count(F.lit(1)).alias("linhas"),
             F.count_if(value.isNull()).alias("nulos"),
             F.count_if(value != F.rtrim(value)).alias("brancos_no_fim"),
-            F.count_if(no_integer).alias("nao_inteiros"))
+            F.count_if(_no_integer(value)).alias("nao_inteiros"))
 
     row = frame.agg(F.array(*[counts(c) for c in columns]).alias("_counts"))
     return row.select(F.inline("_counts"))
@@ -193,8 +205,7 @@ def table_quality(frame: DataFrame, name: str) -> DataFrame:
     def counts(field: StructField) -> Column:
         value, zero = F.col(f"`{field.name}`"), F.lit(0).cast("bigint")
         text = value.cast("string")
-        no_integer = value.isNotNull() & text.try_cast("bigint").isNull()
-        exact = [F.count_if(text == ""), F.count_if(text != F.rtrim(text)), F.count_if(no_integer)]
+        exact = [F.count_if(text == ""), F.count_if(text != F.rtrim(text)), F.count_if(_no_integer(text))]
         return F.struct(
             F.lit(name).alias("tabela"), F.lit(field.name).alias("coluna"),
             F.count(F.lit(1)).alias("linhas"), F.count_if(value.isNull()).alias("nulos"),

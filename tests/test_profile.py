@@ -1,5 +1,7 @@
 """Rejected texts and column profiles."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from pontualis import schemas
@@ -60,3 +62,21 @@ def test_profile_is_one_scan(spark, tmp_path):
     spark.range(9).select("id", F.col("id").cast("string").alias("s")).write.parquet(str(tmp_path / "t"))
     frame = audits.table_quality(spark.read.parquet(str(tmp_path / "t")), "x")
     assert frame._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_integers_are_told_by_the_cast_alone(spark):
+    texts = [None, "", " ", "7", " 7 ", "\t7\n", "+7", "-7", "7-", "1-2", "2024-01-01", "05:00:00", "1.5", "7.", ".", "-",
+             "+-7", "9223372036854775807", "9223372036854775808", "1e3", "x7", " 7", "٣", "0x1", "7 "]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    told = rows.select(audits._no_integer(F.col("t")).alias("a"),
+                       (F.col("t").isNotNull() & F.col("t").try_cast("bigint").isNull()).alias("b")).collect()
+    assert [r.a for r in told] == [r.b for r in told] and {r.a for r in told} == {True, False}
+
+
+def test_texts_that_cannot_be_integers_are_not_cast(spark):
+    """Such casts took a second for 60,000 values."""
+    rows = spark.range(0, 400_000, 1, 1).select(F.concat(F.lit("a"), F.col("id").cast("string")).alias("t"))
+    audits.column_quality(rows.limit(10), ["t"]).collect()
+    start = time.perf_counter()
+    assert audits.column_quality(rows, ["t"]).first().nao_inteiros == 400_000
+    assert time.perf_counter() - start < 3
