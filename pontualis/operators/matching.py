@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from pontualis.config import AnalysisConfig
 from pontualis.functions import clock
+from pontualis.operators.salting import shuffled
 
 MATCHED_TIMES = ["datetime_partida_VP", "datetime_partida_VR",
                  "datetime_chegada_VP", "datetime_chegada_VR",
@@ -117,7 +118,7 @@ def match_departures(planned: DataFrame, realised: DataFrame, cfg: AnalysisConfi
     width = cfg.match_cell_minutes * 60
     slotted = _planned_side(planned).withColumn(
         "_slot", clock.floor_div(clock.epoch_seconds(F.col("datetime_partida_VP")), width))
-    pairs = trips_in_cells(realised, cfg).join(slotted, CELL_KEYS)
+    pairs = trips_in_cells(realised, cfg).join(shuffled(slotted), CELL_KEYS)
     return matched_columns(pairs.where(_in_band(cfg) & _counters_close(cfg)))
 
 
@@ -182,7 +183,7 @@ def pairs_in_cells(trips: DataFrame, cells: DataFrame, cfg: AnalysisConfig,
     met = F.col("_start").isNotNull() & (counter_from <= counter_to)
     counters = F.when(met, F.sequence(counter_from, counter_to))
     each = F.explode_outer if how == "left" else F.explode
-    pairs = (trips.join(cells, CELL_KEYS, how).withColumn("contador_VP", each(counters))
+    pairs = (trips.join(shuffled(cells), CELL_KEYS, how).withColumn("contador_VP", each(counters))
              .withColumn("datetime_partida_VP",
                          clock.from_epoch_seconds(start + step * F.col("contador_VP")))
              .withColumn("datetime_chegada_VP",

@@ -7,7 +7,7 @@ from conftest import SMALL
 from helpers import CFG, agency, day, frequency, route, tables, trip
 from pyspark.sql import functions as F
 
-from pontualis.operators import timetable
+from pontualis.operators import matching, observed, timetable
 from pontualis.plans.registry import QUERIES
 from pontualis.sources import star_tables as star
 
@@ -60,3 +60,13 @@ def test_departures_are_not_shuffled(spark):
     for name in ("planned_sequence", "planned_month_departures", "planned_sequence_by_trip"):
         above = plan(QUERIES[name](spark, SMALL)).split("explode(sequence(primeira")[0]
         assert "Exchange" not in above and "Aggregate" not in above, name
+
+
+def test_written_windows_are_not_broadcast_to_the_match(spark, tmp_path):
+    """Packed files of windows are small; cut into cells in memory they are a hundred times that."""
+    t = star.star_tables(spark, SMALL)
+    timetable.numbered_windows(t, star.STAR_CONFIG).write.parquet(str(tmp_path / "windows"))
+    trips = observed.observed_departures(t, star.STAR_CONFIG)
+    windows = spark.read.parquet(str(tmp_path / "windows"))
+    text = plan(matching.match_windows(windows, trips, star.STAR_CONFIG))
+    assert not re.findall(r"BroadcastHashJoin \[[^]]*_slot", text) and "SortMergeJoin" in text
