@@ -12,6 +12,7 @@ from pyspark.sql.types import StructField
 
 from pontualis.config import AnalysisConfig
 from pontualis.operators import observed, scans, timetable
+from pontualis.operators.salting import shuffled
 from pontualis.sources.tables import TransitTables
 
 
@@ -148,7 +149,7 @@ def match_yield(tables: TransitTables, matched: DataFrame, cfg: AnalysisConfig)
     met = pairs.groupBy(day, "servico").agg(F.count(F.lit(1)).alias("viagens_associadas"),
                                             F.sum("_pairs").alias("pares"))
     zero = F.lit(0).cast("bigint")
-    return all_.join(met, ["data", "servico"], "left").select(
+    return all_.join(shuffled(met), ["data", "servico"], "left").select(
         "data", "servico", "viagens",
         F.coalesce("viagens_associadas", zero).alias("viagens_associadas"),
         F.coalesce("pares", zero).alias("pares"))

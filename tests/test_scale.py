@@ -70,3 +70,9 @@ def test_written_windows_are_not_broadcast_to_the_match(spark, tmp_path):
     windows = spark.read.parquet(str(tmp_path / "windows"))
     text = plan(matching.match_windows(windows, trips, star.STAR_CONFIG))
     assert not re.findall(r"BroadcastHashJoin \[[^]]*_slot", text) and "SortMergeJoin" in text
+
+
+def test_counts_of_packed_matches_are_not_broadcast(spark):
+    """Both sides of the yield hold a row per day and service; the stored match is packed."""
+    joins = re.findall(r"BroadcastHashJoin \[(.*?)\]", plan(QUERIES["audit_match_yield"](spark, SMALL)))
+    assert not [k for k in joins if "servico" in k]
