@@ -14,6 +14,15 @@ from pontualis.operators import matching, observed, timetable
 from pontualis.sources.tables import TransitTables
 
 BUCKETS = 64
+# A bucket is sorted and matched by one task.  It holds the cells of about this many rows of
+# timetable frequencies and realised trips.
+BUCKET_ROWS = 65536
+
+
+def buckets_for(tables: TransitTables, least: int) -> int:
+    """Buckets that grow with the tables, so that what one task sorts does not."""
+    rows = tables.frequencies.count() + tables.realised.count()
+    return max(least, -(-rows // BUCKET_ROWS))
 
 
 def _write(frame: DataFrame, table: str, path: str, buckets: int) -> None:

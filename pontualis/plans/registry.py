@@ -339,7 +339,8 @@ def join_band_match_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The match of both sides stored by trip and time cell."""
     path = _scratch(spark, sf_dir, "layout")
     name = "pontualis_" + path.rsplit("/", 2)[-2]
-    match_layout.write_layout(star_tables(spark, sf_dir), CFG, name, path, buckets=8)
+    tables = star_tables(spark, sf_dir)
+    match_layout.write_layout(tables, CFG, name, path, match_layout.buckets_for(tables, least=8))
     return match_layout.match_stored(spark, name, CFG)
 
 

@@ -8,6 +8,7 @@ from helpers import CFG, agency, day, frequency, route, tables, trip
 from pyspark.sql import functions as F
 
 from pontualis.operators import matching, observed, timetable
+from pontualis.plans import match_layout
 from pontualis.plans.registry import QUERIES
 from pontualis.sources import star_tables as star
 
@@ -76,3 +77,14 @@ def test_counts_of_packed_matches_are_not_broadcast(spark):
     """Both sides of the yield hold a row per day and service; the stored match is packed."""
     joins = re.findall(r"BroadcastHashJoin \[(.*?)\]", plan(QUERIES["audit_match_yield"](spark, SMALL)))
     assert not [k for k in joins if "servico" in k]
+
+
+def test_buckets_of_the_layout_grow_with_the_tables(spark, monkeypatch):
+    """One task sorts one bucket, so a fixed number of buckets is a task that grows."""
+    monkeypatch.setattr(match_layout, "BUCKET_ROWS", 200)
+    t = star.star_tables(spark, SMALL)
+    expected = -(-(t.frequencies.count() + t.realised.count()) // 200)
+    got = QUERIES["join_band_match_bucketed"](spark, SMALL)
+    assert expected > 8 and f"out of {expected}" in plan(got)
+    rows = QUERIES["join_band_match"](spark, SMALL)
+    assert rows.count() == got.count() and got.exceptAll(rows).isEmpty()
